@@ -1,11 +1,13 @@
-from bazaarlens.functions.numeric import MONEY_TOTAL, exact_mean, exact_ratio, percent
+from bazaarlens.functions.numeric import MONEY_TOTAL, cents, exact_mean, exact_ratio, from_cents, percent
 from bazaarlens.functions.timeops import elapsed_seconds, mean_days, month_label, month_of
 
 __all__ = [
     "MONEY_TOTAL",
+    "cents",
     "elapsed_seconds",
     "exact_mean",
     "exact_ratio",
+    "from_cents",
     "mean_days",
     "month_label",
     "month_of",

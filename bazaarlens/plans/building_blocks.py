@@ -12,6 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlens.functions import cents, from_cents
+
 Tables = Mapping[str, DataFrame]
 
 # The statuses that do not count as sales, and the name for products without one.
@@ -28,9 +30,12 @@ def active_orders(orders: DataFrame) -> DataFrame:
 
 
 def order_totals(items: DataFrame) -> DataFrame:
-    """One row per order: the gross value and number of its items."""
+    """One row per order: the gross value and number of its items.
+
+    The sum is taken in cents: an order's item numbers are small integers and part of the key.
+    """
     return items.groupBy("order_id").agg(
-        F.sum(gross()).alias("gross"), F.count(gross()).alias("item_rows")
+        from_cents(F.sum(cents(gross()))).alias("gross"), F.count(gross()).alias("item_rows")
     )
 
 

@@ -40,8 +40,8 @@ class Table:
     """One table; ``references`` maps a column to the table whose key has the same name.
 
     ``keep_first`` names the order in which one of several rows with an equal key is kept; an
-    empty tuple means equal keys are an error. ``free_text`` marks tables whose quoted fields
-    may hold line breaks.
+    empty tuple means equal keys are an error. ``cluster_by`` is the column a load may bucket the
+    table by: only columns whose every value holds few rows, so that no bucket can be hot.
     """
 
     name: str
@@ -50,7 +50,7 @@ class Table:
     references: dict[str, str] = field(default_factory=dict)
     ranges: dict[str, tuple[int, int]] = field(default_factory=dict)
     keep_first: tuple[str, ...] = ()
-    free_text: bool = False
+    cluster_by: str | None = None
 
     @property
     def schema(self) -> StructType:
@@ -103,6 +103,7 @@ TABLES: tuple[Table, ...] = (
             _text("customer_state", 2),
         ),
         key=("customer_id",),
+        cluster_by="customer_id",
     ),
     Table(
         "sellers",
@@ -143,6 +144,7 @@ TABLES: tuple[Table, ...] = (
         ),
         key=("order_id",),
         references={"customer_id": "customers"},
+        cluster_by="order_id",
     ),
     Table(
         "order_items",
@@ -157,6 +159,8 @@ TABLES: tuple[Table, ...] = (
         ),
         key=("order_id", "order_item_id"),
         references={"order_id": "orders", "product_id": "products", "seller_id": "sellers"},
+        # The item number is a small integer and part of the key: an order has few items.
+        cluster_by="order_id",
     ),
     Table(
         "order_payments",
@@ -194,7 +198,6 @@ TABLES: tuple[Table, ...] = (
             "review_comment_title",
             "review_comment_message",
         ),
-        free_text=True,
     ),
 )
 

@@ -11,7 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 #
 # forceOptimizeSkewedJoin lets a hot join key be split even where the split costs one more
 # shuffle further up; without it one straggling task would hold the whole report.
+# fileCompressionFactor makes the size check before a broadcast look at about the decoded size
+# of a table, not at its compressed files.
+# ansi: a sum that does not fit its type must fail, not wrap.
 RUNTIME_SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -430,3 +430,55 @@ QUALITY = {
         union all
         select p_partkey, 'p_brand', cast(length(p_brand) as int), 7 from part where length(p_brand) > 7""",
 }
+
+LOADS = {
+    "load_csv_roundtrip": statement(
+        "items",
+        """
+        select cast(order_id as varchar) as order_id, order_item_id, cast(product_id as varchar) as product_id,
+               cast(seller_id as varchar) as seller_id, shipping_limit_date, cast(price as double) as price,
+               cast(freight_value as double) as freight_value
+        from items""",
+    ),
+    "load_text_roundtrip": """
+        select cast(doc_id as varchar) as review_id, lang as review_comment_title, text as review_comment_message
+        from documents""",
+    "load_audit": statement(
+        "customers sales items sellers products translation payments reviews",
+        " union all ".join(
+            f"select '{table}' as table_name, count(*) as row_count from {view}"
+            for table, view in {
+                "product_category_name_translation": "translation",
+                "customers": "customers",
+                "sellers": "sellers",
+                "products": "products",
+                "orders": "sales",
+                "order_items": "items",
+                "order_payments": "payments",
+                "order_reviews": "reviews",
+            }.items()
+        ),
+    ),
+    "load_refresh": statement(
+        "customers sales items sellers products translation payments",
+        """
+        , judged as (
+            select 'product_category_name_translation' as table_name, 'accepted' as outcome from translation
+            union all select 'customers', 'accepted' from customers
+            union all select 'sellers', 'accepted' from sellers
+            union all select 'products', 'accepted' from products
+            union all select 'orders', 'accepted' from sales
+            union all select 'order_items', case when count(*) over (partition by order_id, order_item_id) > 1
+                then 'duplicate key' else 'accepted' end from items
+            union all select 'order_payments', case when payment_sequential > 32767 then 'unreadable'
+                when order_id not in (select order_id from sales) then 'order_id not in orders'
+                else 'accepted' end from payments
+            union all select 'order_reviews',
+                case when cast(json_extract_string(props, '$.k') as int) % 7 not between 1 and 5
+                    then 'review_score not in 1..5'
+                when event_id // 2 not in (select order_id from sales) then 'order_id not in orders'
+                else 'accepted' end from events)
+        select table_name, outcome, count(*) as row_count from judged group by table_name, outcome
+        union all select 'geolocation', 'accepted', 0""",
+    ),
+}

@@ -11,9 +11,9 @@ from pyspark.sql.types import DecimalType
 from bazaarlens import operators as ops
 from bazaarlens import plans, tune
 from bazaarlens.functions import MONEY_TOTAL, exact_mean, exact_ratio, mean_days, month_label, month_of
-from bazaarlens.plans.building_blocks import active_orders, gross, order_reviews, product_categories
-from checks import oracle
-from checks.proxy_tables import event_number, proxy_tables, source
+from bazaarlens.plans.building_blocks import Tables, active_orders, gross, order_reviews, product_categories
+from checks import loads, oracle
+from checks.proxy_tables import ProxyTables, event_number, source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,9 +25,9 @@ def comparable(df: DataFrame) -> DataFrame:
     )
 
 
-def over_tables(report: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+def over_tables(report: Callable[[Tables], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(report(proxy_tables(tune(spark), sf_dir)))
+        return comparable(report(ProxyTables(tune(spark), sf_dir)))
 
     return run
 
@@ -239,6 +239,10 @@ QUERIES: dict[str, Query] = {
     **{name: over_tables(report) for name, report in REPORTS.items()},
     **{f.__name__: over_tables(f) for f in OVER_TABLES},
     **{f.__name__: over_files(f) for f in OVER_FILES},
+    "load_csv_roundtrip": over_files(loads.load_csv_roundtrip),
+    "load_text_roundtrip": over_files(loads.load_text_roundtrip),
+    "load_audit": over_files(loads.count_tables),
+    "load_refresh": over_files(loads.load_refresh),
 }
 
-ORACLE_SQL: dict[str, str] = {**oracle.REPORTS, **oracle.METRICS, **oracle.OPERATORS, **oracle.QUALITY}
+ORACLE_SQL: dict[str, str] = {**oracle.REPORTS, **oracle.METRICS, **oracle.OPERATORS, **oracle.QUALITY, **oracle.LOADS}
