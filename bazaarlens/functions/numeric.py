@@ -8,8 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# The sum of one small group's amounts, and of a whole table's.
-MONEY_SUM = DecimalType(20, 2)
 MONEY_TOTAL = DecimalType(30, 2)
 
 # Integer digits kept on both sides of a division. With 18 of them Spark keeps 18 to 20 digits
@@ -42,11 +40,23 @@ def percent(part: Column, whole: Column, digits: int, scale: int = 0) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """An amount with two decimals in whole cents. Sums of them take eight bytes and no decimal
-    arithmetic per row; meant for groups of bounded size, a sum too large raises under ANSI mode.
+    """An amount with two decimals in whole cents.
+
+    Sums are taken in cents: they are exact, need eight bytes in every buffer and shuffle, and no
+    decimal arithmetic per row. They hold up to 9e16 units of money; past that ANSI mode raises.
     """
     return (amount * 100).cast("bigint")
 
 
 def from_cents(whole: Column) -> Column:
-    return (whole.cast(DecimalType(20, 0)) * F.lit(Decimal("0.01"))).cast(MONEY_SUM)
+    return (whole.cast(DecimalType(20, 0)) * F.lit(Decimal("0.01"))).cast(MONEY_TOTAL)
+
+
+def money_sum(amount: Column) -> Column:
+    """Aggregate sum of amounts with two decimals."""
+    return from_cents(F.sum(cents(amount)))
+
+
+def money_mean(amount: Column) -> Column:
+    """Aggregate mean, to the cent, of the non-NULL amounts."""
+    return exact_ratio(money_sum(amount), F.count(amount), 2, num_scale=2)

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.functions import cents, from_cents
+from bazaarlens.functions import cents
 
 Tables = Mapping[str, DataFrame]
 
@@ -30,12 +30,9 @@ def active_orders(orders: DataFrame) -> DataFrame:
 
 
 def order_totals(items: DataFrame) -> DataFrame:
-    """One row per order: the gross value and number of its items.
-
-    The sum is taken in cents: an order's item numbers are small integers and part of the key.
-    """
+    """One row per order: the gross value of its items in cents, and their number."""
     return items.groupBy("order_id").agg(
-        from_cents(F.sum(cents(gross()))).alias("gross"), F.count(gross()).alias("item_rows")
+        F.sum(cents(gross())).alias("gross_cents"), F.count(gross()).alias("item_rows")
     )
 
 

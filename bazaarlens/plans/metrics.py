@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.functions import MONEY_TOTAL, exact_mean, exact_ratio
+from bazaarlens.functions import cents, exact_ratio, from_cents, money_mean, money_sum
 from bazaarlens.operators import running_share, share_of_total, spread_join
 from bazaarlens.plans.building_blocks import Tables, active_orders, order_reviews
 from bazaarlens.plans.reports import (
@@ -36,7 +36,7 @@ def seller_state_concentration(tables: Tables) -> DataFrame:
     by_state = (
         top_sellers(tables)
         .groupBy("seller_state")
-        .agg(F.count(F.lit(1)).alias("sellers"), F.sum("total_revenue").cast(MONEY_TOTAL).alias("total_revenue"))
+        .agg(F.count(F.lit(1)).alias("sellers"), money_sum(F.col("total_revenue")).alias("total_revenue"))
     )
     return by_state.orderBy(F.col("sellers").desc(), F.col("seller_state").asc_nulls_last())
 
@@ -57,8 +57,8 @@ def clv_quartiles(tables: Tables) -> DataFrame:
         .groupBy("clv_quartile")
         .agg(
             F.count(F.lit(1)).alias("customers"),
-            F.sum(value).cast(MONEY_TOTAL).alias("total_value"),
-            exact_mean(value, 2, scale=2).alias("avg_lifetime_value"),
+            money_sum(value).alias("total_value"),
+            money_mean(value).alias("avg_lifetime_value"),
         )
     )
     all_rows = Window.partitionBy()
@@ -91,9 +91,9 @@ def seller_revenue_true(tables: Tables) -> DataFrame:
     sold = spread_join(
         items, orders.join(reviews, "order_id", "left"), "order_id", ["order_item_id", "product_id", "seller_id"]
     )
-    repeats = F.coalesce("review_rows", F.lit(1)).cast("int")
+    repeats = F.coalesce("review_rows", F.lit(1))
     by_seller = sold.groupBy("seller_id").agg(
-        F.sum("price").cast(MONEY_TOTAL).alias("revenue"),
-        F.sum(F.col("price") * repeats).cast(MONEY_TOTAL).alias("reported_revenue"),
+        money_sum(F.col("price")).alias("revenue"),
+        from_cents(F.sum(cents(F.col("price")) * repeats)).alias("reported_revenue"),
     )
     return tables["sellers"].select("seller_id").join(by_seller, "seller_id")

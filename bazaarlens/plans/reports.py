@@ -9,7 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.functions import MONEY_TOTAL, exact_mean, exact_ratio, mean_days, month_label, month_of
+from bazaarlens.functions import (
+    cents,
+    exact_mean,
+    exact_ratio,
+    from_cents,
+    mean_days,
+    money_mean,
+    money_sum,
+    month_label,
+    month_of,
+)
 from bazaarlens.operators import (
     bucketize,
     ntile_global,
@@ -46,7 +56,7 @@ def monthly_revenue(tables: Tables) -> DataFrame:
     by_month = (
         priced_orders(tables)
         .groupBy(month_of(F.col("order_purchase_timestamp")).alias("first_day"))
-        .agg(F.sum("gross").cast(MONEY_TOTAL).alias("revenue"))
+        .agg(from_cents(F.sum("gross_cents")).alias("revenue"))
     )
     changed = period_change(by_month, "first_day", "revenue", "prev_month_revenue", "mom_pct_change")
     return changed.orderBy(F.col("first_day").asc_nulls_last()).select(
@@ -65,8 +75,8 @@ def category_sales(tables: Tables) -> DataFrame:
         .groupBy("category")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            F.sum("price").cast(MONEY_TOTAL).alias("total_revenue"),
-            exact_mean(F.col("price"), 2, scale=2).alias("avg_item_price"),
+            money_sum(F.col("price")).alias("total_revenue"),
+            money_mean(F.col("price")).alias("avg_item_price"),
         )
     )
 
@@ -118,8 +128,8 @@ def payment_breakdown(tables: Tables) -> DataFrame:
         .groupBy("payment_type")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            F.sum("payment_value").cast(MONEY_TOTAL).alias("total_revenue"),
-            exact_mean(F.col("payment_value"), 2, scale=2).alias("avg_order_value"),
+            money_sum(F.col("payment_value")).alias("total_revenue"),
+            money_mean(F.col("payment_value")).alias("avg_order_value"),
             exact_mean(F.col("payment_installments"), 1).alias("avg_installments"),
         )
     )
@@ -140,11 +150,11 @@ def seller_sales(tables: Tables) -> DataFrame:
     sold = spread_join(
         items, orders.join(reviews, "order_id", "left"), "order_id", ["order_item_id", "product_id", "seller_id"]
     )
-    repeats = F.coalesce("review_rows", F.lit(1)).cast("int")
+    repeats = F.coalesce("review_rows", F.lit(1))
     by_seller = sold.groupBy("seller_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("product_id").alias("unique_products"),
-        F.sum(F.col("price") * repeats).cast(MONEY_TOTAL).alias("total_revenue"),
+        from_cents(F.sum(cents(F.col("price")) * repeats)).alias("total_revenue"),
         exact_ratio(F.sum("score_sum"), F.sum("scores"), 2).alias("avg_review_score"),
     )
     return tables["sellers"].select("seller_id", "seller_city", "seller_state").join(by_seller, "seller_id")
@@ -199,14 +209,14 @@ def state_sales(tables: Tables) -> DataFrame:
         .groupBy("customer_state", "customer_unique_id")
         .agg(
             F.count("order_id").alias("orders"),
-            F.sum("gross").alias("gross"),
+            F.sum("gross_cents").alias("gross_cents"),
             F.sum("item_rows").alias("item_rows"),
         )
     )
     return by_person.groupBy("customer_state").agg(
         F.sum("orders").alias("total_orders"),
         F.count("customer_unique_id").alias("unique_customers"),
-        F.sum("gross").cast(MONEY_TOTAL).alias("total_revenue"),
+        from_cents(F.sum("gross_cents")).alias("total_revenue"),
         F.sum("item_rows").alias("item_rows"),
     )
 
@@ -248,14 +258,15 @@ def customer_values(tables: Tables) -> DataFrame:
     """One row per person: orders, value and first and last purchase; the mean is per item."""
     customers = tables["customers"].select("customer_id", "customer_unique_id")
     purchased = F.col("order_purchase_timestamp")
+    value = from_cents(F.sum("gross_cents"))
     by_person = (
         priced_orders(tables)
         .join(customers, "customer_id")
         .groupBy("customer_unique_id")
         .agg(
             F.count("order_id").alias("total_orders"),
-            F.sum("gross").cast(MONEY_TOTAL).alias("lifetime_value"),
-            exact_ratio(F.sum("gross"), F.sum("item_rows"), 2, num_scale=2).alias("avg_order_value"),
+            value.alias("lifetime_value"),
+            exact_ratio(value, F.sum("item_rows"), 2, num_scale=2).alias("avg_order_value"),
             F.to_date(F.min(purchased)).alias("first_order_date"),
             F.to_date(F.max(purchased)).alias("last_order_date"),
         )

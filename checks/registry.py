@@ -10,8 +10,19 @@ from pyspark.sql.types import DecimalType
 
 from bazaarlens import operators as ops
 from bazaarlens import plans, tune
-from bazaarlens.functions import MONEY_TOTAL, exact_mean, exact_ratio, mean_days, month_label, month_of
+from bazaarlens.functions import (
+    cents,
+    exact_mean,
+    exact_ratio,
+    from_cents,
+    mean_days,
+    money_mean,
+    money_sum,
+    month_label,
+    month_of,
+)
 from bazaarlens.plans.building_blocks import Tables, active_orders, gross, order_reviews, product_categories
+from bazaarlens.schemas import MONEY
 from checks import loads, oracle
 from checks.proxy_tables import ProxyTables, event_number, source
 
@@ -78,7 +89,7 @@ def inner_join_chain(t):
         .join(t["sellers"], "seller_id")
         .join(t["customers"], "customer_id")
         .groupBy("order_status")
-        .agg(F.count(F.lit(1)).alias("item_rows"), F.sum(gross()).cast(MONEY_TOTAL).alias("gross"))
+        .agg(F.count(F.lit(1)).alias("item_rows"), money_sum(gross()).alias("gross"))
     )
 
 
@@ -91,15 +102,15 @@ def left_join_coalesce(t):
 def fanout_join(t):
     """Items times reviews per order, from one row per order on each side."""
     items = t["order_items"].groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("item_rows"), F.sum("price").alias("price")
+        F.count(F.lit(1)).alias("item_rows"), F.sum(cents(F.col("price"))).alias("price_cents")
     )
     reviews = order_reviews(t["order_reviews"]).select("order_id", "review_rows")
-    repeats = F.coalesce("review_rows", F.lit(1)).cast("int")
+    repeats = F.coalesce("review_rows", F.lit(1))
     return items.join(reviews, "order_id", "left").select(
         "order_id",
         (F.col("item_rows") * repeats).alias("joined_rows"),
         (F.col("item_rows") * F.coalesce("review_rows", F.lit(0))).alias("pair_count"),
-        (F.col("price") * repeats).cast(MONEY_TOTAL).alias("repeated_price"),
+        from_cents(F.col("price_cents") * repeats).alias("repeated_price"),
     )
 
 
@@ -111,9 +122,9 @@ def two_distinct(t):
 
 def exact_avg(t):
     return t["order_items"].groupBy("seller_id").agg(
-        exact_mean(F.col("price"), 2, scale=2).alias("mean_price"),
+        money_mean(F.col("price")).alias("mean_price"),
         exact_mean(F.col("order_item_id"), 1).alias("mean_line"),
-        exact_ratio(F.sum(gross()), F.count_distinct("order_id"), 2, num_scale=2).alias("gross_per_order"),
+        exact_ratio(money_sum(gross()), F.count_distinct("order_id"), 2, num_scale=2).alias("gross_per_order"),
     )
 
 
@@ -170,7 +181,7 @@ def lag_change(spark, sf_dir):
     by_day = (
         source(spark, sf_dir, "events")
         .groupBy(F.to_date("ts").alias("payment_day"))
-        .agg(F.sum(F.col("value").cast("decimal(10,2)")).alias("paid"))
+        .agg(money_sum(F.col("value").cast(MONEY)).alias("paid"))
     )
     return ops.period_change(by_day, "payment_day", "paid", "previous_paid", "pct_change")
 
@@ -187,7 +198,7 @@ def ntile_global(spark, sf_dir):
 
 def topk(t):
     def leaders(ranking: str, key: str, k: int) -> DataFrame:
-        sums = t["order_items"].groupBy(key).agg(F.sum("price").cast(MONEY_TOTAL).alias("amount"))
+        sums = t["order_items"].groupBy(key).agg(money_sum(F.col("price")).alias("amount"))
         top = ops.top_k(sums, "amount", [key], k)
         return top.select(F.lit(ranking).alias("ranking"), F.col(key).cast("string").alias("id"), "amount")
 
