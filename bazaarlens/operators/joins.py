@@ -18,10 +18,11 @@ _MIN_SLICE_ROWS = 200_000
 def spread_join(
     rows: DataFrame,
     side: DataFrame,
-    on: str,
+    on: str | Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
     min_slice_rows: int = _MIN_SLICE_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``rows`` to a ``side`` with one row per key, splitting the hot keys.
 
@@ -33,12 +34,16 @@ def spread_join(
     are repeated once per slice. The slices add up to at most twice ``_BUCKETS / _HOT_FACTOR``,
     and a bucket holds a 1 / ``_BUCKETS`` share of the side's keys, so the repetition adds at
     most half the side in the worst case. Nothing is dropped; the result equals the plain join.
+
+    ``counted`` names rows with the same keys that are cheaper to count than ``rows``, such as
+    the stored rows that ``rows`` was joined from.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"spread_join supports inner and left, not {how}")
-    bucket = F.pmod(F.xxhash64(on), F.lit(_BUCKETS))
+    keys = [on] if isinstance(on, str) else list(on)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(_BUCKETS))
 
-    sizes = rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = (rows if counted is None else counted).groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
     slice_rows = F.greatest(
         F.lit(min_slice_rows), F.ceil(F.sum("_size").over(Window.partitionBy()) * _HOT_FACTOR / _BUCKETS)
     )
@@ -64,4 +69,4 @@ def spread_join(
         .withColumn("_slice", F.explode(all_slices))
         .drop("_bucket", "_slices")
     )
-    return sliced_rows.join(sliced_side, [on, "_slice"], how).drop("_slice")
+    return sliced_rows.join(sliced_side, [*keys, "_slice"], how).drop("_slice")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,12 +58,22 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return _own_folder()
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="bazaarlens-")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder, so several later uses read the same rows."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once into the shared folder, so that all later uses read the same rows.
+
+    The rows are written as Parquet: later uses read just their columns, a count just the file
+    footers, and lost executors cost no recomputation. Clearing the folder is its owner's task,
+    as with checkpoints.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

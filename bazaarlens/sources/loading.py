@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.operators import dedup_keep_first, fk_orphans, pk_violations
+from bazaarlens.operators import dedup_keep_first, fk_orphans, pk_violations, spread_join
 from bazaarlens.schemas import BY_NAME, TABLES, Table
 from bazaarlens.session import materialize
 from bazaarlens.sources.csv_files import CORRUPT, read_csv_positional
@@ -151,30 +151,33 @@ def _row_rules(table: Table) -> dict[str, Column]:
 
 
 def _split(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep all rules, and the others as text with the reason.
+    """Rows that keep all rules, and the others with the reason.
 
     A row is set aside for the first rule it breaks. All rows of a repeated key are, unless the
-    table says which one to keep.
+    table says which one to keep. Repeated keys and references without a parent are found first,
+    one row each, and then joined to the rows; the row number tells even equal rows apart there,
+    so that many copies of one row do not meet in one task.
     """
     reason = F.when(F.col(CORRUPT).isNotNull(), "unreadable")
     for name, broken in _row_rules(table).items():
         reason = reason.when(broken, name)
-    judged = materialize(rows.withColumn("reason", reason))
-    rejected = [judged.filter("reason IS NOT NULL")]
+    judged = materialize(rows.withColumns({"reason": reason, "_row": F.monotonically_increasing_id()}))
     good = _keep_first(judged.filter("reason IS NULL"), table)
+    judged = good.unionByName(judged.filter("reason IS NOT NULL")) if table.keep_first else judged
 
+    broken_sets = []
     if table.key and not table.keep_first:
-        repeated = pk_violations(good, table.key).select(*table.key)
-        rejected.append(good.join(repeated, list(table.key), "left_semi").withColumn("reason", F.lit("duplicate key")))
-        good = good.join(repeated, list(table.key), "left_anti")
+        broken_sets.append((list(table.key), pk_violations(good, table.key), "duplicate key"))
     for column, parent in table.references.items():
-        orphans = fk_orphans(good, column, parents[parent], column).select(F.col("reference").alias(column))
-        why = F.lit(f"{column} not in {parent}")
-        rejected.append(good.join(orphans, column, "left_semi").withColumn("reason", why))
-        good = good.join(orphans, column, "left_anti")
-
+        orphans = fk_orphans(good, column, parents[parent], column).withColumnRenamed("reference", column)
+        broken_sets.append(([column], orphans, f"{column} not in {parent}"))
+    stored = judged
+    for keys, found, name in broken_sets:
+        marked = found.select(*keys, F.lit(name).alias("_broken"))
+        judged = spread_join(judged, marked, keys, ["_row"], "left", counted=stored)
+        judged = judged.withColumn("reason", F.coalesce("reason", "_broken")).drop("_broken")
+
+    judged = materialize(judged.drop("_row")) if broken_sets else judged
     names = [c.name for c in table.columns]
-    set_aside = rejected[0].select(*names, CORRUPT, "reason")
-    for more in rejected[1:]:
-        set_aside = set_aside.unionByName(more.select(*names, CORRUPT, "reason"))
-    return good.select(*names), set_aside
+    accepted = judged.filter("reason IS NULL").select(*names)
+    return accepted, judged.filter("reason IS NOT NULL").select(*names, CORRUPT, "reason")
