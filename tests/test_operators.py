@@ -38,6 +38,14 @@ def plain_ntile(df, tiles):
     return df.withColumn("tile", F.ntile(tiles).over(order))
 
 
+@pytest.fixture(params=["true", "false"], ids=["merged partitions", "eight partitions"])
+def partitions(spark, request):
+    """Small results end up in one partition unless Spark is told to leave them apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 CASES = {
     "distinct": [(i, (i * 37) % 1009) for i in range(1000)],
     "ties": [(i, i % 5) for i in range(997)],
@@ -51,7 +59,7 @@ CASES = {
 
 
 @pytest.mark.parametrize("case", CASES)
-def test_ntile_global_equals_ntile(spark, case):
+def test_ntile_global_equals_ntile(spark, partitions, case):
     df = spark.createDataFrame(CASES[case], "id int, v int").repartition(7)
     got = ntile_global(df, 4, "v", ["id"], "tile")
     assert got.columns == ["id", "v", "tile"]
@@ -80,7 +88,7 @@ def test_ntile_of_no_rows(spark):
     assert ntile_of_top(df, 4, "v", ["id"], "tile", 5).count() == 0
 
 
-def test_rank_global_is_a_row_number(spark):
+def test_rank_global_is_a_row_number(spark, partitions):
     df = spark.range(5000).select("id", (F.col("id") * 7919 % 101).alias("v")).repartition(9)
     got = rank_global(df, "v", ["id"], "rank", "total")
     expected = df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("v"), "id")))
