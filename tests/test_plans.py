@@ -73,6 +73,7 @@ def test_scans_read_only_the_columns_in_use(spark):
 
 
 def test_filters_reach_the_scan(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # show them whole
     tables = {}
     for table in TABLES:
         spark.createDataFrame([], table.schema).write.parquet(f"{tmp_path}/{table.name}")
@@ -84,6 +85,7 @@ def test_filters_reach_the_scan(spark, tmp_path):
         assert "Not(In(order_status, [canceled,unavailable]))" in plan_of(report(tables))
     lean = plan_of(plans.monthly_revenue(tables))
     assert "struct<order_id:string,price:decimal(10,2),freight_value:decimal(10,2)>" in lean
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_items_are_summed_before_they_are_shuffled(no_broadcast):
