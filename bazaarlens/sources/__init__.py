@@ -1,4 +1,4 @@
-from bazaarlens.sources.csv_files import read_csv_positional
+from bazaarlens.sources.csv_files import corrupt_rows, read_csv_positional
 from bazaarlens.sources.loading import LoadError, load, load_audit, load_plan, open_tables
 
-__all__ = ["LoadError", "load", "load_audit", "load_plan", "open_tables", "read_csv_positional"]
+__all__ = ["LoadError", "corrupt_rows", "load", "load_audit", "load_plan", "open_tables", "read_csv_positional"]

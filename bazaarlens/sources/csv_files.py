@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from bazaarlens.session import materialize
+
 CORRUPT = "_corrupt_record"
 
 # Stands for a quoted empty field while reading: "" is an empty string, an unquoted empty field
@@ -29,19 +37,20 @@ def read_csv_positional(spark: SparkSession, paths: str | list[str], schema: Str
         "mode": "FAILFAST" if strict else "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
     }
-    if _lines_are_records(spark, paths):
+    splits = _splits(spark, paths)
+    if _lines_are_records(splits):
         rows = spark.read.schema(schema).options(**options).csv(paths, header=True)
     else:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
         row = F.from_csv("record", columns, options)
-        rows = _records(spark, paths).select(row.alias("row")).select("row.*")
+        rows = _records(spark, paths, splits).select(row.alias("row")).select("row.*")
     texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType) and f.name != CORRUPT]
     empty = F.lit(_QUOTED_EMPTY)
     return rows.withColumns({c: F.when(F.col(c) == empty, "").otherwise(F.col(c)) for c in texts})
 
 
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All lines with the file split they start in and, within it, their order.
+    """All lines, each with the file split it starts in; within a split they come in order.
 
     A record is open after a line if the quotes up to there are odd in number; a doubled quote
     inside a field leaves that as it is.
@@ -51,27 +60,29 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         spark.read.option("lineSep", "\n")
         .text(paths)
         .select(
-            "value",
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("line"),
+            "value",
             (quotes % 2).alias("odd"),
         )
     )
 
 
-def _lines_are_records(spark: SparkSession, paths: str | list[str]) -> bool:
-    """Whether no record holds a line break, so that Spark's own reader can split the files."""
-    per_file = (
+def _splits(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """One row per file split: its lines with an odd number of quotes, and whether a line holds
+    a carriage return that does not end it."""
+    return materialize(
         _lines(spark, paths)
-        .groupBy("file")
-        .agg(
-            F.sum("odd").alias("odds"),
-            F.bool_or(F.col("value").rlike("\r(?!$)")).alias("inner_return"),
-        )
+        .groupBy("file", "split")
+        .agg(F.sum("odd").alias("odds"), F.bool_or(F.col("value").rlike("\r(?!$)")).alias("inner_return"))
     )
+
+
+def _lines_are_records(splits: DataFrame) -> bool:
+    """Whether no record holds a line break, so that Spark's own reader can split the files."""
+    per_file = splits.groupBy("file").agg(F.sum("odds").alias("odds"), F.bool_or("inner_return").alias("returns"))
     found = per_file.agg(
-        F.bool_or((F.col("odds") > 0) | F.col("inner_return")).alias("breaks"),
+        F.bool_or((F.col("odds") > 0) | F.col("returns")).alias("breaks"),
         F.min(F.when(F.col("odds") % 2 == 1, F.col("file"))).alias("unterminated"),
     ).first()
     if found["unterminated"]:
@@ -79,54 +90,113 @@ def _lines_are_records(spark: SparkSession, paths: str | list[str]) -> bool:
     return not found["breaks"]
 
 
-def _records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def _records(spark: SparkSession, paths: str | list[str], splits: DataFrame) -> DataFrame:
     """One row per record, headers left out, from files cut anywhere into splits.
 
-    Reading such files with ``multiLine`` takes one task per file. Here every split counts its
-    quotes, and the counts of the splits before it tell whether it starts inside a record; the
-    lines of a split are then put together on their own, and only the pieces that cross the
-    border of a split are matched across splits.
+    Reading such files with ``multiLine`` takes one task per file. Here the quotes counted in the
+    splits before a split tell whether it starts inside a record, and every task puts the lines
+    of its splits together where it reads them. Only the pieces at the borders of a split, at
+    most two, are shuffled and matched across splits.
     """
-    lines = _lines(spark, paths)
-    earlier_splits = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = (
-        lines.groupBy("file", "split")
-        .agg(F.sum("odd").alias("odds"))
-        .withColumn("open_before", F.coalesce(F.sum("odds").over(earlier_splits), F.lit(0)))
-        .drop("odds")
-    )
-
-    in_split = Window.partitionBy("file", "split").orderBy("line")
-    earlier_lines = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    open_before_line = F.col("open_before") + F.coalesce(F.sum("odd").over(earlier_lines), F.lit(0))
-    numbered = (
-        lines.join(splits, ["file", "split"])
-        .withColumn("starts", F.when(open_before_line % 2 == 0, 1).otherwise(0))
-        .withColumn("number", F.sum("starts").over(in_split.rowsBetween(Window.unboundedPreceding, 0)))
-    )
-    # Piece 0 of a split continues a record of an earlier split. No shuffle: lines are already
-    # together by split.
-    ordered = F.array_sort(F.collect_list(F.struct("line", "value")))
-    pieces = numbered.groupBy("file", "split", "number").agg(
-        F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("text")
-    )
-    whole_split = Window.partitionBy("file", "split")
-    pieces = pieces.withColumn("last", F.max("number").over(whole_split))
-
-    # At most two pieces per split touch its borders: the first, if it continues a record, and
-    # the last, if the next split may continue it.
-    at_border = (F.col("number") == 0) | (F.col("number") == F.col("last"))
-    in_file = Window.partitionBy("file").orderBy("split", "number").rowsBetween(Window.unboundedPreceding, 0)
-    crossing = pieces.filter(at_border).withColumn(
-        "record_number", F.sum(F.when(F.col("number") > 0, 1).otherwise(0)).over(in_file)
-    )
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    open_before = F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2
+    # One row per split, and so per share of a scan task: no more than the driver plans with
+    # anyway. A broadcast also leaves the lines in their order.
+    entry = F.broadcast(splits.select("file", "split", open_before.alias("open")))
+    lines = _lines(spark, paths).join(entry, ["file", "split"], "left").select("file", "split", "open", "odd", "value")
+
+    schema = "file string, split long, number long, text string"
+    inside = lines.mapInArrow(partial(_pieces, False), schema).select("split", "number", "text")
+    border = lines.mapInArrow(partial(_pieces, True), schema)
+
+    so_far = Window.partitionBy("file").orderBy("split", "number").rowsBetween(Window.unboundedPreceding, 0)
+    starts = F.when(F.col("number") > 0, 1).otherwise(0)
     in_order = F.array_sort(F.collect_list(F.struct("split", "number", "text")))
-    joined = crossing.groupBy("file", "record_number").agg(in_order.alias("parts")).select(
-        F.col("parts")[0]["split"].alias("split"),
-        F.col("parts")[0]["number"].alias("number"),
-        F.array_join(F.transform("parts", lambda x: x["text"]), "\n").alias("text"),
+    joined = (
+        border.withColumn("record_number", F.sum(starts).over(so_far))
+        .groupBy("file", "record_number")
+        .agg(in_order.alias("parts"))
+        .select(
+            F.col("parts")[0]["split"].alias("split"),
+            F.col("parts")[0]["number"].alias("number"),
+            F.array_join(F.transform("parts", lambda x: x["text"]), "\n").alias("text"),
+        )
     )
-    inside = pieces.filter(~at_border).select("split", "number", "text")
     header = (F.col("split") == 0) & (F.col("number") == 1)
     record = F.regexp_replace("text", "\r$", "")
     return inside.unionByName(joined).filter(~header).select(record.alias("record")).filter("record <> ''")
+
+
+def _pieces(at_border: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Join the lines of each split into records, numbered from 1 within the split.
+
+    Piece 0 is the rest of a record that an earlier split began. With ``at_border`` only piece 0
+    and the last piece of a split are given, otherwise only the pieces between them.
+    """
+    file = split = None
+    number, is_open, pending = 0, 0, []
+    out: list[tuple] = []
+
+    def close(last: bool) -> None:
+        if pending and at_border == (last or number == 0):
+            out.append((file, split, number, "\n".join(pending)))
+
+    for batch in batches:
+        for run in _runs(batch):
+            run_file, run_split = run["file"][0].as_py(), run["split"][0].as_py()
+            if (run_file, run_split) != (file, split):
+                close(last=True)
+                file, split, number, is_open, pending = run_file, run_split, 0, run["open"][0].as_py(), []
+                if is_open is None:
+                    raise RuntimeError(f"{file} was split in two ways; fix spark.sql.files.minPartitionNum")
+            odd = run["odd"].to_numpy()
+            odd_so_far = np.cumsum(odd)
+            starts = np.flatnonzero((is_open + odd_so_far - odd) % 2 == 0)
+            is_open = int(is_open + odd_so_far[-1]) % 2
+            if not len(starts):
+                pending += run["value"].to_pylist()
+                continue
+            pending += run["value"].slice(0, starts[0]).to_pylist()
+            close(last=False)
+            if not at_border:
+                values = run["value"].to_pylist()
+                ends = starts[1:].tolist()
+                for begin, end in zip(starts.tolist(), ends):
+                    number += 1
+                    out.append((file, split, number, "\n".join(values[begin:end])))
+                number += 1
+            else:
+                number += len(starts)
+            pending = run["value"].slice(starts[-1]).to_pylist()
+        if out:
+            yield _batch(out)
+            out.clear()
+    close(last=True)
+    if out:
+        yield _batch(out)
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch cut where the next line belongs to another split."""
+    if not batch.num_rows:
+        return
+    split, file = batch["split"].to_numpy(), batch["file"]
+    other_file = pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero((split[1:] != split[:-1]) | other_file) + 1
+    for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        yield batch.slice(begin, end - begin)
+
+
+def _batch(pieces: list[tuple]) -> pa.RecordBatch:
+    file, split, number, text = zip(*pieces)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(file, pa.string()), pa.array(split, pa.int64()), pa.array(number, pa.int64()), pa.array(text, pa.string())],
+        names=["file", "split", "number", "text"],
+    )
+
+
+def corrupt_rows(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
+    """The rows, as text, that do not fit ``schema``."""
+    rows = read_csv_positional(spark, paths, schema, strict=False)
+    # Compared with all columns in hand: Spark parses just the columns a query asks for.
+    return rows.filter(F.col(CORRUPT).isNotNull()).select(*[f.name for f in schema.fields], CORRUPT)

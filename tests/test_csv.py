@@ -9,7 +9,8 @@ from pyspark.errors import PySparkException
 
 from bazaarlens.schemas import BY_NAME
 from bazaarlens.sources import read_csv_positional
-from bazaarlens.sources.csv_files import CORRUPT, _lines_are_records
+from bazaarlens.sources import corrupt_rows
+from bazaarlens.sources.csv_files import CORRUPT, _lines_are_records, _splits
 
 REVIEWS = BY_NAME["order_reviews"].schema
 ITEMS = BY_NAME["order_items"].schema
@@ -29,7 +30,7 @@ def test_quotes_breaks_nulls_and_bom(spark, tmp_path):
         'r2,o2,1,"","two\nlines, ""quoted""\n\nend",2018-01-19 00:00:00,2018-01-20 10:56:33\n'
         "r3,o3,3,t,m,,\n",
     )
-    assert not _lines_are_records(spark, path)
+    assert not _lines_are_records(_splits(spark, path))
     rows = {r.review_id: r for r in read_csv_positional(spark, path, REVIEWS).collect()}
     assert list(rows) and set(rows) == {"r1", "r2", "r3"}
     assert rows["r1"].review_comment_title == 'say "hi", all'
@@ -47,7 +48,7 @@ def test_single_line_file_reads_the_same(spark, tmp_path):
         'r1,o1,5,"say ""hi"", all",,2018-01-18 00:00:00,\r\n'
         'r2,o2,1,"",m,2018-01-19 00:00:00,2018-01-20 10:56:33\r\n',
     )
-    assert _lines_are_records(spark, path)
+    assert _lines_are_records(_splits(spark, path))
     rows = {r.review_id: r for r in read_csv_positional(spark, path, REVIEWS).collect()}
     assert rows["r1"].review_comment_title == 'say "hi", all' and rows["r1"].review_comment_message is None
     assert rows["r2"].review_comment_title == ""
@@ -109,6 +110,7 @@ def test_bad_rows_fail_or_are_kept_apart(spark, tmp_path, case, text_field):
     rows = read_csv_positional(spark, path, ITEMS, strict=False).collect()
     assert [r[CORRUPT] for r in rows if r[CORRUPT]] == [BAD_ROWS[case]]
     assert [r.order_item_id for r in rows if not r[CORRUPT]] == [2]
+    assert [r[CORRUPT] for r in corrupt_rows(spark, path, ITEMS).collect()] == [BAD_ROWS[case]]
 
 
 def test_unterminated_field_is_refused(spark, tmp_path):
