@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -108,10 +109,7 @@ def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
         rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name, rows in tables.items()
     ]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.union(count)
-    return result
+    return reduce(DataFrame.union, counts)
 
 
 def _keep_first(rows: DataFrame, table: Table) -> DataFrame:
@@ -131,15 +129,21 @@ def _write(rows: DataFrame, database: str, table: Table, place: str, buckets: in
 def broken_rules(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> dict[str, int]:
     """Each rule of ``table`` that ``rows`` break, with the number of cases.
 
-    One pass for the rules on single rows, one shuffle for the key and one per reference.
+    One pass for the rules on single rows; the key and all references in one further job, with
+    a shuffle of counted values for each.
     """
-    checks = {name: F.count_if(broken) for name, broken in _row_rules(table).items()}
-    counted = rows.agg(*[c.alias(n) for n, c in checks.items()]).first().asDict()
+    counted = rows.agg(*[F.count_if(broken).alias(rule) for rule, broken in _row_rules(table).items()])
+    problems = counted.first().asDict()
+
+    sets = {}
     if table.key:
-        counted["duplicate key"] = pk_violations(rows.select(*table.key), table.key).count()
+        sets["duplicate key"] = pk_violations(rows.select(*table.key), table.key)
     for column, parent in table.references.items():
-        counted[f"{column} not in {parent}"] = fk_orphans(rows, column, parents[parent], column).count()
-    return {rule: n for rule, n in counted.items() if n}
+        sets[f"{column} not in {parent}"] = fk_orphans(rows, column, parents[parent], column)
+    sizes = [found.agg(F.count(F.lit(1)).alias("cases")).withColumn("rule", F.lit(rule)) for rule, found in sets.items()]
+    if sizes:
+        problems |= {r.rule: r.cases for r in reduce(DataFrame.union, sizes).collect()}
+    return {rule: cases for rule, cases in problems.items() if cases}
 
 
 def _row_rules(table: Table) -> dict[str, Column]:

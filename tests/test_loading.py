@@ -43,7 +43,7 @@ def places(tmp_path):
     return source, str(tmp_path / "target")
 
 
-def test_strict_load_and_reports(spark, places):
+def test_strict_load_report_and_second_load(spark, places):
     source, target = places
     audit = load(spark, extracts(source), "market_a", target)
     assert [r.table_name for r in audit.collect()] == [t.name for t in TABLES]
@@ -53,19 +53,12 @@ def test_strict_load_and_reports(spark, places):
     assert {t.name: tables[t.name].schema for t in TABLES} == {t.name: t.schema for t in TABLES}
     assert [r.category for r in top_categories(tables).collect()] == ["Uncategorized", "beauty"]
 
-
-def test_second_load_replaces_the_first(spark, places):
-    source, target = places
-    load(spark, extracts(source), "market_b", target)
-    audit = load(spark, extracts(source, {"order_payments": ["o1,1,boleto,1,1.00"]}), "market_b", target)
-    assert counts(audit)["order_payments"] == 1
-
-
-def test_missing_file_leaves_an_empty_table(spark, places):
-    source, target = places
-    audit = load(spark, extracts(source, {"geolocation": None}), "market_c", target)
-    assert counts(audit)["geolocation"] == 0
-    plan = {table.name: files for table, files in load_plan(spark, str(source))}
+    # A second load replaces the first, and empties a table that has no file any more.
+    (source / "shop_geolocation_dataset.csv").unlink()
+    again = extracts(source, {"order_payments": ["o1,1,boleto,1,1.00"], "geolocation": None})
+    audit = load(spark, again, "market_a", target)
+    assert (counts(audit)["order_payments"], counts(audit)["geolocation"]) == (1, 0)
+    plan = {table.name: files for table, files in load_plan(spark, again)}
     assert plan["geolocation"] == [] and len(plan["orders"]) == 1
 
 
