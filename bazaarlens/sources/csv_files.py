@@ -21,6 +21,10 @@ CORRUPT = "_corrupt_record"
 _QUOTED_EMPTY = "\u0001"
 
 
+class UnterminatedField(ValueError):
+    """A file whose quotes do not pair up, so that its records cannot be told apart."""
+
+
 def read_csv_positional(spark: SparkSession, paths: str | list[str], schema: StructType, strict: bool = True) -> DataFrame:
     """Read CSV files with a header line, whose names are ignored, into the columns of ``schema``.
 
@@ -86,7 +90,7 @@ def _lines_are_records(splits: DataFrame) -> bool:
         F.min(F.when(F.col("odds") % 2 == 1, F.col("file"))).alias("unterminated"),
     ).first()
     if found["unterminated"]:
-        raise ValueError(f"unterminated quoted field in {found['unterminated']}")
+        raise UnterminatedField(f"unterminated quoted field in {found['unterminated']}")
     return not found["breaks"]
 
 

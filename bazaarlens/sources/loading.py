@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from bazaarlens.operators import dedup_keep_first, fk_orphans, pk_violations, spread_join
 from bazaarlens.schemas import BY_NAME, TABLES, Table
 from bazaarlens.session import materialize
-from bazaarlens.sources.csv_files import CORRUPT, read_csv_positional
+from bazaarlens.sources.csv_files import CORRUPT, UnterminatedField, read_csv_positional
 
 
 class LoadError(Exception):
@@ -77,30 +77,31 @@ def load(
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table.name}")
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table.name}_rejected")
 
+    tables = open_tables(spark, database)
     for table, files in load_plan(spark, folder):
         place = f"{target}/{table.name}"
-        if not files:
-            _write(spark.createDataFrame([], table.schema), database, table, place, buckets)
-            continue
-        rows = read_csv_positional(spark, files, table.schema, strict)
-        if strict:
-            try:
+        empty = spark.createDataFrame([], table.schema)
+        try:
+            rows = read_csv_positional(spark, files, table.schema, strict) if files else empty
+            if not files:
+                _write(empty, database, table, place, buckets)
+            elif strict:
                 _write(_keep_first(rows, table), database, table, place, buckets)
-                problems = broken_rules(spark.table(f"{database}.{table.name}"), table, open_tables(spark, database))
+                problems = broken_rules(tables[table.name], table, tables)
                 if problems:
                     raise LoadError(table.name, problems)
-            except (LoadError, PySparkException, Py4JJavaError) as error:
-                _write(spark.createDataFrame([], table.schema), database, table, place, buckets)
-                if "MALFORMED_RECORD" in str(error):
-                    raise LoadError(table.name, {"unreadable": 1}) from error
-                raise
-        else:
-            accepted, rejected = _split(rows, table, open_tables(spark, database))
-            _write(accepted, database, table, place, buckets)
-            rejected.write.mode("overwrite").option("path", f"{place}_rejected").saveAsTable(
-                f"{database}.{table.name}_rejected"
-            )
-    return load_audit(open_tables(spark, database))
+            else:
+                accepted, rejected = _split(rows, table, tables)
+                _write(accepted, database, table, place, buckets)
+                rejected.write.mode("overwrite").option("path", f"{place}_rejected").saveAsTable(
+                    f"{database}.{table.name}_rejected"
+                )
+        except (LoadError, UnterminatedField, PySparkException, Py4JJavaError) as error:
+            _write(empty, database, table, place, buckets)
+            if isinstance(error, UnterminatedField) or "MALFORMED_RECORD" in str(error):
+                raise LoadError(table.name, {"unreadable": 1}) from error
+            raise
+    return load_audit(tables)
 
 
 def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:

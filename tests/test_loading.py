@@ -73,6 +73,14 @@ def test_first_of_repeated_reviews_stays(spark, places):
     assert [r.review_comment_title for r in open_tables(spark, "market_d")["order_reviews"].collect()] == ["early"]
 
 
+def test_unterminated_field_stops_even_a_lenient_load(spark, places):
+    source, target = places
+    broken = extracts(source, {"product_category_name_translation": ['beleza,"beauty']})
+    with pytest.raises(LoadError, match="unreadable"):
+        load(spark, broken, "market_f", target, strict=False)
+    assert open_tables(spark, "market_f")["product_category_name_translation"].count() == 0
+
+
 BROKEN = {
     "unreadable date": ("orders", ["o3,c1,delivered,2017-02-30 10:56:33,,,,"], "unreadable"),
     "id too long": ("customers", ["c" * 33 + ",u1,01037,sao paulo,SP"], "customer_id longer than 32"),
