@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.registry import ORACLE_SQL, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -31,12 +32,12 @@ def plain(value):
     return value
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     got = sorted(([plain(v) for v in row] for row in df.select(*columns).collect()), key=sortable)
-    result = duck.execute(entry.oracle_sql()[name])
+    result = duck.execute(ORACLE_SQL[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     places = [names.index(c) for c in columns]
@@ -49,7 +50,9 @@ def test_query_equals_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert ORACLE_SQL.items() <= entry.oracle_sql().items()
 
 
 def test_flagship_query_has_rows(spark):
