@@ -31,3 +31,37 @@ select d.doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_
     sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
 from docs d left join hit using (doc_id) left join ids using (doc_id)
 """
+
+NEAR_DUPLICATES = rf"""
+with recursive docs as materialized (
+    select doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x20\x09-\x0D]+') as words from documents
+), sets as materialized (
+    select doc_id, case when len(words) = 0 then [] when len(words) < 4 then [words]
+        else list_distinct([words[i:i + 3] for i in range(1, len(words) - 2)]) end as shingles
+    from docs
+), sized as materialized (
+    select doc_id, len(shingles) as n, hash(list_sort(shingles)) as same from sets
+), classes as materialized (
+    select same, n, min(doc_id) as rep from sized where n > 0 group by same, n
+), postings as materialized (
+    select rep, n, unnest(shingles) as shingle from classes join sets on rep = doc_id
+), shared as (
+    select a.rep as a, b.rep as b, count(*) as common, any_value(a.n) as n_a, any_value(b.n) as n_b
+    from postings a join postings b on a.shingle = b.shingle and a.rep < b.rep
+        and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    group by a.rep, b.rep
+), links as materialized (
+    select a, b from shared where 100 * common >= 80 * (n_a + n_b - common)
+), both_ways as materialized (
+    select a, b from links union all select b, a from links
+), reached(node, other) as (
+    select rep, rep from classes
+    union
+    select r.node, l.b from reached r join both_ways l on r.other = l.a
+), components as (
+    select node, min(other) as component from reached group by node
+)
+select s.doc_id, s.n as n_shingles, coalesce(component, s.doc_id) as component_id,
+    coalesce(component, s.doc_id) = s.doc_id as kept
+from sized s left join classes c on s.same = c.same and s.n = c.n left join components on c.rep = components.node
+"""

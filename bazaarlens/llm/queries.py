@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from bazaarlens import tune
 from bazaarlens.llm import oracle
 from bazaarlens.llm.decontamination import contamination
+from bazaarlens.llm.minhash import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -29,9 +34,11 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_minhash_near_dedup": oracle.NEAR_DUPLICATES,
     "op9_benchmark_decontamination": oracle.DECONTAMINATION,
 }

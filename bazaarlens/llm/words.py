@@ -92,7 +92,7 @@ def hash_runs(words: np.ndarray, length: int) -> np.ndarray:
     count = len(words) - length + 1
     if count <= 0:
         return np.zeros(0, dtype=U64)
-    total = np.full(count, length * int(_BASE) % 2**64, dtype=U64)
+    total = np.full(count, int(length) * int(_BASE) % 2**64, dtype=U64)
     for place in range(length):
         total += mixed(words[place : place + count] + U64(place)) if place >= len(_PLACE_FACTORS) else (
             words[place : place + count] * _PLACE_FACTORS[place]
