@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from bazaarlens import tune
 from bazaarlens.llm import oracle
 from bazaarlens.llm.decontamination import contamination
 from bazaarlens.llm.minhash import near_duplicates
+from bazaarlens.llm.packing import packed_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +23,11 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
 
 
+def op5_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packed_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -35,6 +42,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op5_best_two_fit_packing": op5_best_two_fit_packing,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
