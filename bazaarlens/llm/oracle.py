@@ -65,3 +65,15 @@ select s.doc_id, s.n as n_shingles, coalesce(component, s.doc_id) as component_i
     coalesce(component, s.doc_id) = s.doc_id as kept
 from sized s left join classes c on s.same = c.same and s.n = c.n left join components on c.rep = components.node
 """
+
+ARCHIVE = """
+with payloads as (
+    select page_id, strlen(coalesce(html, '')) as size, sha256(coalesce(html, '')) as digest from pages
+), firsts as (
+    select page_id, size, digest, min(page_id) over (partition by digest) as first_page from payloads
+)
+select page_id, cast(size as bigint) as payload_bytes, digest as payload_digest,
+    case when size >= 100 and page_id > first_page then 'revisit' else 'response' end as record_type,
+    case when size >= 100 and page_id > first_page then first_page end as refers_to
+from firsts
+"""

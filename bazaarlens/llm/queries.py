@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,6 +14,9 @@ from bazaarlens.llm import oracle
 from bazaarlens.llm.decontamination import contamination
 from bazaarlens.llm.minhash import near_duplicates
 from bazaarlens.llm.packing import packed_documents
+from bazaarlens.llm.substrings import without_repeated_spans
+from bazaarlens.llm.warc import read_archive, write_archive
+from bazaarlens.session import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +27,24 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
 
 
+def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    folder = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}"
+    write_archive(pages, folder)
+    return read_archive(spark, folder).select(
+        F.expr("try_cast(page_id as bigint)").alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        F.expr("try_cast(refers_to as bigint)").alias("refers_to"),
+    )
+
+
+def op4_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = without_repeated_spans(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", "text")
+
+
 def op5_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packed_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -42,11 +64,14 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_warc_archive": op2_warc_archive,
+    "op4_sentence_span_dedup": op4_sentence_span_dedup,
     "op5_best_two_fit_packing": op5_best_two_fit_packing,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": oracle.NEAR_DUPLICATES,
+    "op2_warc_archive": oracle.ARCHIVE,
     "op9_benchmark_decontamination": oracle.DECONTAMINATION,
 }
