@@ -77,3 +77,40 @@ select page_id, cast(size as bigint) as payload_bytes, digest as payload_digest,
     case when size >= 100 and page_id > first_page then first_page end as refers_to
 from firsts
 """
+
+# Targets of links are absolute here; the tables hold no others.
+URL_FILTERS = r"""
+with recursive rules(rule_host, rule_path, rule_verdict) as (
+    values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), tags as (
+    select url, unnest([
+        regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']([^"'']*)', 1),
+        regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*''?([^"''>\s]+)', 1)
+    ]) as target
+    from pages where url is not null and html is not null
+), links as (
+    select regexp_replace(url, '(?s)#.*$', '') as a, regexp_replace(trim(replace(target, '&amp;', '&')), '(?s)#.*$', '') as b
+    from tags where target <> ''
+), both_ways as (
+    select a, b from links where a <> b union select b, a from links where a <> b
+), reached(node, other) as (
+    select a, a from both_ways union select r.node, l.b from reached r join both_ways l on r.other = l.a
+), urls as (
+    select url, regexp_replace(url, '(?s)#.*$', '') as node from (select url from pages union select a from both_ways)
+), parts as (
+    select url, node,
+        translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) as path
+    from urls
+), ruled as (
+    select url, node, host, path, rule_host || rule_path as rule, rule_verdict
+    from parts left join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+    qualify row_number() over (partition by url order by length(rule_host || rule_path) desc) = 1
+), aliases as (
+    select r.node, case when bool_or(d.rule_verdict = 'allow') then 'allow' when bool_or(d.rule_verdict = 'block') then 'block' end as verdict
+    from reached r join ruled d on d.node = r.other group by r.node
+)
+select p.page_id, r.host, r.path, r.rule, coalesce(r.rule_verdict, a.verdict, 'allow') as verdict
+from pages p join ruled r on p.url is not distinct from r.url left join aliases a on a.node = r.node
+"""

@@ -12,13 +12,24 @@ from pyspark.sql import functions as F
 from bazaarlens import tune
 from bazaarlens.llm import oracle
 from bazaarlens.llm.decontamination import contamination
+from bazaarlens.llm.extraction import extracted_texts
 from bazaarlens.llm.minhash import near_duplicates
 from bazaarlens.llm.packing import packed_documents
 from bazaarlens.llm.substrings import without_repeated_spans
+from bazaarlens.llm.url_filters import judged_pages
 from bazaarlens.llm.warc import read_archive, write_archive
 from bazaarlens.session import shared_folder
 
 
+# Host, path, verdict.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -40,6 +51,10 @@ def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted_texts(_table(spark, sf_dir, "pages"))
+
+
 def op4_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = without_repeated_spans(_table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_words", "n_removed", "text")
@@ -50,6 +65,11 @@ def op5_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judged_pages(_table(spark, sf_dir, "pages"), rules)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -65,13 +85,16 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_warc_archive": op2_warc_archive,
+    "op3_html_extraction": op3_html_extraction,
     "op4_sentence_span_dedup": op4_sentence_span_dedup,
     "op5_best_two_fit_packing": op5_best_two_fit_packing,
+    "op6_url_filters": op6_url_filters,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": oracle.NEAR_DUPLICATES,
     "op2_warc_archive": oracle.ARCHIVE,
+    "op6_url_filters": oracle.URL_FILTERS,
     "op9_benchmark_decontamination": oracle.DECONTAMINATION,
 }
