@@ -15,6 +15,7 @@ from bazaarlens.llm.decontamination import contamination
 from bazaarlens.llm.extraction import extracted_texts
 from bazaarlens.llm.minhash import near_duplicates
 from bazaarlens.llm.packing import packed_documents
+from bazaarlens.llm.quality import scored, train
 from bazaarlens.llm.substrings import without_repeated_spans
 from bazaarlens.llm.url_filters import judged_pages
 from bazaarlens.llm.warc import read_archive, write_archive
@@ -82,6 +83,16 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = _table(spark, sf_dir, "labels").where(~held_out).select("doc_id", F.col("quality").alias("label"))
+    result = scored(documents.select("doc_id", "text", "n_chars"), train(documents, labels))
+    return result.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_warc_archive": op2_warc_archive,
@@ -90,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_two_fit_packing": op5_best_two_fit_packing,
     "op6_url_filters": op6_url_filters,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
