@@ -10,12 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens import tune
-from bazaarlens.llm import oracle
+from bazaarlens.llm import language, oracle, quality
 from bazaarlens.llm.decontamination import contamination
 from bazaarlens.llm.extraction import extracted_texts
 from bazaarlens.llm.minhash import near_duplicates
 from bazaarlens.llm.packing import packed_documents
-from bazaarlens.llm.quality import scored, train
 from bazaarlens.llm.substrings import without_repeated_spans
 from bazaarlens.llm.url_filters import judged_pages
 from bazaarlens.llm.warc import read_archive, write_archive
@@ -71,6 +70,14 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_pages(_table(spark, sf_dir, "pages"), rules)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = language.train(documents.where(~held_out))
+    found = language.identified(documents, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -87,7 +94,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     labels = _table(spark, sf_dir, "labels").where(~held_out).select("doc_id", F.col("quality").alias("label"))
-    result = scored(documents.select("doc_id", "text", "n_chars"), train(documents, labels))
+    result = quality.scored(documents.select("doc_id", "text", "n_chars"), quality.train(documents, labels))
     return result.select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
     )
@@ -100,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentence_span_dedup": op4_sentence_span_dedup,
     "op5_best_two_fit_packing": op5_best_two_fit_packing,
     "op6_url_filters": op6_url_filters,
+    "op7_language_id": op7_language_id,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
 }
