@@ -14,6 +14,7 @@ from bazaarlens.llm import language, oracle, quality
 from bazaarlens.llm.decontamination import contamination
 from bazaarlens.llm.extraction import extracted_texts
 from bazaarlens.llm.minhash import near_duplicates
+from bazaarlens.llm.neighbours import nearest_neighbours
 from bazaarlens.llm.packing import packed_documents
 from bazaarlens.llm.substrings import without_repeated_spans
 from bazaarlens.llm.url_filters import judged_pages
@@ -78,6 +79,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_two_fit_packing": op5_best_two_fit_packing,
     "op6_url_filters": op6_url_filters,
     "op7_language_id": op7_language_id,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
 }
