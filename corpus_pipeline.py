@@ -5,24 +5,69 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bazaarlens import tune
+from bazaarlens.llm import quality
 from bazaarlens.llm.decontamination import decontaminated
+from bazaarlens.llm.minhash import deduplicated
+from bazaarlens.llm.packing import packed_documents
+from bazaarlens.llm.substrings import without_repeated_spans
 from bazaarlens.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Documents that score lower are rejected.
+LEAST_QUALITY = 0.3
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labelled ones, does not reject."""
+    labels = tune(spark).read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    scored = quality.scored(docs, quality.train(docs, labels))
+    return scored.where(F.col("score") >= LEAST_QUALITY).select(*docs.columns)
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest id."""
+    tune(spark)
+    return deduplicated(docs)
+
+
+def remove_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without what stands elsewhere already; a document of which nothing is left goes."""
+    tune(spark)
+    cleaned = without_repeated_spans(docs)
+    emptied = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_words"))
+    cleaned = cleaned.where(~emptied)
+    if "n_chars" in docs.columns:
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
+    return cleaned.select(*docs.columns)
+
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of the benchmark."""
     return decontaminated(docs, tune(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces with their token ids and places in sequences."""
+    tune(spark)
+    return packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_good),
+    ("minhash_near_dedup", keep_one_of_near_duplicates),
+    ("substring_dedup", remove_repeated_spans),
     ("benchmark_decontamination", remove_benchmark_leaks),
+    ("best_fit_packing", pack),
 ]
 
-# Packing gives any numbers to its sequences, and a trained model is no SQL.
+# A trained model is no SQL, and packing may give any numbers to its sequences.
 ORACLE_SQL = None
 
 
