@@ -260,7 +260,8 @@ def near_duplicates(
         "family", F.greatest("by_size", "by_count").cast("int").alias("blocks"), F.col("node").alias("rep")
     )
     full = (
-        to_read.join(texts, F.col("rep") == F.col("doc_id"))
+        # The members grow with the corpus: both sides are shuffled at any size.
+        to_read.hint("merge").join(texts, F.col("rep") == F.col("doc_id"))
         .select("family", "blocks", "rep", "text")
         .mapInArrow(partial(_full_sets, shingle_words), "family long, blocks int, rep long, shingles binary")
         .where(F.length("shingles") > 0)
