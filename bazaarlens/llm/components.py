@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.session import materialize
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+# So many edges take a task 16 MB; below that, one task is done before two shuffles are planned.
+EDGES_OF_A_TASK = 1_000_000
+
+
+def connected_components(edges: DataFrame, most_rounds: int = 60, edges_of_a_task: int = 0) -> DataFrame:
     """(node, component) of every node of an edge (a, b); the component is its smallest node.
 
     Large-star and small-star steps in turn until nothing changes: each node hangs its larger
@@ -17,15 +25,21 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges than it read. Minima are formed before the shuffle; the join that hands them
     out has one row for a hub on one side, so adaptive splitting spreads the other. Only a count
     and a checksum reach the driver. Nulls and loops are left out; no edges give no rows.
+
+    With ``edges_of_a_task``, a graph counted to have no more edges (a, b of type long) is left to a
+    single task, which gives the same.
     """
-    edges = edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low < high").distinct()
+    edges = edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low < high")
     edges = materialize(edges)
+    if edges_of_a_task and edges.count() <= edges_of_a_task:
+        return materialize(edges.coalesce(1).mapInArrow(_in_one_task, "node long, component long"))
+    edges = materialize(edges.distinct())
     mark = _mark(edges)
     for _ in range(most_rounds):
         if mark["n"] == 0:
             break
-        previous, before = edges, mark
-        edges = materialize(_small_star(_large_star(edges)))
+        before = mark
+        edges = materialize(_small_star(materialize(_large_star(edges))))
         mark = _mark(edges)
         if mark == before:
             break
@@ -36,6 +50,28 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return below.unionByName(roots)
 
 
+def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pairs = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches]
+    if not pairs:
+        return
+    nodes, place = np.unique(np.concatenate(pairs, axis=1), return_inverse=True)
+    low, high = place.reshape(2, -1)
+    label = np.arange(len(nodes))
+    while True:
+        # Each label moves to the smaller one across an edge, then to the label of its label.
+        least = np.minimum(label[low], label[high])
+        moved = label.copy()
+        for end in (low, high):
+            np.minimum.at(moved, label[end], least)
+            np.minimum.at(moved, end, least)
+        while not np.array_equal(moved, moved[moved]):
+            moved = moved[moved]
+        if np.array_equal(moved, label):
+            break
+        label = moved
+    yield pa.RecordBatch.from_pydict({"node": nodes, "component": nodes[label]})
+
+
 def _mark(edges: DataFrame) -> dict:
     return edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("low", "high")).alias("sum")).first().asDict()
 
