@@ -90,7 +90,7 @@ def _runs(sentences: int, run_words: int, cut_every: int, batches: Iterator[pa.R
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc columns' position key, the text without the spans' words, words before, words removed."""
+    """The other columns, the text without the words of its spans, how many it had and lost."""
     for batch in batches:
         spans = batch.column(2).to_pylist()
         texts, counts, gone = [], [], []
@@ -131,10 +131,11 @@ def without_repeated_spans(
     and keep the same words. A document without doc_id comes after all others. Null texts stay
     null, and a text without repeats stays as it is, byte for byte; else white space at its ends
     goes. A text that has fewer words than a run keeps them. An empty table gives no rows.
-    Other columns are handed through, whatever their names.
+    Columns named n_words or n_removed are replaced, all others are handed through.
     """
+    names = [c for c in documents.columns if c not in ("n_words", "n_removed")]
     keyed = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "text"]).alias("others"),
+        F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("others"),
         F.col("doc_id").cast("long").alias("_id"),
         F.xxhash64("text").alias("_hash"),
         F.col("text").cast("string").alias("_text"),
@@ -157,5 +158,5 @@ def without_repeated_spans(
     others_type = keyed.schema["others"].dataType.simpleString()
     cleaned = marked.mapInArrow(_without, f"others {others_type}, text string, n_words long, n_removed long")
     return cleaned.select(
-        *[F.col("text") if c == "text" else F.col(f"others.`{c}`") for c in documents.columns], "n_words", "n_removed"
+        *[F.col("text") if c == "text" else F.col(f"others.`{c}`") for c in names], "n_words", "n_removed"
     )

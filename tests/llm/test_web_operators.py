@@ -1,0 +1,191 @@
+"""Archive, extraction, URL filters: odd rows, round trips and brute force."""
+
+import hashlib
+import itertools
+import random
+
+import pytest
+
+from bazaarlens.llm import extraction
+from bazaarlens.llm.extraction import extracted_texts, main_text, minimum_cut
+from bazaarlens.llm.queries import URL_RULES
+from bazaarlens.llm.url_filters import judged_pages
+from bazaarlens.llm.warc import read_archive, record_bytes, write_archive
+
+BIG = "<p>" + "ä" * 60 + "</p>"
+
+
+@pytest.fixture(scope="module")
+def odd_pages(spark):
+    rows = [(1, "http://a.org/x", BIG), (2, "http://b.org/", BIG), (3, None, None), (4, "no scheme", ""), (None, "http://c.net/", BIG),
+            (5, "http://d.org/\r\nWARC-Type: evil", "small"), (6, "http://e.org", "small"), (1, "http://a.org/x", BIG), (7, "", "x" * 200_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return df.selectExpr("*", "'clash' as digest", "1 as size", "'z' as payload", "2 as host", "3 as verdict", "4 as text", "5 as node").repartition(2)
+
+
+# Archive
+
+def test_archive_gives_back_what_went_in(spark, odd_pages, tmp_path):
+    write_archive(odd_pages, str(tmp_path / "archive"))
+    records = read_archive(spark, str(tmp_path / "archive"))
+    rows = records.collect()
+    assert len(rows) == odd_pages.count()
+    expected = [("" if r.page_id is None else str(r.page_id), (r.html or "").encode()) for r in odd_pages.collect()]
+    assert sorted((r.page_id, bytes(r.payload)) for r in rows) == sorted(expected)
+    assert all(hashlib.sha256(r.payload).hexdigest() == r.payload_digest for r in rows)
+    kinds = {(r.page_id, r.record_type, r.refers_to or "") for r in rows}
+    assert {("1", "response", ""), ("2", "revisit", "1"), ("", "response", ""), ("5", "response", ""), ("6", "response", "")} <= kinds
+    assert spark.read.parquet(str(tmp_path / "archive/payloads")).count() == 4
+    (evil,) = [r for r in rows if r.page_id == "5"]
+    assert evil.url == "http://d.org/%0D%0AWARC-Type: evil"
+
+
+def test_record_bytes_are_warc(spark, odd_pages, tmp_path):
+    write_archive(odd_pages, str(tmp_path / "archive"))
+    for r in record_bytes(read_archive(spark, str(tmp_path / "archive"))).collect():
+        header, _, block = bytes(r.record).partition(b"\r\n\r\n")
+        lines = header.decode().split("\r\n")
+        assert lines[0] == "WARC/1.1" and bytes(r.header) == header + b"\r\n\r\n"
+        fields = dict(line.split(": ", 1) for line in lines[1:])
+        assert len(block) == int(fields["Content-Length"]) + 4 and block.endswith(b"\r\n\r\n")
+        assert fields["WARC-Payload-Digest"] == "sha256:" + r.payload_digest
+
+
+def test_a_changed_payload_stops_the_read(spark, odd_pages, tmp_path):
+    write_archive(odd_pages, str(tmp_path / "one"))
+    stored = spark.read.parquet(str(tmp_path / "one/payloads"))
+    stored.selectExpr("digest", "concat(payload, X'00') as payload").write.parquet(str(tmp_path / "two/payloads"))
+    spark.read.parquet(str(tmp_path / "one/headers")).write.parquet(str(tmp_path / "two/headers"))
+    with pytest.raises(Exception, match="no payload has the digest"):
+        read_archive(spark, str(tmp_path / "two")).collect()
+
+
+def test_empty_archive(spark, odd_pages, tmp_path):
+    write_archive(odd_pages.limit(0), str(tmp_path / "archive"))
+    assert read_archive(spark, str(tmp_path / "archive")).count() == 0
+
+
+# Extraction
+
+ARTICLE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
+<header class="site"><a href="/">Home</a></header><nav><ul><li><a href="/a">A</a><li><a href="/b">B</a></ul></nav>
+<div class="cookie-notice">We use cookies to make this page better for all of its readers, honestly.</div>
+<article><header><h1>Caf&eacute; &amp;  tea</h1></header><p>First <b>bold</b>para&shy;graph<br>goes
+on.<p>Ok.<div class="ad">Buy this thing now, it is very cheap and comes with many words.</div>
+<aside>See also this other story.</aside><p>Last &lt;one&gt;.</p><section id="comments"><p>I like this article a lot, thanks for writing
+all of those words in it.</p></section><form><label>Your mail</label><input><button>Go</button></form></article>
+<div id="sidebar"><p>Some long sidebar text that goes on and on for many words without any link in it at all.</p></div>
+<footer>&copy; 2020</footer></body></html>"""
+
+
+def test_article_without_what_surrounds_it():
+    assert main_text(ARTICLE) == "Café & tea\n\nFirst boldpara\xadgraph goes on.\n\nOk.\n\nLast <one>."
+
+
+def test_pages_that_name_nothing():
+    prose = "This sentence has a number of words that make it look like prose. " * 5
+    page = f"<div><a href=1>Home</a> <a href=2>News</a> <a href=3>Mail</a></div><div><p>{prose}</p><p>Short.</p><p>{prose}</p></div><div><a href=4>More of this</a></div>"
+    assert main_text(page) == "\n\n".join([prose.strip(), "Short.", prose.strip()])
+
+
+@pytest.mark.parametrize("page,text", [
+    ("", ""), ("plain", "plain"), ("a < b", "a < b"), ("<p>cut <b", "cut"), ("<p title='x>y'>q</p>", "q"), ("<p title='x>q</p>", "q"),
+    ("<script>x", ""), ("<p>a<!-- b", "a"), ("</p></div>x", "x"), ("<p hidden>h</p><p>v</p>", "v"), ("&#65;&#x42;&unknown;", "AB&unknown;"),
+])
+def test_odd_markup(page, text):
+    assert main_text(page) == text
+
+
+def test_minimum_cut_equals_brute_force():
+    rng = random.Random(5)
+    for _ in range(150):
+        n = rng.randrange(1, 9)
+        leaning = [rng.choice([-3.0, -1.5, -0.5, 0.0, 0.7, 2.0]) for _ in range(n)]
+        edges = [(i, i + 1, rng.choice([0.3, 1.1])) for i in range(n - 1)]
+        edges += [(a, b, 0.6) for a, b in itertools.combinations(range(n), 2) if rng.random() < 0.2]
+
+        def cost(side):
+            cut = sum(w for a, b, w in edges if side[a] != side[b])
+            return cut + sum(max(0, -x) if s else max(0, x) for x, s in zip(leaning, side))
+
+        best = min(cost(side) for side in itertools.product([False, True], repeat=n))
+        assert abs(cost(minimum_cut(leaning, edges)) - best) < 1e-6
+
+
+def test_extraction_of_odd_pages(odd_pages):
+    rows = extracted_texts(odd_pages).collect()
+    assert len(rows) == odd_pages.count()
+    texts = {r.page_id: r.text for r in rows}
+    assert texts[1] == "ä" * 60 and texts[3] == texts[4] == "" and texts[7] == "x" * 200_000
+    assert all(r.n_chars == len(r.text) for r in rows)
+    assert extracted_texts(odd_pages.limit(0)).count() == 0
+
+
+def test_every_page_of_the_table(spark):
+    """The tables' pages hold an article each; what stands in it, block by block, is the text."""
+    import re
+    from html import unescape
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: r.text for r in extracted_texts(pages).collect()}
+    for r in pages.collect():
+        inside = re.search(r"<article>(.*?)(</article>|\Z)", r.html, re.S)[1]
+        blocks = (" ".join(unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inside))
+        assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
+
+
+def test_blocks_know_their_links():
+    blocks = extraction.text_blocks("<div>ab <a href=x>cd</a></div><ul><li><a>ef</a></ul>")
+    assert [(b.text, b.linked) for b in blocks] == [("ab cd", 2), ("ef", 2)]
+
+
+# URL filters
+
+def judged(spark, urls, html=None, rules=URL_RULES, redirects=None):
+    html = html or {}
+    pages = spark.createDataFrame([(i, u, html.get(u)) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    rules = spark.createDataFrame(rules, "host string, path string, verdict string")
+    redirects = redirects and spark.createDataFrame(redirects, "source string, target string")
+    return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judged_pages(pages, rules, redirects).collect()}
+
+
+def test_longest_rule_wins(spark):
+    urls = ["http://X.example.NET/en/1", "https://example.net/de/", "http://a.net", "ftp://b.net/?q", "http://example.com/de/x#y", "http://example.com/DE/",
+            "http://q.org/fr/", "http://q.org/frx", None, "", "http:/x.net/", "a://b://c.net/", "http://myexample.net/en/", "http://net/", "http://a.net:80/"]
+    got = judged(spark, urls)
+    assert got[0] == ("x.example.net", "/en/1", "example.net/en/", "allow")
+    assert got[1] == ("example.net", "/de/", "net/", "block")
+    assert got[2] == ("a.net", "", None, "allow") and got[3] == ("b.net", "/", "net/", "block")
+    assert got[4][2:] == ("example.com/de/", "block") and got[5][2:] == (None, "allow")
+    assert got[6][2:] == ("org/fr/", "allow") and got[7][2:] == (None, "allow")
+    assert got[8] == got[9] == got[10] == ("", "", None, "allow")
+    assert got[11] == ("b:", "//c.net/", None, "allow")
+    assert got[12][2:] == ("net/", "block") and got[13][2:] == ("net/", "block") and got[14][2:] == (None, "allow")
+
+
+def test_aliases_share_a_block(spark):
+    urls = ["http://one.com/a", "http://two.com/b", "http://three.com/c", "http://four.com/d", "http://five.com/e#top", "http://six.com/f"]
+    html = {
+        "http://one.com/a": '<link href="http://bad.net/z" rel="canonical">',
+        "http://two.com/b": "<META HTTP-EQUIV='refresh' content='0; url=http://one.com/a'>",
+        "http://three.com/c": "<link rel='canonical' href='//q.org/fr/1'><meta http-equiv=refresh content=\"0;URL='http://worse.net/'\">",
+        "http://six.com/f": '<link rel="canonical" href="/f">',
+    }
+    got = judged(spark, urls, html, redirects=[("http://five.com/e", "http://four.com/d#x"), ("http://four.com/d", "http://two.com/b"), (None, "x")])
+    assert [got[i][3] for i in range(6)] == ["block", "block", "allow", "block", "block", "allow"]
+    assert all(got[i][2] is None for i in range(6))
+
+
+def test_own_rule_comes_before_aliases(spark):
+    html = {"http://x.example.net/en/": '<link rel="canonical" href="http://bad.net/">'}
+    got = judged(spark, ["http://x.example.net/en/", "http://bad.net/"], html)
+    assert got[0][3] == "allow" and got[1][3] == "block"
+
+
+def test_filters_of_odd_pages(spark, odd_pages):
+    rules = spark.createDataFrame(URL_RULES + [(None, "/", "block"), ("a.org", "/x", "later"), ("c.net", "/", "allow")], "host string, path string, verdict string")
+    rows = judged_pages(odd_pages, rules).collect()
+    assert len(rows) == odd_pages.count()
+    assert {r.verdict for r in rows} == {"allow"}
+    assert judged_pages(odd_pages.limit(0), rules).count() == 0
+    assert {r.rule for r in judged_pages(odd_pages, rules.limit(0)).collect()} == {None}
