@@ -52,6 +52,7 @@ OUTSIDE = -0.5  # what standing outside a named article counts of that
 PLAIN = 0.5  # what speaks for content if nothing else does
 PROSE = 2.5  # most that length without links can say for content
 NEIGHBOUR = 0.8  # weight between blocks that follow each other under one element
+BORDER = 0.25  # what is left of that where one has a named purpose and the other another or none
 SHARED = 0.4  # weight between the next two blocks of one element with others in between
 
 
@@ -174,7 +175,8 @@ def _edges(blocks: list[_Block]) -> list[tuple[int, int, float]]:
             while common < min(len(a), len(b)) and a[common] == b[common]:
                 common += 1
             apart = len(a) + len(b) - 2 * common
-            edges.append((i - 1, i, NEIGHBOUR / (1 + max(0, apart - 2))))
+            weight = NEIGHBOUR / (1 + max(0, apart - 2))
+            edges.append((i - 1, i, weight if block.cue == blocks[i - 1].cue else weight * BORDER))
         parent = block.path[-2] if len(block.path) > 1 else -1
         if parent in latest and latest[parent] != i - 1:
             edges.append((latest[parent], i, SHARED))
