@@ -10,20 +10,32 @@ from pyspark.sql.types import DecimalType
 
 MONEY_TOTAL = DecimalType(30, 2)
 
-# Integer digits kept on both sides of a division. With 18 of them Spark keeps 18 to 20 digits
-# after the point, so rounding the quotient again cannot move it across a half. A larger sum
-# raises under ANSI mode.
-_WHOLE_DIGITS = 18
+_WHOLE = DecimalType(38, 0)
 
 
 def exact_ratio(num: Column, den: Column, digits: int, num_scale: int = 0, den_scale: int = 0) -> Column:
-    """``num / den`` as a decimal rounded to ``digits``; NULL where ``den`` is 0 or NULL.
+    """``num / den`` as a decimal rounded half away from zero to ``digits``; NULL where ``den`` is 0 or NULL.
 
-    ``num_scale`` and ``den_scale`` are the decimal places the two sides carry.
+    ``num_scale`` and ``den_scale`` are the decimal places the two sides carry. Both become whole numbers
+    of up to 38 digits, and one division without rest decides the last digit, so nothing is rounded
+    twice. Only the result must fit eight bytes; what does not raises under ANSI mode.
     """
-    top = num.cast(DecimalType(_WHOLE_DIGITS + num_scale, num_scale))
-    bottom = den.cast(DecimalType(_WHOLE_DIGITS + den_scale, den_scale))
-    return F.round(top / F.nullif(bottom, F.lit(0)), digits).cast(DecimalType(20 + digits, digits))
+    places = digits + den_scale - num_scale
+    top = _shifted(num, num_scale) * F.lit(Decimal(10 ** max(places, 0)))
+    bottom = F.nullif(_shifted(den, den_scale), F.lit(Decimal(0)).cast(_WHOLE)) * F.lit(Decimal(10 ** max(-places, 0)))
+    halves = F.abs(top) * F.lit(Decimal(2)) + F.abs(bottom)
+    nearest = F.call_function("div", halves, F.abs(bottom) * F.lit(Decimal(2)))
+    signed = nearest * (F.signum(top) * F.signum(bottom)).cast("bigint")
+    return _with_point(signed, digits)
+
+
+def _shifted(value: Column, scale: int) -> Column:
+    """A value with ``scale`` decimal places as a whole number of its smallest units."""
+    return (value * F.lit(Decimal(10**scale))).cast(_WHOLE) if scale else value.cast(_WHOLE)
+
+
+def _with_point(whole: Column, digits: int) -> Column:
+    return (whole.cast(DecimalType(20, 0)) * F.lit(Decimal(1).scaleb(-digits))).cast(DecimalType(20 + digits, digits))
 
 
 def exact_mean(column: Column, digits: int, scale: int = 0) -> Column:

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bazaarlens.functions import elapsed_seconds, exact_mean, exact_ratio, month_label, month_of, percent
+from bazaarlens.functions import elapsed_seconds, exact_mean, exact_ratio, mean_days, month_label, month_of, percent
 from bazaarlens.operators import (
     bucketize,
     check_violations,
@@ -204,6 +204,29 @@ def test_ratio_does_not_round_twice(spark):
     assert df.select(percent(F.lit(1), F.lit(3), 2)).first()[0] == Decimal("33.33")
 
 
+def test_ratio_takes_all_digits_of_both_sides(spark):
+    df = spark.sql("select cast('123456789012345678901234567890.12' as decimal(38,2)) n, 10000000000000000000000 d")
+    df = df.select("n", F.col("d").cast("decimal(38,0)").alias("d"))
+    assert df.select(exact_ratio(F.col("n"), F.col("d"), 2, num_scale=2)).first()[0] == Decimal("12345678.90")
+    signs = spark.createDataFrame([(5, 2), (-5, 2), (5, -2), (-5, -2), (0, 3)], "n long, d long")
+    assert [r[0] for r in signs.select(exact_ratio(F.col("n"), F.col("d"), 0)).collect()] == [3, -3, -3, 3, 0]
+
+
+def test_mean_of_more_than_ten_to_the_eighteen_seconds(spark):
+    rows = spark.range(4_000_000).select(
+        F.lit("0001-01-01 00:00:00").cast("timestamp_ntz").alias("a"), F.lit("9999-12-31 12:00:00.000001").cast("timestamp_ntz").alias("b")
+    )
+    total = rows.agg(F.sum(elapsed_seconds(F.col("a"), F.col("b")).cast("long"))).first()[0]
+    assert total > 10**18
+    assert rows.agg(mean_days(F.col("a"), F.col("b"), 1)).first()[0] == Decimal("3652058.5")
+
+
+def test_no_decimal_wider_than_eight_bytes_per_row(spark):
+    df = spark.sql("select timestamp_ntz'2017-10-14 12:00:00' a, timestamp_ntz'2017-10-15 12:00:00.5' b")
+    assert dict(df.select(elapsed_seconds(F.col("a"), F.col("b")).alias("s")).dtypes)["s"] == "decimal(18,6)"
+    assert df.agg(mean_days(F.col("a"), F.col("b"), 1)).first()[0] == Decimal("1.0")
+
+
 def test_small_integer_mean_is_a_decimal(spark):
     df = spark.createDataFrame([(1,), (2,), (2,)], "n short")
     assert df.agg(exact_mean(F.col("n"), 1)).first()[0] == Decimal("1.7")
