@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from bazaarlens.session import materialize
 
 END_ID = 1
-# Words whose ids a task keeps at hand; beyond that many it starts afresh.
-WORDS_KEPT = 1_000_000
+# Words whose ids a worker process keeps at hand (about 120 MB).
+WORDS_KEPT = 600_000
 # Ranks that share a row of the slot table at most.
 STRETCH = 64
 
@@ -41,28 +41,60 @@ def token_pieces(documents: DataFrame, tokenizer_file: str, capacity: int = 4096
     )
 
 
-def _pieces(tokenizer_file: str, capacity: int, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class _WordIds(dict):
+    """The ids, as bytes, of every word asked for; the first `WORDS_KEPT` of them are kept.
+
+    The tokenizer cuts at white space first, so a text's ids are those of its words in turn. It also
+    cuts between letters or digits and punctuation, and lower-cases; so only what is left without
+    those is tokenized. Added tokens are found before that, in exact case: words that could hold one are left as
+    they are.
+    """
 
-    tokenizer = Tokenizer.from_file(tokenizer_file)
-    known: dict[bytes, bytes] = {}
+    def __init__(self, tokenizer_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self._tokenizer = Tokenizer.from_file(tokenizer_file)
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(b".,;:!?")
+        lowered = word.lower()
+        if b"<|" in word:
+            ids = self._encoded(word)
+        elif len(core) < len(word) and core[-1:].isalnum():
+            ids = self[core] + self[word[len(core) :]]
+        elif lowered != word:
+            ids = self[lowered]
+        else:
+            ids = self._encoded(word)
+        if len(self) < WORDS_KEPT:
+            self[word] = ids
+        return ids
+
+    def _encoded(self, word: bytes) -> bytes:
+        if word.isalpha():  # of ASCII letters alone, in lower case: nothing to normalise or to cut
+            ids = [token.id for token in self._tokenizer.model.tokenize(word.decode())]
+        else:
+            ids = self._tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+
+@lru_cache(maxsize=1)
+def _word_ids(tokenizer_file: str) -> _WordIds:
+    """Kept for all tasks that a worker process runs."""
+    return _WordIds(tokenizer_file)
+
+
+def _pieces(tokenizer_file: str, capacity: int, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = _word_ids(tokenizer_file)
     end = np.array([end_id], dtype="<u4").tobytes()
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             part = batch.slice(at, 64)
-            # The tokenizer splits at white space first, so a text's ids are those of its words in turn.
-            texts = [(text or "").encode().split() for text in part.column(1).to_pylist()]
-            new = list({word for words in texts for word in words if word not in known})
-            if len(known) + len(new) > WORDS_KEPT:
-                known.clear()
-                new = list({word for words in texts for word in words})
-            encoded = tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-            for word, one in zip(new, encoded):
-                known[word] = np.array(one.ids, dtype="<u4").tobytes()
             rows, pieces, starts, ids = [], [], [], []
-            for row, words in enumerate(texts):
-                whole = b"".join(map(known.__getitem__, words)) + end
+            for row, text in enumerate(part.column(1).to_pylist()):
+                whole = b"".join(map(known.__getitem__, (text or "").encode().split())) + end
                 for piece, start in enumerate(range(0, len(whole), 4 * capacity)):
                     rows.append(row)
                     pieces.append(piece)
