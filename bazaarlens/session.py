@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
-from functools import lru_cache
+from weakref import WeakKeyDictionary, WeakSet
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,35 +45,64 @@ def build_session(app_name: str = "bazaarlens", master: str | None = None, **set
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the session names it in spark.checkpoint.dir.
+    """The folder all executors can reach: what spark.checkpoint.dir names, else one under the warehouse.
 
-    Only a single-machine session without that setting gets a folder of its own; on a cluster a
-    machine-local folder would be lost with its machine, so the setting is required there.
+    The same on any master. The warehouse holds the tables that every executor reads and writes, so
+    whatever runs loads and reports can reach it.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    folder = spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _own_folder()
-
-
-@lru_cache(maxsize=1)
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="bazaarlens-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_rows"
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared folder, so that all later uses read the same rows.
 
     The rows are written as Parquet: later uses read just their columns, a count just the file
-    footers, and lost executors cost no recomputation. Clearing the folder is its owner's task,
-    as with checkpoints.
+    footers, and lost executors cost no recomputation. `release` removes them; what a lazy
+    result still reads goes when the session ends, or with the folder.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _STORED[stored] = path
+    if spark not in _CLEANED:
+        _CLEANED.add(spark)
+        atexit.register(_release_all, spark)
+    _PATHS.setdefault(spark, set()).add(path)
+    return stored
+
+
+def release(*stored: DataFrame) -> None:
+    """Remove the rows of `materialize`; only when no result that reads them is still to be computed."""
+    for df in stored:
+        path = _STORED.pop(df, None)
+        if path:
+            _PATHS[df.sparkSession].discard(path)
+            remove_folder(df.sparkSession, path)
+
+
+# Where materialized rows lie, as long as somebody holds the DataFrame, and per session.
+_STORED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_PATHS: WeakKeyDictionary[SparkSession, set[str]] = WeakKeyDictionary()
+_CLEANED: WeakSet[SparkSession] = WeakSet()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reaches, if it is there."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _release_all(spark: SparkSession) -> None:
+    """At the end of the driver: whatever is left, if the session still runs."""
+    if spark.sparkContext._jsc is None:
+        return
+    for path in _PATHS.pop(spark, set()):
+        try:
+            remove_folder(spark, path)
+        except Exception:  # the cluster may be gone already
+            return

@@ -25,11 +25,18 @@ class UnterminatedField(ValueError):
     """A file whose quotes do not pair up, so that its records cannot be told apart."""
 
 
-def read_csv_positional(spark: SparkSession, paths: str | list[str], schema: StructType, strict: bool = True) -> DataFrame:
+def read_csv_positional(
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: StructType,
+    strict: bool = True,
+    stored: list[DataFrame] | None = None,
+) -> DataFrame:
     """Read CSV files with a header line, whose names are ignored, into the columns of ``schema``.
 
     ``strict`` makes any row that does not fit fail the job that reads it. Otherwise such a row
-    is kept as text in a further column, ``_corrupt_record``.
+    is kept as text in a further column, ``_corrupt_record``. ``stored`` gets what the caller can
+    release once the rows are read.
     """
     if not strict:
         schema = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
@@ -42,6 +49,8 @@ def read_csv_positional(spark: SparkSession, paths: str | list[str], schema: Str
         "columnNameOfCorruptRecord": CORRUPT,
     }
     splits = _splits(spark, paths)
+    if stored is not None:
+        stored.append(splits)
     if _lines_are_records(splits):
         rows = spark.read.schema(schema).options(**options).csv(paths, header=True)
     else:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.operators import dedup_keep_first, fk_orphans, pk_violations, spread_join
 from bazaarlens.schemas import BY_NAME, TABLES, Table
-from bazaarlens.session import materialize
+from bazaarlens.session import materialize, release, remove_folder
 from bazaarlens.sources.csv_files import CORRUPT, UnterminatedField, read_csv_positional
 
 
@@ -65,9 +65,10 @@ def load(
 ) -> DataFrame:
     """Replace all tables of ``database`` by the extracts in ``folder`` and return the row counts.
 
-    Tables are written as Parquet under ``target``. A table without a file is left empty. With
-    ``strict``, the first table that breaks a rule is emptied and a LoadError raised; tables
-    before it stay. Otherwise rows that break a rule go to ``<table>_rejected``, with the reason.
+    Tables are written as Parquet under ``target``. All of them exist, empty, before the first file
+    is read, and a table without a file is left so. With ``strict``, the first table that breaks a
+    rule is emptied and a LoadError raised; tables before it stay, those after it are empty.
+    Otherwise every row read is either in its table or in ``<table>_rejected``, with the reason.
 
     ``buckets`` writes orders, items and customers in that many buckets by their id, which saves
     the reports the largest shuffles. Choose it so that one bucket fits a task comfortably.
@@ -78,21 +79,31 @@ def load(
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table.name}_rejected")
 
     tables = open_tables(spark, database)
+    for table in TABLES:
+        # Dropping a table leaves its files.
+        remove_folder(spark, f"{target}/{table.name}")
+        spark.catalog.createTable(f"{database}.{table.name}", f"{target}/{table.name}", "parquet", table.schema)
     for table, files in load_plan(spark, folder):
+        if not files:
+            continue
         place = f"{target}/{table.name}"
         empty = spark.createDataFrame([], table.schema)
+        stored: list[DataFrame] = []
         try:
-            rows = read_csv_positional(spark, files, table.schema, strict) if files else empty
-            if not files:
-                _write(empty, database, table, place, buckets)
-            elif strict:
-                _write(_keep_first(rows, table), database, table, place, buckets)
-                problems = broken_rules(tables[table.name], table, tables)
-                if problems:
-                    raise LoadError(table.name, problems)
+            rows = read_csv_positional(spark, files, table.schema, strict, stored)
+            if strict:
+                if table.keep_first:
+                    # Rows that will be dropped must keep the column rules, too.
+                    stored.append(rows := materialize(rows))
+                    _refuse(table, _count_broken(rows, _column_rules(table)))
+                    rows = dedup_keep_first(rows, table.key, table.keep_first)
+                _write(rows, database, table, place, buckets)
+                _refuse(table, broken_rules(tables[table.name], table, tables))
             else:
-                accepted, rejected = _split(rows, table, tables)
-                _write(accepted, database, table, place, buckets)
+                judged = _judged(rows, table, tables, stored)
+                names = [c.name for c in table.columns]
+                _write(judged.filter("reason IS NULL").select(*names), database, table, place, buckets)
+                rejected = judged.filter("reason IS NOT NULL").select(*names, CORRUPT, "reason")
                 rejected.write.mode("overwrite").option("path", f"{place}_rejected").saveAsTable(
                     f"{database}.{table.name}_rejected"
                 )
@@ -101,6 +112,8 @@ def load(
             if isinstance(error, UnterminatedField) or "MALFORMED_RECORD" in str(error):
                 raise LoadError(table.name, {"unreadable": 1}) from error
             raise
+        finally:
+            release(*stored)
     return load_audit(tables)
 
 
@@ -113,8 +126,9 @@ def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, counts)
 
 
-def _keep_first(rows: DataFrame, table: Table) -> DataFrame:
-    return dedup_keep_first(rows, table.key, table.keep_first) if table.keep_first else rows
+def _refuse(table: Table, problems: Mapping[str, int]) -> None:
+    if problems:
+        raise LoadError(table.name, problems)
 
 
 def _write(rows: DataFrame, database: str, table: Table, place: str, buckets: int | None) -> None:
@@ -133,8 +147,7 @@ def broken_rules(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame]
     One pass for the rules on single rows; the key and all references in one further job, with
     a shuffle of counted values for each.
     """
-    counted = rows.agg(*[F.count_if(broken).alias(rule) for rule, broken in _row_rules(table).items()])
-    problems = counted.first().asDict()
+    problems = _count_broken(rows, _row_rules(table))
 
     sets = {}
     if table.key:
@@ -147,42 +160,64 @@ def broken_rules(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame]
     return {rule: cases for rule, cases in problems.items() if cases}
 
 
+def _count_broken(rows: DataFrame, rules: Mapping[str, Column]) -> dict[str, int]:
+    counted = rows.agg(*[F.count_if(broken).alias(rule) for rule, broken in rules.items()]).first().asDict()
+    return {rule: cases for rule, cases in counted.items() if cases}
+
+
+def _column_rules(table: Table) -> dict[str, Column]:
+    """What a row's columns must keep even before one of several rows is chosen."""
+    rules = {f"{c} missing": F.col(c).isNull() for c in table.required}
+    return rules | {f"{c} longer than {n}": F.char_length(c) > n for c, n in table.max_lengths.items()}
+
+
 def _row_rules(table: Table) -> dict[str, Column]:
     """Rule name to the condition under which a row breaks it."""
-    rules = {f"{c} missing": F.col(c).isNull() for c in table.required}
-    rules |= {f"{c} longer than {n}": F.char_length(c) > n for c, n in table.max_lengths.items()}
+    rules = _column_rules(table)
     rules |= {f"{c} not in {low}..{high}": ~F.col(c).between(low, high) for c, (low, high) in table.ranges.items()}
     return rules
 
 
-def _split(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep all rules, and the others with the reason.
+def _judged(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame], stored: list[DataFrame]) -> DataFrame:
+    """All rows with the ``reason`` to set them aside, NULL for those that keep all rules.
 
-    A row is set aside for the first rule it breaks. All rows of a repeated key are, unless the
-    table says which one to keep. Repeated keys and references without a parent are found first,
-    one row each, and then joined to the rows; the row number tells even equal rows apart there,
-    so that many copies of one row do not meet in one task.
+    A row is set aside for the first rule it breaks: its columns, then its key, then its references.
+    All rows of a repeated key are, unless the table says which one to keep: then that choice comes
+    last, among the rows that keep all other rules, and the others are a ``repeated key``.
+
+    Repeated keys, references without a parent and first rows are found first, one row each, and then
+    joined to the rows; the row number tells even equal rows apart there, so that many copies of
+    one row do not meet in one task. ``stored`` gets what can be released after the load.
     """
     reason = F.when(F.col(CORRUPT).isNotNull(), "unreadable")
     for name, broken in _row_rules(table).items():
         reason = reason.when(broken, name)
     judged = materialize(rows.withColumns({"reason": reason, "_row": F.monotonically_increasing_id()}))
-    good = _keep_first(judged.filter("reason IS NULL"), table)
-    judged = good.unionByName(judged.filter("reason IS NOT NULL")) if table.keep_first else judged
+    stored.append(judged)
+    base, good = judged, judged.filter("reason IS NULL")
 
     broken_sets = []
     if table.key and not table.keep_first:
-        broken_sets.append((list(table.key), pk_violations(good, table.key), "duplicate key"))
+        broken_sets.append((list(table.key), pk_violations(good.select(*table.key), table.key), "duplicate key"))
     for column, parent in table.references.items():
         orphans = fk_orphans(good, column, parents[parent], column).withColumnRenamed("reference", column)
         broken_sets.append(([column], orphans, f"{column} not in {parent}"))
-    stored = judged
     for keys, found, name in broken_sets:
         marked = found.select(*keys, F.lit(name).alias("_broken"))
-        judged = spread_join(judged, marked, keys, ["_row"], "left", counted=stored)
+        judged = spread_join(judged, marked, keys, ["_row"], "left", counted=base)
         judged = judged.withColumn("reason", F.coalesce("reason", "_broken")).drop("_broken")
-
-    judged = materialize(judged.drop("_row")) if broken_sets else judged
-    names = [c.name for c in table.columns]
-    accepted = judged.filter("reason IS NULL").select(*names)
-    return accepted, judged.filter("reason IS NOT NULL").select(*names, CORRUPT, "reason")
+    if broken_sets:
+        judged = materialize(judged)
+        stored.append(judged)
+    if not table.keep_first:
+        return judged
+
+    # NULLs last, as a value that orders after all others.
+    order = [F.struct(F.col(c).isNull().alias("none"), F.col(c).alias("value")).alias(f"_{c}") for c in table.keep_first]
+    place = F.struct(*order, "_row")
+    first = judged.filter("reason IS NULL").groupBy(*table.key).agg(F.min(place)["_row"].alias("_first_row"))
+    judged = spread_join(judged, first, list(table.key), ["_row"], "left", counted=base)
+    repeated = F.when(F.col("_row") != F.col("_first_row"), "repeated key")
+    judged = materialize(judged.withColumn("reason", F.coalesce("reason", repeated)).drop("_first_row"))
+    stored.append(judged)
+    return judged

@@ -130,3 +130,52 @@ def test_buckets_save_the_shuffle_by_order(spark, places):
     assert "SortMergeJoin" in revenue and "hashpartitioning(order_id" not in revenue
     assert "hashpartitioning(order_id" not in categories
     assert [r.month for r in monthly_revenue(tables).collect()] == ["2017-10", "2017-11"]
+
+
+def test_all_tables_exist_after_a_stop(spark, places):
+    source, target = places
+    with pytest.raises(LoadError):
+        load(spark, extracts(source, {"sellers": ["s2,01037,,SP"]}), "stopped", target)
+    tables = open_tables(spark, "stopped")
+    assert {name: tables[name].count() for name in tables} == {
+        name: len(GOOD[name]) if name in ("product_category_name_translation", "geolocation", "customers") else 0 for name in GOOD
+    }
+    assert monthly_revenue(tables).count() == 0
+
+
+def test_strict_load_checks_reviews_that_will_be_dropped(spark, places):
+    source, target = places
+    bad_copy = ["r1,o1,4,,,2017-10-11 00:00:00,", "r1,,,,,2017-10-12 00:00:00,"]
+    with pytest.raises(LoadError) as raised:
+        load(spark, extracts(source, {"order_reviews": bad_copy}), "bad_copy", target)
+    assert raised.value.problems == {"order_id missing": 1, "review_score missing": 1}
+    assert open_tables(spark, "bad_copy")["order_reviews"].count() == 0
+    # A score out of range counts on the row that stays only.
+    copies = ["r1,o1,4,,,2017-10-11 00:00:00,", "r1,o1,9,,,2017-10-12 00:00:00,"]
+    load(spark, extracts(source, {"order_reviews": copies}), "score_copy", target + "2")
+    assert open_tables(spark, "score_copy")["order_reviews"].count() == 1
+
+
+def test_lenient_load_accounts_for_every_review(spark, places):
+    source, target = places
+    reviews = ["r1,o9,4,missing order,,2017-10-01 00:00:00,", "r1,o1,4,first,,2017-10-11 00:00:00,", "r2,o1,5,one,,,", "r2,o1,5,two,,,",
+               "r3,o1,7,,,,", "r3,o2,3,good,,,"]
+    load(spark, extracts(source, {"order_reviews": reviews}), "account", target, strict=False)
+    taken = open_tables(spark, "account")["order_reviews"].collect()
+    assert sorted((r.review_id, r.order_id, r.review_comment_title) for r in taken) == [("r1", "o1", "first"), ("r2", "o1", "one"), ("r3", "o2", "good")]
+    aside = [(r.review_id, r.reason) for r in spark.table("account.order_reviews_rejected").collect()]
+    assert sorted(aside) == [("r1", "order_id not in orders"), ("r2", "repeated key"), ("r3", "review_score not in 1..5")]
+    assert len(taken) + len(aside) == len(reviews)
+
+
+def test_loads_leave_nothing_behind(spark, places):
+    import os
+
+    from bazaarlens.session import shared_folder
+
+    source, target = places
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    load(spark, extracts(source), "clean_strict", target)
+    load(spark, extracts(source), "clean_lenient", target + "2", strict=False)
+    assert {f for f in os.listdir(folder) if f.startswith("rows-")} <= before
