@@ -20,12 +20,13 @@ def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Non-NULL references without a parent, with the number of child rows that hold each.
 
-    References are counted before the join, so a hot one is a single row in it.
+    References are counted before the join and parent keys made distinct, so a hot one is a
+    single row on either side.
     """
     references = (
         child.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("reference")).agg(F.count(F.lit(1)).alias("row_count"))
     )
-    keys = parent.select(F.col(pk).alias("reference"))
+    keys = parent.select(F.col(pk).alias("reference")).distinct()
     return references.join(keys, "reference", "left_anti")
 
 

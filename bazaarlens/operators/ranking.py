@@ -75,19 +75,32 @@ def ntile_global(df: DataFrame, tiles: int, by: str, tiebreak: Sequence[str], ou
 
 
 def ntile_of_top(df: DataFrame, tiles: int, by: str, tiebreak: Sequence[str], out: str, k: int) -> DataFrame:
-    """The ``k`` largest rows with their NTILE among *all* rows.
+    """The ``k`` largest rows, largest first, with their NTILE among *all* rows.
 
     A leading row's place is known from the leading rows alone; of the others only the number
-    matters. So no global sort is needed, just a top-k and a count over rows computed once.
+    matters. Both come from one pass: each task sorts its rows and hands on its first ``k`` and
+    its count, so what reaches the last task grows with the number of tasks and not of rows.
     """
-    rows = materialize(df)
     order = _largest_first(by, tiebreak)
-    total = rows.select(F.count(F.lit(1)))
+    position = F.monotonically_increasing_id()
+    within = F.col("_position").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    leading = F.when(within < k, F.struct(*df.columns))
+    per_task = (
+        df.sortWithinPartitions(*order)
+        .withColumn("_position", position)
+        .groupBy(F.shiftright("_position", _ROW_BITS).alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_size"), F.collect_list(leading).alias("_leading"))
+    )
+    leaders = (
+        per_task.withColumn("_total", F.sum("_size").over(Window.partitionBy()))
+        .select("_total", F.inline("_leading"))
+        .orderBy(*order)
+        .limit(k)
+    )
     place = F.row_number().over(Window.orderBy(*order))
     return (
-        rows.orderBy(*order)
-        .limit(k)
-        .withColumn("_rank", place)
-        .withColumn(out, tile_of_rank(F.col("_rank"), total.scalar(), tiles))
-        .drop("_rank")
+        leaders.withColumn("_rank", place)
+        .withColumn(out, tile_of_rank(F.col("_rank"), F.col("_total"), tiles))
+        .orderBy("_rank")
+        .drop("_rank", "_total")
     )

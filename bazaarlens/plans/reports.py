@@ -26,7 +26,6 @@ from bazaarlens.operators import (
     ntile_of_top,
     period_change,
     share_of_total,
-    spread_join,
     top_k,
 )
 from bazaarlens.plans.building_blocks import (
@@ -86,7 +85,7 @@ def top_categories(tables: Tables) -> DataFrame:
     return top_k(category_sales(tables), "total_revenue", ["category"], TOP_CATEGORIES)
 
 
-def _delivered_orders(tables: Tables) -> DataFrame:
+def delivered_orders(tables: Tables) -> DataFrame:
     return tables["orders"].filter(
         (F.col("order_status") == "delivered") & F.col("order_delivered_customer_date").isNotNull()
     )
@@ -106,7 +105,7 @@ def delivery_measures() -> list:
 def delivered_with_customer(tables: Tables) -> DataFrame:
     """Delivered orders with the state they went to."""
     customers = tables["customers"].select("customer_id", "customer_state")
-    return _delivered_orders(tables).join(customers, "customer_id")
+    return delivered_orders(tables).join(customers, "customer_id")
 
 
 def delivery_by_state(tables: Tables) -> DataFrame:
@@ -143,13 +142,14 @@ def seller_sales(tables: Tables) -> DataFrame:
     Joining items to reviews row by row repeats an item once per review of its order. Here the
     reviews are counted per order first and the item's price multiplied, which is the same sum
     from one row per item. Sellers are joined once their sums exist.
+
+    The item number, a small integer and part of the key, bounds the items of an order, so the join
+    by order needs no care for hot orders and runs without a shuffle on bucketed tables.
     """
     orders = active_orders(tables["orders"]).select("order_id")
     reviews = order_reviews(tables["order_reviews"]).select("order_id", "review_rows", "scores", "score_sum")
-    items = tables["order_items"].select("order_id", "order_item_id", "product_id", "seller_id", "price")
-    sold = spread_join(
-        items, orders.join(reviews, "order_id", "left"), "order_id", ["order_item_id", "product_id", "seller_id"]
-    )
+    items = tables["order_items"].select("order_id", "product_id", "seller_id", "price")
+    sold = items.join(orders.join(reviews, "order_id", "left"), "order_id")
     repeats = F.coalesce("review_rows", F.lit(1))
     by_seller = sold.groupBy("seller_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
@@ -169,16 +169,14 @@ def review_by_category(tables: Tables) -> DataFrame:
     """Review scores per category over all pairs of a review and an item of its order.
 
     The pairs are never built: each item carries its order's review counts and sums, and these
-    are added up per product before the products' categories are looked up.
+    are added up per product before the products' categories are looked up. Orders are not read:
+    every load checks that items and reviews refer to one.
     """
     reviewed = order_reviews(tables["order_reviews"].filter(F.col("review_score").isNotNull()))
-    orders = tables["orders"].select("order_id")
-    items = tables["order_items"].select("order_id", "order_item_id", "product_id", "seller_id")
+    items = tables["order_items"].select("order_id", "product_id")
     measures = ["scores", "score_sum", "five_stars", "low_scores"]
     by_product = (
-        spread_join(
-            items, reviewed.join(orders, "order_id"), "order_id", ["order_item_id", "product_id", "seller_id"]
-        )
+        items.join(reviewed, "order_id")
         .groupBy("product_id")
         .agg(*[F.sum(m).alias(m) for m in measures])
     )
@@ -282,7 +280,8 @@ def customer_lifetime_value(tables: Tables) -> DataFrame:
 
 
 def customer_lifetime_value_full(tables: Tables) -> DataFrame:
-    """All persons with their value and quartile."""
-    return ntile_global(
+    """All persons with their value and quartile, highest value first."""
+    ranked = ntile_global(
         customer_values(tables), CLV_TILES, "lifetime_value", ["customer_unique_id"], "clv_quartile"
     )
+    return ranked.orderBy(F.col("lifetime_value").desc_nulls_first(), F.col("customer_unique_id").asc_nulls_last())

@@ -6,9 +6,6 @@ be rounded half away from zero on integers; only the last division makes a DOUBL
 
 from __future__ import annotations
 
-from bazaarlens.plans.building_blocks import INACTIVE_STATUSES, NO_CATEGORY
-from bazaarlens.plans.reports import SEGMENTS
-
 MICROS_PER_DAY = 86_400_000_000
 
 VIEWS = {
@@ -47,8 +44,8 @@ VIEWS = {
         select distinct p_brand || '/' || cast(p_size as varchar) as category_name,
                lower(p_brand || '/' || cast(p_size as varchar)) as english
         from part where p_size <= 30""",
-    "labelled": f"""
-        select product_id, coalesce(english, category_name, '{NO_CATEGORY}') as category
+    "labelled": """
+        select product_id, coalesce(english, category_name, 'Uncategorized') as category
         from products left join translation using (category_name)""",
     "payments": """
         select user_id as order_id, event_id as payment_sequential, event_type as payment_type,
@@ -59,9 +56,7 @@ VIEWS = {
         select event_id as review_id, event_id // 2 as order_id,
                1 + cast(json_extract_string(props, '$.k') as int) % 5 as review_score
         from events""",
-    "active": "select * from sales where order_status not in ({})".format(
-        ", ".join(f"'{s}'" for s in INACTIVE_STATUSES)
-    ),
+    "active": "select * from sales where order_status not in ('canceled', 'unavailable')",
     "persons": """
         select customer_unique_id, count(distinct order_id) as total_orders, sum(gross_cents) as cents,
                count(*) as item_rows, cast(min(purchased) as date) as first_order_date,
@@ -145,12 +140,8 @@ DELIVERY = f"""count(order_id) as delivered_orders,
     from sales join customers using (customer_id)
     where order_status = 'delivered' and delivered is not null"""
 
-SEGMENT = "case {} end".format(
-    " ".join(
-        f"when order_count >= {low}" + (f" and order_count <= {high}" if high else "") + f" then '{label}'"
-        for low, high, label in SEGMENTS
-    )
-)
+SEGMENT = """case when order_count = 1 then '1 – One-time buyer' when order_count = 2 then '2 – Repeat (2 orders)'
+    when order_count between 3 and 5 then '3-5 – Loyal' when order_count >= 6 then '6+ – VIP' end"""
 
 PERSON_COLUMNS = f"""customer_unique_id, total_orders, {money('cents')} as lifetime_value,
     {mean_money('cents', 'item_rows')} as avg_order_value, first_order_date, last_order_date,
