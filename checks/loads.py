@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.schemas import BY_NAME
+from bazaarlens.operators import dedup_keep_first
+from bazaarlens.schemas import BY_NAME, MONEY
 from bazaarlens.session import shared_folder
 from bazaarlens.sources import load, load_audit, read_csv_positional
 from checks.proxy_tables import ProxyTables, event_number, source
@@ -63,6 +65,152 @@ def count_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_audit(ProxyTables(spark, sf_dir))
 
 
+def write_lines(rows: DataFrame, name: str, line: Column, path: str) -> None:
+    """Part files of ready-made CSV lines below the header of table ``name``."""
+    header = ",".join(c.name for c in BY_NAME[name].columns)
+    # A separator and a quote that no line holds: the one column is written as it is.
+    rows.select(line.alias(header)).write.csv(path, header=True, sep="\u0001", quote="\u0002", escape="\u0002", mode="overwrite")
+
+
+def _people(proxies: ProxyTables) -> dict[str, DataFrame]:
+    """Extracts of customers and sellers with texts as long as the tables allow."""
+    zip_code = F.lit("01037")
+    return {
+        "customers": extract(
+            "customers",
+            proxies["customers"],
+            customer_zip_code_prefix=zip_code,
+            customer_city=F.col("customer_state"),
+            customer_state=F.replace("customer_state", F.lit("NATION_"), F.lit("")),
+        ),
+        "sellers": extract(
+            "sellers",
+            proxies["sellers"],
+            seller_zip_code_prefix=zip_code,
+            seller_state=F.replace("seller_state", F.lit("NATION_"), F.lit("")),
+        ),
+    }
+
+
+def _paid(events: DataFrame) -> DataFrame:
+    """Two payments per order, numbered 1 and 2."""
+    return events.select(
+        "event_id",
+        F.expr("event_id div 2").alias("order_id"),
+        (F.col("event_id") % 2 + 1).alias("payment_sequential"),
+        F.col("event_type").alias("payment_type"),
+        F.lit(1).alias("payment_installments"),
+        F.col("value").cast(MONEY).alias("payment_value"),
+    )
+
+
+def _repeated_reviews(events: DataFrame, score: Column) -> DataFrame:
+    """Three reviews under each id."""
+    return events.select(
+        "event_id",
+        F.expr("event_id div 3").alias("review_id"),
+        F.expr("event_id div 2").alias("order_id"),
+        score.alias("review_score"),
+        F.col("ts").alias("review_creation_date"),
+    )
+
+
+def load_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of a strict load, and of a second one that buckets tables and finds no payments."""
+    proxies, events = ProxyTables(spark, sf_dir), source(spark, sf_dir, "events")
+    items = proxies["order_items"]
+    order = [c for c in items.columns if c not in ("order_id", "order_item_id")]
+    reviews = _repeated_reviews(events, event_number() % 5 + 1)
+    extracts = _people(proxies) | {
+        "order_items": extract("order_items", dedup_keep_first(items, ["order_id", "order_item_id"], order)),
+        "order_payments": extract("order_payments", _paid(events)),
+        "order_reviews": extract("order_reviews", reviews),
+    }
+    extracts |= {name: extract(name, proxies[name]) for name in ("product_category_name_translation", "products", "orders")}
+    first, second = new_folder(spark, "extracts"), new_folder(spark, "extracts")
+    for name, rows in extracts.items():
+        write_csv(rows, f"{first}/market_{name}_dataset.csv")
+        if name != "order_payments":
+            write_csv(rows, f"{second}/market_{name}_dataset.csv")
+    database, tables = f"load_{uuid.uuid4().hex}", new_folder(spark, "tables")
+    # The second load replaces the tables that the first count would still read.
+    before = {r.table_name: r.row_count for r in load(spark, first, database, tables).collect()}
+    counted = load(spark, second, database, tables, buckets=4).withColumnRenamed("row_count", "second_load")
+    first_load = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])[F.col("table_name")]
+    return counted.select("table_name", first_load.alias("first_load"), "second_load")
+
+
+def load_lenient_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows taken and set aside per table and reason, from whole tables that break every kind of rule.
+
+    Ids that are too long, missing values, numbers and dates that are none, short and long rows, scores
+    out of range, repeated keys, orders whose customer and children whose order was set aside,
+    and repeated reviews of which the earliest refer to no order.
+    """
+    folder = new_folder(spark, "extracts")
+    proxies, events = ProxyTables(spark, sf_dir), source(spark, sf_dir, "events")
+    people = _people(proxies)
+    customer, seller = F.col("customer_id").cast("long"), F.col("seller_id").cast("long")
+    long_id = F.when(customer % 40 == 1, F.lpad("customer_id", 33, "0")).otherwise(F.col("customer_id"))
+    bad_date = F.when(F.col("order_id").cast("long") % 40 == 2, "2017-02-30 10:56:33").otherwise(F.col("order_purchase_timestamp"))
+    name_length = F.when(F.col("product_id").cast("long") % 50 == 0, "70000")
+    reviews = _repeated_reviews(events, event_number() % 7)
+    order_id = F.when(F.col("event_id") % 9 == 0, F.lit(-1)).otherwise(F.col("order_id"))
+    extracts = {
+        "customers": people["customers"].withColumn("customer_id", long_id),
+        "sellers": people["sellers"].withColumn("seller_city", F.when(seller % 5 != 0, F.col("seller_city"))),
+        "products": extract("products", proxies["products"]).withColumn("product_name_lenght", name_length),
+        "orders": extract("orders", proxies["orders"]).withColumn("order_purchase_timestamp", bad_date),
+        "order_items": extract("order_items", proxies["order_items"]),
+        "order_reviews": extract("order_reviews", reviews.withColumn("order_id", order_id)),
+    }
+    for name, rows in extracts.items():
+        write_csv(rows, f"{folder}/market_{name}_dataset.csv")
+    paid = _paid(events)
+    fields = [F.col(c.name).cast("string") for c in BY_NAME["order_payments"].columns]
+    line = (
+        F.when(F.col("event_id") % 20 == 3, F.concat_ws(",", *fields[:2]))
+        .when(F.col("event_id") % 20 == 4, F.concat_ws(",", *fields, F.lit("more")))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    write_lines(paid, "order_payments", line, f"{folder}/order_payments.csv")
+    return _outcomes(spark, folder, [*extracts, "order_payments"])
+
+
+def load_null_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles that are NULL, empty or text, told apart below a header that begins with a byte order mark."""
+    path = new_folder(spark, "marked")
+    documents = source(spark, sf_dir, "documents")
+    kind = F.col("doc_id") % 3
+    reviews = documents.select(
+        F.col("doc_id").alias("review_id"),
+        F.col("doc_id").alias("order_id"),
+        F.lit(5).alias("review_score"),
+        F.when(kind == 1, "").when(kind == 2, F.col("lang")).alias("review_comment_title"),
+        F.when(kind == 2, F.col("text")).when(kind == 0, "").alias("review_comment_message"),
+    )
+    write_csv(extract("order_reviews", reviews).withColumnRenamed("review_id", "\ufeffreview_id"), path)
+    back = read_csv_positional(spark, path, BY_NAME["order_reviews"].schema)
+    title = F.col("review_comment_title")
+    return back.select(
+        "review_id",
+        F.when(title.isNull(), "null").when(title == "", "empty").otherwise(F.concat(F.lit("text "), title)).alias("title"),
+        F.coalesce(F.char_length("review_comment_message"), F.lit(-1)).alias("message_length"),
+    )
+
+
+def _outcomes(spark: SparkSession, folder: str, names: Iterable[str]) -> DataFrame:
+    """A lenient load: rows taken, and rows set aside for each reason, per table."""
+    database = f"load_{uuid.uuid4().hex}"
+    taken = load(spark, folder, database, new_folder(spark, "tables"), strict=False)
+    outcome = taken.select("table_name", F.lit("accepted").alias("outcome"), "row_count")
+    for name in names:
+        set_aside = spark.table(f"{database}.{name}_rejected")
+        reasons = set_aside.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("row_count"))
+        outcome = outcome.union(reasons.select(F.lit(name).alias("table_name"), "outcome", "row_count"))
+    return outcome
+
+
 def load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole lenient load of extracts: rows taken and set aside per table and reason.
 
@@ -71,7 +219,6 @@ def load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     folder = new_folder(spark, "extracts")
     proxies = ProxyTables(spark, sf_dir)
-    zip_code = F.lit("01037")
     messages = source(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("review_id"), F.col("text").alias("review_comment_message")
     )
@@ -81,19 +228,7 @@ def load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         (event_number() % 7).alias("review_score"),
         F.col("ts").alias("review_creation_date"),
     )
-    state = F.replace("customer_state", F.lit("NATION_"), F.lit(""))
-    seller_state = F.replace("seller_state", F.lit("NATION_"), F.lit(""))
-    extracts = {
-        "customers": extract(
-            "customers",
-            proxies["customers"],
-            customer_zip_code_prefix=zip_code,
-            customer_city=F.col("customer_state"),
-            customer_state=state,
-        ),
-        "sellers": extract(
-            "sellers", proxies["sellers"], seller_zip_code_prefix=zip_code, seller_state=seller_state
-        ),
+    extracts = _people(proxies) | {
         "order_reviews": extract("order_reviews", scores.join(messages, "review_id", "left")),
     }
     plain = ["product_category_name_translation", "products", "orders", "order_items", "order_payments"]
@@ -101,11 +236,4 @@ def load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, rows in extracts.items():
         write_csv(rows, f"{folder}/market_{name}_dataset.csv")
 
-    database = f"load_{uuid.uuid4().hex}"
-    taken = load(spark, folder, database, new_folder(spark, "tables"), strict=False)
-    outcome = taken.select("table_name", F.lit("accepted").alias("outcome"), "row_count")
-    for name in extracts:
-        set_aside = spark.table(f"{database}.{name}_rejected")
-        reasons = set_aside.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("row_count"))
-        outcome = outcome.union(reasons.select(F.lit(name).alias("table_name"), "outcome", "row_count"))
-    return outcome
+    return _outcomes(spark, folder, extracts)

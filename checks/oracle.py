@@ -450,6 +450,81 @@ LOADS = {
             }.items()
         ),
     ),
+    "load_null_marker": """
+        select cast(doc_id as varchar) as review_id,
+               case doc_id % 3 when 0 then 'null' when 1 then 'empty' else 'text ' || lang end as title,
+               case doc_id % 3 when 0 then 0 when 1 then -1 else cast(length(text) as int) end as message_length
+        from documents""",
+    "load_strict": statement(
+        "customers sales items sellers products translation",
+        """
+        select table_name, row_count as first_load,
+               case when table_name = 'order_payments' then 0 else row_count end as second_load
+        from (
+            select 'product_category_name_translation' as table_name, count(*) as row_count from translation
+            union all select 'geolocation', 0
+            union all select 'customers', count(*) from customers
+            union all select 'sellers', count(*) from sellers
+            union all select 'products', count(*) from products
+            union all select 'orders', count(*) from sales
+            union all select 'order_items', count(distinct (order_id, order_item_id)) from items
+            union all select 'order_payments', count(*) from events
+            union all select 'order_reviews', count(distinct event_id // 3) from events
+        )""",
+    ),
+    "load_lenient_reasons": statement(
+        "customers sales items sellers products",
+        """
+        , customers_judged as (
+            select customer_id, case when customer_id % 40 = 1 then 'customer_id longer than 32' else 'accepted' end as outcome
+            from customers
+        ), sellers_judged as (
+            select seller_id, case when seller_id % 5 = 0 then 'seller_city missing' else 'accepted' end as outcome from sellers
+        ), products_judged as (
+            select product_id, case when product_id % 50 = 0 then 'unreadable' else 'accepted' end as outcome from products
+        ), orders_judged as (
+            select order_id, case when order_id % 40 = 2 then 'unreadable'
+                when customer_id not in (select customer_id from customers_judged where outcome = 'accepted')
+                then 'customer_id not in customers' else 'accepted' end as outcome
+            from sales
+        ), good_orders as (
+            select order_id from orders_judged where outcome = 'accepted'
+        ), items_judged as (
+            select case when count(*) over (partition by order_id, order_item_id) > 1 then 'duplicate key'
+                when order_id not in (from good_orders) then 'order_id not in orders'
+                when product_id not in (select product_id from products_judged where outcome = 'accepted')
+                then 'product_id not in products'
+                when seller_id not in (select seller_id from sellers_judged where outcome = 'accepted')
+                then 'seller_id not in sellers' else 'accepted' end as outcome
+            from items
+        ), payments_judged as (
+            select case when event_id % 20 in (3, 4) then 'unreadable'
+                when event_id // 2 not in (from good_orders) then 'order_id not in orders' else 'accepted' end as outcome
+            from events
+        ), reviews_judged as (
+            select event_id // 3 as review_id, event_id // 2 as order_id, ts,
+                cast(json_extract_string(props, '$.k') as int) % 7 as score,
+                case when cast(json_extract_string(props, '$.k') as int) % 7 not between 1 and 5
+                    then 'review_score not in 1..5'
+                when event_id % 9 = 0 or event_id // 2 not in (from good_orders) then 'order_id not in orders' end as reason
+            from events
+        ), reviews_chosen as (
+            select case when reason is not null then reason
+                when row_number() over (partition by review_id, reason order by ts, cast(order_id as varchar), score) > 1
+                then 'repeated key' else 'accepted' end as outcome
+            from reviews_judged
+        )
+        select table_name, outcome, sum(row_count)::bigint as row_count from (
+            select 'customers' as table_name, outcome, 1 as row_count from customers_judged
+            union all select 'sellers', outcome, 1 from sellers_judged
+            union all select 'products', outcome, 1 from products_judged
+            union all select 'orders', outcome, 1 from orders_judged
+            union all select 'order_items', outcome, 1 from items_judged
+            union all select 'order_payments', outcome, 1 from payments_judged
+            union all select 'order_reviews', outcome, 1 from reviews_chosen
+            union all select unnest(['product_category_name_translation', 'geolocation']), 'accepted', 0
+        ) group by table_name, outcome""",
+    ),
     "load_refresh": statement(
         "customers sales items sellers products translation payments",
         """

@@ -252,6 +252,9 @@ QUERIES: dict[str, Query] = {
     **{f.__name__: over_files(f) for f in OVER_FILES},
     "load_csv_roundtrip": over_files(loads.load_csv_roundtrip),
     "load_text_roundtrip": over_files(loads.load_text_roundtrip),
+    "load_null_marker": over_files(loads.load_null_marker),
+    "load_strict": over_files(loads.load_strict),
+    "load_lenient_reasons": over_files(loads.load_lenient_reasons),
     "load_audit": over_files(loads.count_tables),
     "load_refresh": over_files(loads.load_refresh),
 }
