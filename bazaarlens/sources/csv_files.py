@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
-from functools import partial
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -56,14 +58,27 @@ def read_csv_positional(
     else:
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
         row = F.from_csv("record", columns, options)
-        rows = _records(spark, paths, splits).select(row.alias("row")).select("row.*")
+        rows = _records(spark, paths, splits, stored).select(row.alias("row")).select("row.*")
     texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType) and f.name != CORRUPT]
     empty = F.lit(_QUOTED_EMPTY)
     return rows.withColumns({c: F.when(F.col(c) == empty, "").otherwise(F.col(c)) for c in texts})
 
 
+@contextmanager
+def _same_cuts(spark: SparkSession) -> Iterator[None]:
+    """Cut files by bytes alone, as long as a job runs: by default the cuts follow the number of cores."""
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All lines, each with the file split it starts in; within a split they come in order.
+    """All lines, each with its file (a hash of the path) and the split it starts in; within a split
+    they come in order.
 
     A record is open after a line if the quotes up to there are odd in number; a doubled quote
     inside a field leaves that as it is.
@@ -73,7 +88,8 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         spark.read.option("lineSep", "\n")
         .text(paths)
         .select(
-            F.col("_metadata.file_path").alias("file"),
+            F.xxhash64("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("split"),
             "value",
             (quotes % 2).alias("odd"),
@@ -84,50 +100,58 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def _splits(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row per file split: its lines with an odd number of quotes, and whether a line holds
     a carriage return that does not end it."""
-    return materialize(
-        _lines(spark, paths)
-        .groupBy("file", "split")
-        .agg(F.sum("odd").alias("odds"), F.bool_or(F.col("value").rlike("\r(?!$)")).alias("inner_return"))
-    )
+    with _same_cuts(spark):
+        return materialize(
+            _lines(spark, paths)
+            .groupBy("file", "split")
+            .agg(
+                F.first("path").alias("path"),
+                F.sum("odd").alias("odds"),
+                F.bool_or(F.col("value").rlike("\r(?!$)")).alias("inner_return"),
+            )
+        )
 
 
 def _lines_are_records(splits: DataFrame) -> bool:
     """Whether no record holds a line break, so that Spark's own reader can split the files."""
-    per_file = splits.groupBy("file").agg(F.sum("odds").alias("odds"), F.bool_or("inner_return").alias("returns"))
+    per_file = splits.groupBy("path").agg(F.sum("odds").alias("odds"), F.bool_or("inner_return").alias("returns"))
     found = per_file.agg(
         F.bool_or((F.col("odds") > 0) | F.col("returns")).alias("breaks"),
-        F.min(F.when(F.col("odds") % 2 == 1, F.col("file"))).alias("unterminated"),
+        F.min(F.when(F.col("odds") % 2 == 1, F.col("path"))).alias("unterminated"),
     ).first()
     if found["unterminated"]:
         raise UnterminatedField(f"unterminated quoted field in {found['unterminated']}")
     return not found["breaks"]
 
 
-def _records(spark: SparkSession, paths: str | list[str], splits: DataFrame) -> DataFrame:
+def _records(spark: SparkSession, paths: str | list[str], splits: DataFrame, stored: list[DataFrame] | None) -> DataFrame:
     """One row per record, headers left out, from files cut anywhere into splits.
 
     Reading such files with ``multiLine`` takes one task per file. Here the quotes counted in the
     splits before a split tell whether it starts inside a record, and every task puts the lines
-    of its splits together where it reads them. Only the pieces at the borders of a split, at
-    most two, are shuffled and matched across splits.
+    of its splits together where it reads them, in one pass that is stored. Only the pieces at the
+    borders of a split, at most two, are matched across splits: by their numbers alone, the text of
+    a record is brought together afterwards.
     """
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     open_before = F.coalesce(F.sum("odds").over(earlier), F.lit(0)) % 2
-    # One row per split, and so per share of a scan task: no more than the driver plans with
+    # Three numbers per split, and so per share of a scan task: less than the driver plans with
     # anyway. A broadcast also leaves the lines in their order.
-    entry = F.broadcast(splits.select("file", "split", open_before.alias("open")))
+    entry = F.broadcast(splits.select("file", "split", open_before.cast("int").alias("open")))
     lines = _lines(spark, paths).join(entry, ["file", "split"], "left").select("file", "split", "open", "odd", "value")
-
-    schema = "file string, split long, number long, text string"
-    inside = lines.mapInArrow(partial(_pieces, False), schema).select("split", "number", "text")
-    border = lines.mapInArrow(partial(_pieces, True), schema)
+    with _same_cuts(spark):
+        pieces = materialize(lines.mapInArrow(_pieces, "file long, split long, number long, border boolean, text string"))
+    if stored is not None:
+        stored.append(pieces)
 
     so_far = Window.partitionBy("file").orderBy("split", "number").rowsBetween(Window.unboundedPreceding, 0)
     starts = F.when(F.col("number") > 0, 1).otherwise(0)
+    border = pieces.filter("border")
+    numbered = border.select("file", "split", "number").withColumn("record", F.sum(starts).over(so_far))
     in_order = F.array_sort(F.collect_list(F.struct("split", "number", "text")))
     joined = (
-        border.withColumn("record_number", F.sum(starts).over(so_far))
-        .groupBy("file", "record_number")
+        border.join(numbered, ["file", "split", "number"])
+        .groupBy("file", "record")
         .agg(in_order.alias("parts"))
         .select(
             F.col("parts")[0]["split"].alias("split"),
@@ -136,78 +160,80 @@ def _records(spark: SparkSession, paths: str | list[str], splits: DataFrame) ->
         )
     )
     header = (F.col("split") == 0) & (F.col("number") == 1)
+    records = pieces.filter("not border").select("split", "number", "text").unionByName(joined)
     record = F.regexp_replace("text", "\r$", "")
-    return inside.unionByName(joined).filter(~header).select(record.alias("record")).filter("record <> ''")
+    # Blank lines are no records, as for Spark's own reader: those that hold nothing above a space.
+    return records.filter(~header).select(record.alias("record")).filter(F.col("record").rlike("[^\\x00-\\x20]"))
 
 
-def _pieces(at_border: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Join the lines of each split into records, numbered from 1 within the split.
 
-    Piece 0 is the rest of a record that an earlier split began. With ``at_border`` only piece 0
-    and the last piece of a split are given, otherwise only the pieces between them.
+    Piece 0 is the rest of a record that an earlier split began. It and the last piece of a split
+    are at its border. Lines between two starts of records are joined by offsets, all at once.
     """
-    file = split = None
-    number, is_open, pending = 0, 0, []
-    out: list[tuple] = []
+    at = None  # the split being read
+    number, is_open = 0, 0
+    pending: list[pa.Array] = []  # lines of the record that is not complete yet
 
-    def close(last: bool) -> None:
-        if pending and at_border == (last or number == 0):
-            out.append((file, split, number, "\n".join(pending)))
+    def closed(border: bool) -> list[pa.RecordBatch]:
+        if not pending:
+            return []
+        text = "\n".join(line for part in pending for line in part.to_pylist())
+        return [_batch(*at, number, border, pa.array([text], pa.string()))]
 
     for batch in batches:
         for run in _runs(batch):
-            run_file, run_split = run["file"][0].as_py(), run["split"][0].as_py()
-            if (run_file, run_split) != (file, split):
-                close(last=True)
-                file, split, number, is_open, pending = run_file, run_split, 0, run["open"][0].as_py(), []
+            here = run["file"][0].as_py(), run["split"][0].as_py()
+            if here != at:
+                yield from closed(border=True)
+                at, number, is_open, pending = here, 0, run["open"][0].as_py(), []
                 if is_open is None:
-                    raise RuntimeError(f"{file} was split in two ways; fix spark.sql.files.minPartitionNum")
+                    raise RuntimeError("a file changed while it was read")
             odd = run["odd"].to_numpy()
             odd_so_far = np.cumsum(odd)
             starts = np.flatnonzero((is_open + odd_so_far - odd) % 2 == 0)
             is_open = int(is_open + odd_so_far[-1]) % 2
+            lines = run["value"]
             if not len(starts):
-                pending += run["value"].to_pylist()
+                pending.append(lines)
                 continue
-            pending += run["value"].slice(0, starts[0]).to_pylist()
-            close(last=False)
-            if not at_border:
-                values = run["value"].to_pylist()
-                ends = starts[1:].tolist()
-                for begin, end in zip(starts.tolist(), ends):
-                    number += 1
-                    out.append((file, split, number, "\n".join(values[begin:end])))
-                number += 1
-            else:
-                number += len(starts)
-            pending = run["value"].slice(starts[-1]).to_pylist()
-        if out:
-            yield _batch(out)
-            out.clear()
-    close(last=True)
-    if out:
-        yield _batch(out)
+            pending += [lines.slice(0, starts[0])] if starts[0] else []
+            yield from closed(border=number == 0)
+            between = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), lines) if len(starts) > 1 else None
+            if between is not None:
+                yield _batch(*at, number + 1, False, pc.binary_join(between, "\n"))
+            number += len(starts)
+            pending = [lines.slice(starts[-1])]
+    yield from closed(border=True)
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The batch cut where the next line belongs to another split."""
     if not batch.num_rows:
         return
-    split, file = batch["split"].to_numpy(), batch["file"]
-    other_file = pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)).to_numpy(zero_copy_only=False)
-    cuts = np.flatnonzero((split[1:] != split[:-1]) | other_file) + 1
+    split, file = batch["split"].to_numpy(), batch["file"].to_numpy()
+    cuts = np.flatnonzero((split[1:] != split[:-1]) | (file[1:] != file[:-1])) + 1
     for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
         yield batch.slice(begin, end - begin)
 
 
-def _batch(pieces: list[tuple]) -> pa.RecordBatch:
-    file, split, number, text = zip(*pieces)
+def _batch(file: int, split: int, number: int, border: bool, texts: pa.Array) -> pa.RecordBatch:
+    """Pieces of one split, numbered from ``number`` on."""
+    count = len(texts)
     return pa.RecordBatch.from_arrays(
-        [pa.array(file, pa.string()), pa.array(split, pa.int64()), pa.array(number, pa.int64()), pa.array(text, pa.string())],
-        names=["file", "split", "number", "text"],
+        [
+            pa.array(np.full(count, file)), pa.array(np.full(count, split)), pa.array(np.arange(number, number + count)),
+            pa.array(np.full(count, border)), texts.cast(pa.string()),
+        ],
+        names=["file", "split", "number", "border", "text"],
     )
 
 
+# Tasks get these functions by value: a package on the driver's path alone is enough for the reader.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def corrupt_rows(spark: SparkSession, paths: str | list[str], schema: StructType) -> DataFrame:
     """The rows, as text, that do not fit ``schema``."""
     rows = read_csv_positional(spark, paths, schema, strict=False)

@@ -1,6 +1,9 @@
 """CSV extracts with everything that goes wrong in them."""
 
 import datetime
+import os
+import subprocess
+import sys
 from decimal import Decimal
 
 import pytest
@@ -81,6 +84,64 @@ def test_records_cross_splits(spark, tmp_path, newline, split_bytes):
     assert len(rows) == 120
 
 
+# Each case is read twice: as it is, and with a further record whose field holds a line break, which takes
+# the other reader.
+CASES = {
+    "quoted and unquoted empty": ('r1,o1,5,"",,,', [("r1", "", None)]),
+    "quotes and commas": ('r1,o1,5,"say ""hi"", all",m,,', [("r1", 'say "hi", all', "m")]),
+    "a line of spaces": ("r1,o1,5,t,m,,\n   \nr2,o1,5,t,m,,", [("r1", "t", "m"), ("r2", "t", "m")]),
+    "empty lines": ("\n\nr1,o1,5,t,m,,\n\n", [("r1", "t", "m")]),
+    "a tab and a carriage return": ("r1,o1,5,t,m,,\r\n\t\r\nr2,o1,5,t,m,,\r", [("r1", "t", "m"), ("r2", "t", "m")]),
+    "spaces around values": ("r1,o1,5, t ,m ,,", [("r1", " t ", "m ")]),
+    "no line break at the end": ("r1,o1,5,t,é,,", [("r1", "t", "é")]),
+    "only quotes": ('r1,o1,5,"""","""""",,', [("r1", '"', '""')]),
+}
+
+
+@pytest.mark.parametrize("joined", [False, True])
+@pytest.mark.parametrize("bom", ["", "\ufeff"])
+@pytest.mark.parametrize("case", CASES)
+def test_both_readers_agree(spark, tmp_path, case, bom, joined):
+    text, expected = CASES[case]
+    more = 'zz,o1,5,t,"two\nlines",,\n' if joined else ""
+    path = write(tmp_path / "r.csv", f"{bom}a,b,c,d,e,f,g\n{more}{text}")
+    assert _lines_are_records(_splits(spark, path)) is not joined
+    rows = read_csv_positional(spark, path, REVIEWS).collect()
+    got = sorted((r.review_id, r.review_comment_title, r.review_comment_message) for r in rows)
+    assert got == sorted(expected + ([("zz", "t", "two\nlines")] if joined else []))
+
+
+def test_a_record_over_many_splits(spark, tmp_path):
+    long = "\n".join(f"line {i}" for i in range(300))
+    path = write(tmp_path / "r.csv", f'a,b,c,d,e,f,g\nr1,o,5,t,"{long}",,\nr2,o,5,t,m,,\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = read_csv_positional(spark, path, REVIEWS).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {r.review_id: r.review_comment_message for r in rows} == {"r1": long, "r2": "m"}
+
+
+def test_reader_needs_the_package_on_the_driver_only(tmp_path):
+    """Run from another folder: the workers cannot import the package."""
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    write(tmp_path / "r.csv", 'a,b,c,d,e,f,g\nr1,o1,5,t,"two\nlines",,\n')
+    script = f"""
+import sys
+sys.path.insert(0, {package!r})
+from bazaarlens import build_session
+from bazaarlens.schemas import BY_NAME
+from bazaarlens.sources import read_csv_positional
+spark = build_session("elsewhere", "local[2]", spark_sql_warehouse_dir={str(tmp_path / "w")!r})
+print([r.review_comment_message for r in read_csv_positional(spark, {str(tmp_path / "r.csv")!r}, BY_NAME["order_reviews"].schema).collect()])
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=170)
+    assert "['two\\nlines']" in done.stdout, done.stderr[-2000:]
+
+
 def test_types_keep_zeros_and_round_half_up(spark, tmp_path):
     geo = write(tmp_path / "g.csv", "a,b,c,d,e\n01037,-23.54562128115268,-46.63929204800168,sao paulo,SP\n")
     row = read_csv_positional(spark, geo, GEO).first()
