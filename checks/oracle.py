@@ -342,6 +342,28 @@ OPERATORS = {
         select customer_unique_id, min(purchased) as first_purchase, max(purchased) as last_purchase
         from sales join customers using (customer_id) group by customer_unique_id""",
     ),
+    "order_ascending": statement(
+        "sales",
+        """
+        select strftime(first_day, '%Y-%m') as month, count(*) as orders,
+               row_number() over (order by first_day asc nulls last) as place
+        from (select date_trunc('month', delivered) as first_day from sales) group by first_day""",
+    ),
+    "order_descending": statement(
+        "sales",
+        """
+        select strftime(first_day, '%Y-%m') as month, count(*) as orders,
+               row_number() over (order by first_day desc nulls first) as place
+        from (select date_trunc('month', delivered) as first_day from sales) group by first_day""",
+    ),
+    "order_by_unreturned": statement(
+        "customers active",
+        f"""
+        select customer_segment, customer_count, row_number() over (order by least) as place
+        from (select {SEGMENT} as customer_segment, count(*) as customer_count, min(order_count) as least
+              from (select customer_unique_id, count(*) as order_count
+                    from customers join active using (customer_id) group by 1) group by 1)""",
+    ),
     "month_bucket": statement(
         "sales",
         "select strftime(purchased, '%Y-%m') as month, count(*) as orders from sales group by 1",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -171,6 +171,34 @@ def min_max_sort(t):
     )
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """A few sorted rows with the place of each, as they come."""
+    numbered = rows.withColumn("_position", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy("_position")).cast("long")
+    return numbered.withColumn("place", place).drop("_position")
+
+
+def _delivery_months(t):
+    month = month_of(F.col("order_delivered_customer_date"))
+    by_month = t["orders"].groupBy(month.alias("first_day")).agg(F.count(F.lit(1)).alias("orders"))
+    return by_month.withColumn("month", month_label(F.col("first_day")))
+
+
+def order_ascending(t):
+    """Months of delivery in order, the NULL one last."""
+    return _placed(_delivery_months(t).orderBy(F.col("first_day").asc_nulls_last()).select("month", "orders"))
+
+
+def order_descending(t):
+    """The same from the last month on, the NULL one first."""
+    return _placed(_delivery_months(t).orderBy(F.col("first_day").desc_nulls_first()).select("month", "orders"))
+
+
+def order_by_unreturned(t):
+    """The segments report, sorted by an aggregate that it does not return."""
+    return _placed(plans.repeat_customers(t)).select("place", "customer_segment", "customer_count")
+
+
 def month_bucket(t):
     first_day = month_of(F.col("order_purchase_timestamp"))
     by_month = t["orders"].groupBy(first_day.alias("first_day")).agg(F.count(F.lit(1)).alias("orders"))
@@ -242,7 +270,7 @@ def length_violations(spark, sf_dir):
 
 OVER_TABLES = [
     active_filter, inner_join_chain, left_join_coalesce, fanout_join, two_distinct, exact_avg, elapsed_days,
-    conditional_count, min_max_sort, month_bucket, share_of_total, topk, pk_violations, fk_orphans, null_counts,
+    conditional_count, min_max_sort, order_ascending, order_descending, order_by_unreturned, month_bucket, share_of_total, topk, pk_violations, fk_orphans, null_counts,
 ]
 OVER_FILES = [lag_change, ntile_global, dedup_keep_first, check_violations, length_violations]
 

@@ -2,9 +2,10 @@
 
 import pytest
 
-from bazaarlens.plans import monthly_revenue, top_categories
+from bazaarlens.plans import monthly_revenue, review_by_category, seller_revenue_true, top_categories, top_sellers
 from bazaarlens.schemas import TABLES
 from bazaarlens.sources import LoadError, load, load_plan, open_tables
+from test_plans import subtree
 
 GOOD = {
     "product_category_name_translation": ["beleza,beauty"],
@@ -119,16 +120,26 @@ def test_lenient_load_sets_the_broken_rows_aside(spark, places):
 
 def test_buckets_save_the_shuffle_by_order(spark, places):
     source, target = places
-    load(spark, extracts(source), "market_e", target, buckets=4)
+    load(spark, extracts(source), "market_e", target, buckets=8)  # no fewer than shuffle partitions
     tables = open_tables(spark, "market_e")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         revenue = monthly_revenue(tables)._jdf.queryExecution().executedPlan().toString()
         categories = top_categories(tables)._jdf.queryExecution().executedPlan().toString()
+        by_review = [
+            report(tables)._jdf.queryExecution().executedPlan().toString()
+            for report in (top_sellers, review_by_category, seller_revenue_true)
+        ]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in revenue and "hashpartitioning(order_id" not in revenue
     assert "hashpartitioning(order_id" not in categories
+    for plan in by_review:
+        # Reviews are brought to one row per order; items stay where they are.
+        lines = plan.split("\n")
+        shuffles = [n for n, line in enumerate(lines) if "Exchange hashpartitioning(order_id" in line]
+        moved = [subtree(lines, n) for n in shuffles if any("order_items" in line for line in subtree(lines, n))]
+        assert shuffles and not moved, plan
     assert [r.month for r in monthly_revenue(tables).collect()] == ["2017-10", "2017-11"]
 
 

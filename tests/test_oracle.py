@@ -59,3 +59,31 @@ def test_flagship_query_has_rows(spark):
     df = entry.entry(spark)
     assert df.columns == ["month", "revenue", "prev_month_revenue", "mom_pct_change"]
     assert df.count() == 80
+
+
+# The columns that each report is sorted by, in turn; "-" for descending with NULLs first, else
+# ascending with NULLs last. q08 is sorted by what it does not return: order_by_unreturned checks it.
+SORTED_BY = {
+    "q01_monthly_revenue": ["month"],
+    "q02_top_categories": ["-total_revenue", "category"],
+    "q03_delivery_by_state": ["avg_delivery_days", "customer_state"],
+    "q04_payment_breakdown": ["-total_revenue", "payment_type"],
+    "q05_top_sellers": ["-total_revenue", "seller_id"],
+    "q06_review_by_category": ["-avg_review_score", "category"],
+    "q07_state_volume": ["-total_orders", "customer_state"],
+    "q09_status_breakdown": ["-order_count", "order_status"],
+    "q10_customer_clv": ["-lifetime_value", "customer_unique_id"],
+    "q10_clv_full": ["-lifetime_value", "customer_unique_id"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(SORTED_BY))
+def test_report_comes_in_its_order(spark, name):
+    rows = QUERIES[name](spark, SF_DIR).collect()
+    expected = list(rows)
+    for key in reversed(SORTED_BY[name]):
+        column, down = key.removeprefix("-"), key.startswith("-")
+        missing = [r for r in expected if r[column] is None]
+        present = sorted((r for r in expected if r[column] is not None), key=lambda r: -r[column] if down else r[column])
+        expected = missing + present if down else present + missing
+    assert rows == expected and len(rows) > 1
