@@ -199,9 +199,11 @@ def _confirmed(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 
 def _families(classes: DataFrame, coordinates: int, least: int) -> DataFrame:
     """(node, component) of the classes that match in enough coordinates, directly or by others."""
-    # One class has one signature; a document id that comes with several texts has several.
-    tokens = classes.select("rep", "signature").mapInArrow(_coordinates, "rep long, token long").distinct()
-    shared = tokens.groupBy("token").count().where("count > 1")
+    # A document id that comes with several texts has the tokens of all of them, and a longer prefix.
+    tokens = classes.select("rep", "signature").mapInArrow(_coordinates, "rep long, token long")
+    # Counts are stored, here and below, so that both sides of the joins come straight from a shuffle:
+    # only then does adaptive splitting spread a token that very many classes have.
+    shared = materialize(tokens.groupBy("token").count().where("count > 1"))
     ranked = (
         tokens.join(shared, "token")
         .groupBy("rep")
@@ -212,7 +214,7 @@ def _families(classes: DataFrame, coordinates: int, least: int) -> DataFrame:
         .select("rep", F.explode(F.slice("pairs", F.lit(1), F.col("posted"))["token"]).alias("token"))
     )
     posted = materialize(ranked)
-    lists = posted.groupBy("token").count().where("count > 1")
+    lists = materialize(posted.groupBy("token").count().where("count > 1"))
     blocks = F.ceil(F.col("count") / LIST_BLOCK).cast("int")
     rows = (
         posted.join(lists, "token")
@@ -253,8 +255,10 @@ def near_duplicates(
     families = _families(classes, coordinates, least)
     members = classes.groupBy(F.col("rep").alias("node")).agg(F.max("n_shingles").alias("n_shingles")).join(families, "node")
     members = materialize(members.withColumnRenamed("component", "family"))
-    sizes = members.groupBy("family").agg(
-        F.ceil(F.sum("n_shingles") / SET_BLOCK).alias("by_size"), F.ceil(F.count("*") / LIST_BLOCK).alias("by_count")
+    sizes = materialize(
+        members.groupBy("family").agg(
+            F.ceil(F.sum("n_shingles") / SET_BLOCK).alias("by_size"), F.ceil(F.count("*") / LIST_BLOCK).alias("by_count")
+        )
     )
     to_read = members.join(sizes, "family").select(
         "family", F.greatest("by_size", "by_count").cast("int").alias("blocks"), F.col("node").alias("rep")
