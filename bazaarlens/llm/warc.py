@@ -6,7 +6,7 @@ with the digest it refers to. Records are put together again by a join on the di
 that come out are hashed again: a payload that does not have its digest stops the job.
 
 DataFrame functions only. The first page of each payload is found by an aggregation and
-handed out by a join with one row per digest, so copies of one payload spread over all tasks.
+handed out by a join with one row per repeated digest, so copies of one payload spread over all tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlens.session import materialize, release
+
 # Shorter payloads are never replaced by a reference.
 LEAST_REVISIT_BYTES = 100
 _NAME = "urn:page:"
@@ -44,7 +46,9 @@ def write_archive(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:0
     rows = rows.select("page_id", "url", "payload", F.sha2("payload", 256).alias("digest"))
 
     slim = rows.select("page_id", "url", "digest", F.octet_length("payload").alias("size"))
-    first = slim.groupBy("digest").agg(F.min("page_id").alias("first_page"))
+    # Only payloads that repeat, and stored: adaptive splitting then spreads the copies of one.
+    first = slim.groupBy("digest").agg(F.min("page_id").alias("first_page"), F.count("*").alias("copies"))
+    first = materialize(first.where("copies > 1").drop("copies"))
     revisit = (F.col("size") >= LEAST_REVISIT_BYTES) & (F.col("page_id") > F.col("first_page"))
     revisit = F.coalesce(revisit, F.lit(False))
     name = F.concat(F.lit(f"<{_NAME}"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">"))
@@ -61,8 +65,9 @@ def write_archive(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:0
         _line("Content-Type", F.lit("text/html; charset=utf-8")),
         _line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("size"))),
     )
-    headers = slim.join(first, "digest").select("digest", F.concat(lines, F.lit("\r\n\r\n")).cast("binary").alias("header"))
+    headers = slim.join(first, "digest", "left").select("digest", F.concat(lines, F.lit("\r\n\r\n")).cast("binary").alias("header"))
     headers.write.option("compression", "zstd").parquet(f"{folder}/headers")
+    release(first)
     # Copies are dropped by each task before the bytes are shuffled.
     rows.groupBy("digest").agg(F.first("payload").alias("payload")).write.option("compression", "zstd").parquet(
         f"{folder}/payloads"
