@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.components import connected_components
+from bazaarlens.session import materialize
 
 _AFTER_SCHEME = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -36,7 +37,8 @@ def _ruled(addresses: DataFrame, rules: DataFrame) -> DataFrame:
     rules = rules.select(
         F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), F.col("verdict").alias("rule_verdict")
     ).where("rule_host is not null and rule_path is not null and rule_verdict in ('allow', 'block')")
-    lengths = rules.groupBy("rule_host").agg(F.collect_set(F.char_length("rule_path")).alias("lengths"))
+    # Stored, as what is joined to hot hosts and addresses must come straight from a shuffle to be spread.
+    lengths = materialize(rules.groupBy("rule_host").agg(F.collect_set(F.char_length("rule_path")).alias("lengths")))
     parts = F.split("host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), ".")
@@ -113,7 +115,7 @@ def judged_pages(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None
 
     addresses = pages.select(url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     aliases = members.select("component", url_host(F.col("node")).alias("host"), url_path(F.col("node")).alias("path"))
-    by_rule = _ruled(addresses.unionByName(aliases.select("host", "path")), rules)
+    by_rule = materialize(_ruled(addresses.unionByName(aliases.select("host", "path")), rules))
     decided = aliases.join(by_rule, ["host", "path"]).groupBy("component").agg(
         F.when(F.bool_or(F.col("verdict") == "allow"), "allow").otherwise("block").alias("of_aliases")
     )
