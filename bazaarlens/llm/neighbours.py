@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.groups import grouped, runs
-from bazaarlens.session import materialize
+from bazaarlens.session import materialize, release
 
 SAMPLE_ROWS = 20_000  # vectors that the trees are fitted on, at most
 LEAF = 96  # points of a leaf that are compared with each other, about
@@ -162,7 +162,8 @@ def neighbour_graph(nodes: DataFrame, keep: int = 20, trees: int = 4, most_round
     leaves = nodes.mapInArrow(partial(_leaves, spark.sparkContext.broadcast(fitted)), "leaf long, node long, vector binary")
     # A leaf may hold any number of points: it is cut into parts, at random, that a task can compare.
     sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / (4 * LEAF)).alias("parts"))
-    parts = leaves.join(sizes, "leaf").select("leaf", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), "node", "vector")
+    # At most 2^14 leaves of each tree, whatever the data.
+    parts = leaves.join(F.broadcast(sizes), "leaf").select("leaf", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), "node", "vector")
     first = grouped(parts, "leaf", "part").mapInArrow(partial(_nearest_in_leaf, keep), _EDGES).withColumn("is_new", F.lit(True))
     edges = materialize(_kept(first, keep))
 
@@ -173,17 +174,18 @@ def neighbour_graph(nodes: DataFrame, keep: int = 20, trees: int = 4, most_round
         worst = edges.groupBy("node").agg(F.max("d").alias("last"), F.count("*").alias("n"))
         # Who joins whom at which centre: a node's neighbours and those that have it as neighbour.
         back = edges.select(F.col("other").alias("centre"), F.col("node").alias("member"), "is_new")
-        groups = back.groupBy("centre").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / (GROUP - keep))).alias("groups"))
-        back = back.join(groups, "centre").select(
-            "centre", F.pmod(F.xxhash64("member"), F.col("groups")).alias("part"), "member", "is_new"
-        )
+        groups = back.groupBy("centre").agg(F.ceil(F.count("*") / (GROUP - keep)).alias("groups")).where("groups > 1")
+        part = F.pmod(F.xxhash64("member"), F.coalesce("groups", F.lit(1)))
+        groups = materialize(groups)
+        back = back.join(groups, "centre", "left").select("centre", part.alias("part"), "member", "is_new")
         forth = edges.select(F.col("node").alias("centre"), F.lit(0).cast("long").alias("part"), F.col("other").alias("member"), "is_new")
         known = nodes.join(worst, "node", "left").select(
             F.col("node").alias("member"), "vector", F.when(F.col("n") >= keep, F.col("last")).otherwise(F.lit(float("inf"))).alias("worst")
         )
         members = forth.unionByName(back).join(known, "member").select("centre", "part", "member", "is_new", "vector", "worst")
         found = grouped(members, "centre", "part").mapInArrow(_joined, _EDGES).withColumn("is_new", F.lit(True))
-        edges = materialize(_kept(edges.withColumn("is_new", F.lit(False)).unionByName(found), keep))
+        old, edges = edges, materialize(_kept(edges.withColumn("is_new", F.lit(False)).unionByName(found), keep))
+        release(old, groups)
 
     others = edges.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("d", "other"))).alias("others"))
     return materialize(
