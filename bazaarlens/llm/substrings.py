@@ -7,7 +7,7 @@ everywhere else. From every sentence on, the shortest run of at least ``sentence
 ``run_words`` words is hashed. Of equal runs in the whole corpus, the first by (doc_id, text hash,
 place) stays; the words of all others go.
 
-Runs that repeat within a batch of rows are found there, so at most one row per batch and run is
+Runs that repeat within some megabytes of text are found there, so at most one row for these and a run is
 shuffled, however frequent a passage is; the rest takes one sort by hash.
 """
 
@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from bazaarlens.llm import words as W
 from bazaarlens.session import materialize
 
+# Bytes of text whose runs a task holds at a time, about.
+TEXT_AT_ONCE = 8 << 20
+
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
 
@@ -65,28 +68,35 @@ def _row_runs(data, bounds, sentences: int, run_words: int, cut_every: int):
 
 def _runs(sentences: int, run_words: int, cut_every: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [(np.zeros(0, np.int64),) * 4]
-        for first, _, data, bounds in W.text_pieces(batch.column(2)):
+        found, size = [], 0
+        for first, last, data, bounds in W.text_pieces(batch.column(2)):
             row, a, b, run = _row_runs(data, bounds, sentences, run_words, cut_every)
             found.append((row + first, a, b, run))
-        row, a, b, run = (np.concatenate(parts) for parts in zip(*found))
-        ids = batch.column(0)
-        order_of_id = ids.fill_null(2**63 - 1).to_numpy(zero_copy_only=False)[row]
-        text_hash = batch.column(1).to_numpy()[row]
-        order = np.lexsort((a, text_hash, order_of_id, run))
-        row, a, b, run, order_of_id, text_hash = (x[order] for x in (row, a, b, run, order_of_id, text_hash))
-        new = np.ones(len(run), dtype=bool)
-        new[1:] = run[1:] != run[:-1]
-        lead = np.maximum.accumulate(np.where(new, np.arange(len(run)), 0))
-        repeated = (order_of_id != order_of_id[lead]) | (text_hash != text_hash[lead]) | (a != a[lead])
-        keep = repeated | new
-        yield pa.RecordBatch.from_arrays(
-            [
-                ids.take(pa.array(row[keep])), pa.array(text_hash[keep]), pa.array(run[keep]),
-                pa.array(a[keep].astype(np.int32)), pa.array(b[keep].astype(np.int32)), pa.array(repeated[keep]),
-            ],
-            names=["doc_id", "text_hash", "run", "first", "after", "repeated"],
-        )
+            size += len(data)
+            if size >= TEXT_AT_ONCE or last == batch.num_rows:
+                yield _marked(batch, *(np.concatenate(parts) for parts in zip(*found)))
+                found, size = [], 0
+
+
+def _marked(batch: pa.RecordBatch, row: np.ndarray, a: np.ndarray, b: np.ndarray, run: np.ndarray) -> pa.RecordBatch:
+    """The first row of each run, and all that repeat one, marked so; equal places are one."""
+    ids = batch.column(0)
+    order_of_id = ids.fill_null(2**63 - 1).to_numpy(zero_copy_only=False)[row]
+    text_hash = batch.column(1).to_numpy()[row]
+    order = np.lexsort((a, text_hash, order_of_id, run))
+    row, a, b, run, order_of_id, text_hash = (x[order] for x in (row, a, b, run, order_of_id, text_hash))
+    new = np.ones(len(run), dtype=bool)
+    new[1:] = run[1:] != run[:-1]
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(run)), 0))
+    repeated = (order_of_id != order_of_id[lead]) | (text_hash != text_hash[lead]) | (a != a[lead])
+    keep = repeated | new
+    return pa.RecordBatch.from_arrays(
+        [
+            ids.take(pa.array(row[keep])), pa.array(text_hash[keep]), pa.array(run[keep]),
+            pa.array(a[keep].astype(np.int32)), pa.array(b[keep].astype(np.int32)), pa.array(repeated[keep]),
+        ],
+        names=["doc_id", "text_hash", "run", "first", "after", "repeated"],
+    )
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
