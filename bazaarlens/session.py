@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 from weakref import WeakKeyDictionary, WeakSet
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every report relies on. They hold no sizes: partition counts are left to
@@ -44,6 +48,24 @@ def build_session(app_name: str = "bazaarlens", master: str | None = None, **set
     return tune(builder.getOrCreate())
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give this package to the session's tasks, once, so that it need be on the driver's path only."""
+    context = spark.sparkContext
+    if context not in _SHIPPED:
+        package = Path(__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="bazaarlens-")) / "bazaarlens.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
+            for module in sorted(package.rglob("*.py")):
+                file.write(module, module.relative_to(package.parent))
+        # Executors fetch it from the driver, as they do with --py-files.
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context)
+    return spark
+
+
+_SHIPPED: WeakSet[SparkContext] = WeakSet()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: what spark.checkpoint.dir names, else one under the warehouse.
 
