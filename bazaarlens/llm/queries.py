@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens import tune
+from bazaarlens import ship, tune
 from bazaarlens.llm import language, oracle, quality
 from bazaarlens.llm.decontamination import contamination
 from bazaarlens.llm.extraction import extracted_texts
@@ -21,7 +21,6 @@ from bazaarlens.llm.url_filters import judged_pages
 from bazaarlens.llm.warc import read_archive, write_archive
 from bazaarlens.session import shared_folder
 
-
 # Host, path, verdict.
 URL_RULES = [
     ("net", "/", "block"),
@@ -32,7 +31,7 @@ URL_RULES = [
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(tune(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens import tune
+from bazaarlens import ship, tune
 from bazaarlens.llm import quality
 from bazaarlens.llm.decontamination import decontaminated
 from bazaarlens.llm.minhash import deduplicated
@@ -25,20 +25,20 @@ LEAST_QUALITY = 0.3
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled ones, does not reject."""
-    labels = tune(spark).read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    labels = ship(tune(spark)).read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
     scored = quality.scored(docs, quality.train(docs, labels))
     return scored.where(F.col("score") >= LEAST_QUALITY).select(*docs.columns)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest id."""
-    tune(spark)
+    ship(tune(spark))
     return deduplicated(docs)
 
 
 def remove_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what stands elsewhere already; a document of which nothing is left goes."""
-    tune(spark)
+    ship(tune(spark))
     cleaned = without_repeated_spans(docs)
     emptied = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_words"))
     cleaned = cleaned.where(~emptied)
@@ -50,12 +50,12 @@ def remove_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of the benchmark."""
-    return decontaminated(docs, tune(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminated(docs, ship(tune(spark)).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces with their token ids and places in sequences."""
-    tune(spark)
+    ship(tune(spark))
     return packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -73,7 +73,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to documents; each one's rows are written as Parquet and read again."""
-    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ship(tune(spark)).read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
