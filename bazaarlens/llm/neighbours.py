@@ -25,13 +25,22 @@ from bazaarlens.llm.groups import grouped, runs
 from bazaarlens.session import materialize, release
 
 SAMPLE_ROWS = 20_000  # vectors that the trees are fitted on, at most
-LEAF = 96  # points of a leaf that are compared with each other, about
-GROUP = 48  # neighbours joined with each other in one group, at most about
+LEAF = 192  # points of a leaf that are compared with each other, about
+FROM_LEAF = 12  # neighbours that a point takes from each leaf
+GROUP = 64  # neighbours joined with each other in one group, at most about
+FROM_GROUP = 8  # neighbours that a point takes from a group
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Vectors, stored as little-endian doubles, as a matrix."""
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<f8").reshape(len(column), -1)
+def _matrix(column: pa.Array | pa.ChunkedArray, dtype: str = "<f8") -> np.ndarray:
+    """Vectors, stored as little-endian numbers, as a matrix."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype).reshape(len(column), -1)
+
+
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors in single precision, enough to choose neighbours by: half the bytes to move."""
+    for batch in batches:
+        vectors = _matrix(batch.column(1)).astype("<f4") if batch.num_rows else []
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in vectors], pa.binary())], names=["node", "vector"])
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +104,7 @@ def _leaves(trees: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        vectors = _matrix(batch.column(1))
+        vectors = _matrix(batch.column(1), "<f4")
         for number, levels in enumerate(trees.value):
             leaf = np.zeros(len(vectors), dtype=np.int64)
             for directions, cuts in levels:
@@ -112,7 +121,7 @@ def _squared(vectors: np.ndarray) -> np.ndarray:
 
 def _nearest_in_leaf(keep: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in runs(batches, 2):
-        nodes, vectors = group.column("node").to_numpy(), _matrix(group.column("vector"))
+        nodes, vectors = group.column("node").to_numpy(), _matrix(group.column("vector"), "<f4")
         if len(nodes) < 2:
             continue
         apart = _squared(vectors)
@@ -120,7 +129,7 @@ def _nearest_in_leaf(keep: int, batches: Iterator[pa.RecordBatch]) -> Iterator[p
         k = min(keep, len(nodes) - 1)
         nearest = np.argpartition(apart, k - 1, axis=1)[:, :k]
         yield pa.RecordBatch.from_pydict({
-            "node": np.repeat(nodes, k), "other": nodes[nearest].ravel(), "d": np.take_along_axis(apart, nearest, axis=1).ravel()
+            "node": np.repeat(nodes, k), "other": nodes[nearest].ravel(), "d": np.take_along_axis(apart, nearest, axis=1).ravel().astype(np.float64)
         })
 
 
@@ -130,15 +139,18 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, order = np.unique(group.column("member").to_numpy(), return_index=True)
         if len(nodes) < 2:
             continue
-        vectors = _matrix(group.column("vector"))[order]
+        vectors = _matrix(group.column("vector"), "<f4")[order]
         worst = group.column("worst").to_numpy()[order]
         is_new = np.zeros(len(nodes), dtype=bool)
         np.logical_or.at(is_new, np.searchsorted(nodes, group.column("member").to_numpy()), group.column("is_new").to_numpy(zero_copy_only=False))
         apart = _squared(vectors)
         better = (apart < worst[:, None]) & (is_new[:, None] | is_new[None, :])
         np.fill_diagonal(better, False)
+        if len(nodes) > FROM_GROUP + 1:
+            apart = np.where(better, apart, np.inf)
+            better &= apart <= np.partition(apart, FROM_GROUP - 1, axis=1)[:, FROM_GROUP - 1 : FROM_GROUP]
         a, b = np.nonzero(better)
-        yield pa.RecordBatch.from_pydict({"node": nodes[a], "other": nodes[b], "d": apart[a, b]})
+        yield pa.RecordBatch.from_pydict({"node": nodes[a], "other": nodes[b], "d": apart[a, b].astype(np.float64)})
 
 
 _EDGES = "node long, other long, d double"
@@ -151,20 +163,23 @@ def _kept(edges: DataFrame, keep: int) -> DataFrame:
     return best.withColumn("place", place).where(F.col("place") <= keep).drop("place")
 
 
-def neighbour_graph(nodes: DataFrame, keep: int = 20, trees: int = 4, most_rounds: int = 8, settled: float = 0.01, seed: int = 5) -> DataFrame:
-    """(node, vector, others) with about the ``keep`` nearest others of each node; rounds end when under ``settled`` change."""
+def neighbour_graph(nodes: DataFrame, keep: int = 32, trees: int = 16, most_rounds: int = 6, settled: float = 0.05, seed: int = 5) -> DataFrame:
+    """(node, vector, others): in single precision, and about the ``keep`` nearest others of each node.
+
+    Rounds end when under ``settled`` of all neighbours change.
+    """
     spark = nodes.sparkSession
-    nodes = materialize(nodes)
     count = nodes.count()
     sample = nodes.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(SAMPLE_ROWS).select("vector").toArrow()
     depth = max(0, int(np.ceil(np.log2(max(1, min(count, 64 * SAMPLE_ROWS) / LEAF)))))
     fitted = _trees(_matrix(sample.column("vector")) if sample.num_rows else np.zeros((0, 1)), trees, depth, seed)
-    leaves = nodes.mapInArrow(partial(_leaves, spark.sparkContext.broadcast(fitted)), "leaf long, node long, vector binary")
+    short = materialize(nodes.select("node", "vector").mapInArrow(_shortened, "node long, vector binary"))
+    leaves = short.mapInArrow(partial(_leaves, spark.sparkContext.broadcast(fitted)), "leaf long, node long, vector binary")
     # A leaf may hold any number of points: it is cut into parts, at random, that a task can compare.
     sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / (4 * LEAF)).alias("parts"))
     # At most 2^14 leaves of each tree, whatever the data.
     parts = leaves.join(F.broadcast(sizes), "leaf").select("leaf", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), "node", "vector")
-    first = grouped(parts, "leaf", "part").mapInArrow(partial(_nearest_in_leaf, keep), _EDGES).withColumn("is_new", F.lit(True))
+    first = grouped(parts, "leaf", "part").mapInArrow(partial(_nearest_in_leaf, min(keep, FROM_LEAF)), _EDGES).withColumn("is_new", F.lit(True))
     edges = materialize(_kept(first, keep))
 
     for _ in range(most_rounds):
@@ -179,7 +194,7 @@ def neighbour_graph(nodes: DataFrame, keep: int = 20, trees: int = 4, most_round
         groups = materialize(groups)
         back = back.join(groups, "centre", "left").select("centre", part.alias("part"), "member", "is_new")
         forth = edges.select(F.col("node").alias("centre"), F.lit(0).cast("long").alias("part"), F.col("other").alias("member"), "is_new")
-        known = nodes.join(worst, "node", "left").select(
+        known = short.join(worst, "node", "left").select(
             F.col("node").alias("member"), "vector", F.when(F.col("n") >= keep, F.col("last")).otherwise(F.lit(float("inf"))).alias("worst")
         )
         members = forth.unionByName(back).join(known, "member").select("centre", "part", "member", "is_new", "vector", "worst")
@@ -188,44 +203,47 @@ def neighbour_graph(nodes: DataFrame, keep: int = 20, trees: int = 4, most_round
         release(old, groups)
 
     others = edges.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("d", "other"))).alias("others"))
-    return materialize(
-        nodes.join(others, "node", "left").select("node", "vector", F.coalesce(F.col("others.other"), F.array().cast("array<long>")).alias("others"))
-    )
+    graph = short.join(others, "node", "left")
+    return materialize(graph.select("node", "vector", F.coalesce(F.col("others.other"), F.array().cast("array<long>")).alias("others")))
 
 
-def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _distances(dtype: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        apart = np.sqrt(((_matrix(batch.column(1)) - _matrix(batch.column(3))) ** 2).sum(axis=1))
+        apart = _matrix(batch.column(1), dtype).astype(np.float64) - _matrix(batch.column(3), dtype)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(apart), batch.column(4)], names=["query", "node", "d", "others"]
+            [batch.column(0), batch.column(2), pa.array(np.sqrt((apart**2).sum(axis=1)))], names=["query", "node", "d"]
         )
 
 
-def search(graph: DataFrame, queries: DataFrame, width: int = 64, most_steps: int = 12) -> DataFrame:
+def _apart(pairs: DataFrame, queries: DataFrame, vectors: DataFrame, dtype: str) -> DataFrame:
+    """(query, node, d) of pairs (query, node)."""
+    return (
+        pairs.join(vectors.select("node", "vector"), "node")
+        .join(queries.select("query", F.col("vector").alias("of_query")), "query")
+        .select("query", "of_query", "node", "vector")
+        .mapInArrow(partial(_distances, dtype), "query long, node long, d double")
+    )
+
+
+def search(graph: DataFrame, queries: DataFrame, width: int = 160, most_steps: int = 16) -> DataFrame:
     """(query, node, d) of the ``width`` nearest points found for each query (query, vector, start: nodes).
 
     Each step follows the edges of all points among the nearest that were not followed yet; the search
     ends when there are none.
     """
-    queries = materialize(queries)
-    seen = materialize(queries.select("query", F.explode("start").alias("node")).distinct())
-    beam, reached = None, seen
+    place = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
+    reached = materialize(queries.select("query", F.explode("start").alias("node")).distinct())
+    seen, beam = reached, None
     for _ in range(most_steps):
-        # The nodes reached now, with their distances and their edges.
-        found = (
-            reached.join(graph, "node")
-            .join(queries.select("query", F.col("vector").alias("of_query")), "query")
-            .select("query", "of_query", "node", "vector", "others")
-            .mapInArrow(_distances, "query long, node long, d double, others array<long>")
-        )
+        found = _apart(reached, queries, graph, "<f4").withColumn("is_new", F.lit(True))
         if beam is not None:
-            found = found.unionByName(beam.withColumn("others", F.lit(None).cast("array<long>")))
-        place = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
+            found = found.unionByName(beam.withColumn("is_new", F.lit(False)))
         beam = materialize(found.withColumn("place", place).where(F.col("place") <= width).drop("place"))
-        follow = beam.where("others is not null").select("query", F.explode("others").alias("node")).distinct()
-        beam = beam.drop("others")
+        follow = beam.where("is_new").join(graph.select("node", "others"), "node")
+        follow = follow.select("query", F.explode("others").alias("node")).distinct()
+        beam = beam.drop("is_new")
         reached = materialize(follow.join(seen, ["query", "node"], "left_anti"))
         if reached.isEmpty():
             break
@@ -233,24 +251,28 @@ def search(graph: DataFrame, queries: DataFrame, width: int = 64, most_steps: in
     return beam
 
 
-def nearest_neighbours(embeddings: DataFrame, is_query, k: int = 10, keep: int = 20, width: int = 64) -> DataFrame:
+def nearest_neighbours(embeddings: DataFrame, is_query, k: int = 10, keep: int = 32, width: int = 160) -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance) of the ``k`` nearest others of each query row.
 
-    ``embeddings`` has vec_id and embedding; ``is_query`` is a condition on vec_id. Ties go to the
+    ``embeddings`` has vec_id and embedding; ``is_query`` is a condition on vec_id. The graph is built and
+    searched in single precision, what is found is ranked in double. Ties go to the
     smaller vec_id. Vectors that are null, empty, all zero or hold null or non-finite components
-    take no part, nor do rows without vec_id. Rows that repeat vec_id and vector count once. Further columns are ignored; no
-    queries or no vectors give no rows.
+    take no part, nor do rows without vec_id or of another than the most frequent dimension. Rows that
+    repeat vec_id and vector count once. Further columns are ignored; no queries or no vectors give no rows.
     """
     nodes, members = points(embeddings, k + 1)
+    nodes = materialize(nodes)
     graph = neighbour_graph(nodes, keep)
     asked = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     asked = asked.where(is_query).mapInArrow(_encoded, "vec_id long, vector binary").distinct()
     # A query is a point of the graph: it starts there.
-    own = asked.join(graph.select("node", "vector", "others"), "vector").select(F.col("vec_id").alias("query"), "vector", "node", "others")
-    own = materialize(own)
-    found = search(graph, own.select("query", "vector", F.concat(F.array("node"), "others").alias("start")), width)
+    own = materialize(asked.join(nodes, "vector").select(F.col("vec_id").alias("query"), "vector", "node"))
+    start = own.select("query", "node").join(graph, "node")
+    start = materialize(start.select("query", "vector", F.concat(F.array("node"), "others").alias("start")))
+    found = search(graph, start, width).select("query", "node")
     ranked = (
-        found.join(members, "node")
+        _apart(found, own, nodes, "<f8")
+        .join(members, "node")
         .where("query != vec_id")
         .withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("d", "vec_id")))
         .where(F.col("rank") <= k)
