@@ -64,7 +64,7 @@ def brute_spans(rows, sentences, run_words, ends):
     """Words that stay, by comparing word lists; ``ends`` tells which words end a sentence."""
     seen, gone = {}, {}
     for i, text in sorted(rows):
-        split = text.split()
+        split = text.encode().split()
         after = [k + 1 for k, last in enumerate(ends(text)) if last]
         begin = [0, *after[:-1]]
         for u, a in enumerate(begin):
