@@ -4,7 +4,7 @@ Sentences end behind a word that ends in . ! or ?, at a line break, and behind c
 wherever they stand (one in ``cut_every``, by hash). The last rule cuts long sentences, and
 it lets a passage that was put into the middle of a sentence have the same sentences inside as
 everywhere else. From every sentence on, the shortest run of at least ``sentences`` sentences and
-``run_words`` words is hashed. Of equal runs in the whole corpus, the first by (doc_id, text hash,
+``run_words`` words is hashed, and the shortest that ends with the text. Of equal runs in the whole corpus, the first by (doc_id, text hash,
 place) stays; the words of all others go.
 
 Runs that repeat within some megabytes of text are found there, so at most one row for these and a run is
@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import words as W
-from bazaarlens.session import materialize
 
 # Bytes of text whose runs a task holds at a time, about.
 TEXT_AT_ONCE = 8 << 20
@@ -59,11 +58,20 @@ def _row_runs(data, bounds, sentences: int, run_words: int, cut_every: int):
     at, final = at[inside], final[inside]
     same = after[final] <= rows[row[at] + 1]
     at, final = at[same], final[same]
-    a, b = begin[at], after[final]
+    a, b, of_row = begin[at], after[final], row[at]
+    # And the shortest run that ends with a row's last sentence, so that no rest of a copy stays.
+    if count:
+        filled = np.flatnonzero(np.diff(rows))
+        ending = np.searchsorted(after, rows[filled + 1])
+        opening = np.minimum(np.searchsorted(begin, after[ending] - run_words, side="right") - 1, ending - sentences + 1)
+        fits = (opening >= 0) & (begin[opening] >= rows[filled])
+        a = np.concatenate([a, begin[opening[fits]]])
+        b = np.concatenate([b, after[ending[fits]]])
+        of_row = np.concatenate([of_row, filled[fits]])
     sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
     np.cumsum(hashes * W._power_table(len(hashes) + 1, False)[: len(hashes)], out=sums[1:])
     run = W.mixed((sums[b] - sums[a]) * W._power_table(len(hashes) + 1, True)[a] + (b - a).astype(np.uint64))
-    return row[at], a - rows[row[at]], b - rows[row[at]], W.as_longs(run)
+    return of_row, a - rows[of_row], b - rows[of_row], W.as_longs(run)
 
 
 def _runs(sentences: int, run_words: int, cut_every: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +141,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_repeated_spans(
-    documents: DataFrame, sentences: int = 3, run_words: int = 25, cut_every: int = 12
+    documents: DataFrame, sentences: int = 3, run_words: int = 15, cut_every: int = 8
 ) -> DataFrame:
     """The documents with all their columns; ``text`` without repeated runs, n_words and n_removed added.
 
@@ -154,12 +162,13 @@ def without_repeated_spans(
         partial(_runs, sentences, run_words, cut_every),
         "doc_id long, text_hash long, run long, first int, after int, repeated boolean",
     )
-    found = materialize(found)
-    place = Window.partitionBy("run").orderBy(F.asc_nulls_last("doc_id"), "text_hash", "first")
-    others = found.where("not repeated").withColumn("place", F.rank().over(place)).where("place > 1").drop("place")
+    # What repeats is known already: it takes a number of its own, so that frequent runs are spread.
+    run = F.when(F.col("repeated"), F.xxhash64("doc_id", "text_hash", "first")).otherwise(F.col("run"))
+    place = Window.partitionBy("run", "repeated").orderBy(F.asc_nulls_last("doc_id"), "text_hash", "first")
     spans = (
-        found.where("repeated")
-        .unionByName(others)
+        found.withColumn("run", run)
+        .withColumn("place", F.rank().over(place))
+        .where("repeated or place > 1")
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct("first", "after")).alias("spans"))
     )

@@ -51,13 +51,13 @@ def test_repeated_spans_go(steps):
         ((_, _, data, bounds),) = list(words.text_pieces(pa.array([text])))
         data = words.LOWER[data]
         starts, stops, first = words.find_words(data, bounds, words.NOT_BLANK)
-        return sentence_ends(data, starts, stops, first, words.hash_words(data, starts, stops), 12)
+        return sentence_ends(data, starts, stops, first, words.hash_words(data, starts, stops), 8)
 
     def split(text):
         return text.encode().split()  # at ASCII white space, as the operator does
 
     before = {r.doc_id: r.text for r in steps[2]}
-    removed = brute_spans([(i, t) for i, t in before.items() if split(t)], 3, 25, ends)
+    removed = brute_spans([(i, t) for i, t in before.items() if split(t)], 3, 15, ends)
     after = {r.doc_id: r for r in steps[3]}
     for i, text in before.items():
         left = len(split(text)) - removed.get(i, 0)

@@ -67,13 +67,14 @@ def brute_spans(rows, sentences, run_words, ends):
         split = text.encode().split()
         after = [k + 1 for k, last in enumerate(ends(text)) if last]
         begin = [0, *after[:-1]]
+        found = []
         for u, a in enumerate(begin):
-            for v in range(u + sentences - 1, len(after)):
-                if after[v] - a >= run_words:
-                    run = tuple(w.lower() for w in split[a : after[v]])
-                    if seen.setdefault(run, (i, a)) != (i, a):
-                        gone.setdefault(i, set()).update(range(a, after[v]))
-                    break
+            found += [(a, after[v]) for v in range(u + sentences - 1, len(after)) if after[v] - a >= run_words][:1]
+        last = [(a, len(split)) for a in begin[: len(begin) - sentences + 1] if len(split) - a >= run_words]
+        for a, b in found + last[-1:]:
+            run = tuple(w.lower() for w in split[a:b])
+            if seen.setdefault(run, (i, a)) != (i, a):
+                gone.setdefault(i, set()).update(range(a, b))
     return {i: len(gone.get(i, ())) for i, _ in rows}
 
 
@@ -84,7 +85,7 @@ def test_spans_equal_brute_force(spark):
         ((_, _, data, bounds),) = list(words.text_pieces(pa.array([text])))
         data = words.LOWER[data]
         starts, stops, first = words.find_words(data, bounds, words.NOT_BLANK)
-        return sentence_ends(data, starts, stops, first, words.hash_words(data, starts, stops), 12)
+        return sentence_ends(data, starts, stops, first, words.hash_words(data, starts, stops), 8)
 
     rng = random.Random(8)
     bits = [passage(f"p{i}_", rng.randrange(5, 60), rng.randrange(2, 12)) for i in range(12)]
