@@ -18,7 +18,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.groups import grouped, runs
@@ -57,23 +57,25 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vectors, pa.binary())], names=["vec_id", "vector"])
 
 
-def points(embeddings: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
-    """The distinct vectors (node, vector; node is the smallest vec_id) and the rows of each (node, vec_id, vector).
+def points(embeddings: DataFrame, keep: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The distinct vectors (node, vector; node is the smallest vec_id), the rows of each (node, vec_id),
+    and all rows that take part (vec_id, vector).
 
     Of equal vectors only the ``keep`` smallest ids can be among the nearest of any query; all
     others are left out of the second table. Vectors of another than the most frequent dimension
-    take no part.
+    take no part. A vec_id counts once, with the vector whose bytes come first.
     """
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    valid = materialize(rows.mapInArrow(_encoded, "vec_id long, vector binary"))
+    valid = rows.mapInArrow(_encoded, "vec_id long, vector binary").groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    valid = materialize(valid)
     usual = valid.groupBy(F.length("vector").alias("size")).count().orderBy(F.desc("count"), "size").limit(1)
     valid = valid.join(F.broadcast(usual.select("size")), F.length("vector") == F.col("size"), "left_semi")
     place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     first = valid.withColumn("place", place).where(F.col("place") <= keep)
     node = F.min("vec_id").over(Window.partitionBy("vector"))
     members = materialize(first.withColumn("node", node).select("node", "vec_id", "place"))
-    nodes = members.where("place = 1").select("node").join(valid.withColumnRenamed("vec_id", "node"), "node").dropDuplicates(["node"])
-    return nodes, members.select("node", "vec_id").distinct()
+    nodes = members.where("place = 1").select("node").join(valid.withColumnRenamed("vec_id", "node"), "node")
+    return nodes, members.select("node", "vec_id"), valid
 
 
 def _trees(sample: np.ndarray, count: int, depth: int, seed: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
@@ -251,22 +253,21 @@ def search(graph: DataFrame, queries: DataFrame, width: int = 160, most_steps: i
     return beam
 
 
-def nearest_neighbours(embeddings: DataFrame, is_query, k: int = 10, keep: int = 32, width: int = 160) -> DataFrame:
+def nearest_neighbours(embeddings: DataFrame, is_query: Column, k: int = 10, keep: int = 32, width: int = 160) -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance) of the ``k`` nearest others of each query row.
 
     ``embeddings`` has vec_id and embedding; ``is_query`` is a condition on vec_id. The graph is built and
     searched in single precision, what is found is ranked in double. Ties go to the
     smaller vec_id. Vectors that are null, empty, all zero or hold null or non-finite components
     take no part, nor do rows without vec_id or of another than the most frequent dimension. Rows that
-    repeat vec_id and vector count once. Further columns are ignored; no queries or no vectors give no rows.
+    repeat a vec_id count once, with the vector whose bytes come first. Further columns are ignored; no
+    queries or no vectors give no rows.
     """
-    nodes, members = points(embeddings, k + 1)
+    nodes, members, rows = points(embeddings, k + 1)
     nodes = materialize(nodes)
     graph = neighbour_graph(nodes, keep)
-    asked = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    asked = asked.where(is_query).mapInArrow(_encoded, "vec_id long, vector binary").distinct()
     # A query is a point of the graph: it starts there.
-    own = materialize(asked.join(nodes, "vector").select(F.col("vec_id").alias("query"), "vector", "node"))
+    own = materialize(rows.where(is_query).join(nodes, "vector").select(F.col("vec_id").alias("query"), "vector", "node"))
     start = own.select("query", "node").join(graph, "node")
     start = materialize(start.select("query", "vector", F.concat(F.array("node"), "others").alias("start")))
     found = search(graph, start, width).select("query", "node")

@@ -41,7 +41,7 @@ def test_recall_against_brute_force(spark):
 def test_few_and_odd_vectors(spark):
     vectors = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [-1.0, -0.0]), (4, [-1.0, 0.0])]
     odd = [(10, None), (11, []), (12, [0.0, 0.0]), (13, [None, 1.0]), (14, [float("nan"), 1.0]), (15, [float("inf"), 0.0]),
-           (None, [1.0, 1.0]), (16, [1.0, 2.0, 3.0]), (2, [0.0, 1.0])]
+           (None, [1.0, 1.0]), (16, [1.0, 2.0, 3.0]), (2, [0.0, 1.0]), (2, [9.0, 9.0])]
     got = results(nearest_neighbours(table(spark, vectors + odd), F.col("vec_id") >= 0))
     assert sorted(got) == [0, 1, 2, 3, 4]
     for q in got:
