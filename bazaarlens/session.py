@@ -49,7 +49,9 @@ def build_session(app_name: str = "bazaarlens", master: str | None = None, **set
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give this package to the session's tasks, once, so that it need be on the driver's path only."""
+    """Make a session fit for tasks in Python: give them this package, so that it need be on the driver's
+    path only, and whole texts in batches of few rows, as rows may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     context = spark.sparkContext
     if context not in _SHIPPED:
         package = Path(__file__).parent
