@@ -145,8 +145,8 @@ def _scored(model: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
     machine: FactorisationMachine = model.value
     for batch in batches:
         scores = []
-        n_chars = _numbers(batch.column(2))
-        for first, last, data, bounds in W.text_pieces(batch.column(1)):
+        n_chars = _numbers(batch.column(1))
+        for first, last, data, bounds in W.text_pieces(batch.column(0).field("text")):
             scores.append(machine.score(*features(data, bounds, n_chars[first:last], machine.buckets)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=["others", "score"]
@@ -240,8 +240,8 @@ def scored(documents: DataFrame, model: FactorisationMachine) -> DataFrame:
     """
     names = [c for c in documents.columns if c != "score"]
     packed = documents.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("others"),
-        F.col("text").cast("string").alias("_text"),
+        # The text is moved once: in the place that it has among the columns.
+        F.struct(*[F.col("text").cast("string").alias("text") if c == "text" else F.col(f"`{c}`") for c in names]).alias("others"),
         _with_n_chars(documents).alias("_n_chars"),
     )
     others = packed.schema["others"].dataType.simpleString()
