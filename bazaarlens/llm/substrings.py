@@ -155,12 +155,13 @@ def without_repeated_spans(
     keyed = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("others"),
         F.col("doc_id").cast("long").alias("_id"),
-        F.xxhash64("text").alias("_hash"),
+        # Tells texts under one doc_id apart; four bytes, as every run carries it.
+        F.hash("text").alias("_hash"),
         F.col("text").cast("string").alias("_text"),
     )
     found = keyed.select("_id", "_hash", "_text").mapInArrow(
         partial(_runs, sentences, run_words, cut_every),
-        "doc_id long, text_hash long, run long, first int, after int, repeated boolean",
+        "doc_id long, text_hash int, run long, first int, after int, repeated boolean",
     )
     # What repeats is known already: it takes a number of its own, so that frequent runs are spread.
     run = F.when(F.col("repeated"), F.xxhash64("doc_id", "text_hash", "first")).otherwise(F.col("run"))
