@@ -1,9 +1,10 @@
 """Substring de-duplication by runs of consecutive sentences.
 
-Sentences end behind a word that ends in . ! or ?, at a line break, and behind certain words
-wherever they stand (one in ``cut_every``, by hash). The last rule cuts long sentences, and
-it lets a passage that was put into the middle of a sentence have the same sentences inside as
-everywhere else. From every sentence on, the shortest run of at least ``sentences`` sentences and
+Sentences end behind a word that ends in . ! or ?, at a line break, and, where ``cut_every`` words in
+a row have no such end, behind the one of least hash among them (winnowing; of equal words the last). So no
+sentence is longer than ``cut_every`` words, and a passage that was put into the middle of a sentence
+has the same ends inside as everywhere else, from within its first ``cut_every`` words to within its
+last: with three sentences of at most 8 words, any passage of over 50 words holds an equal run. From every sentence on, the shortest run of at least ``sentences`` sentences and
 ``run_words`` words is hashed, and the shortest that ends with the text. Of equal runs in the whole corpus, the first by (doc_id, text hash,
 place) stays; the words of all others go.
 
@@ -34,11 +35,22 @@ def sentence_ends(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows:
     """Which words end a sentence; a row's last word always does."""
     if len(starts) == 0:
         return np.zeros(0, dtype=bool)
-    last = _ENDS[data[ends - 1]] | (hashes % np.uint64(cut_every) == 0)
+    last = _ENDS[data[ends - 1]]
     breaks = np.cumsum(data == 10)
     last[:-1] |= breaks[starts[1:]] > breaks[ends[:-1] - 1]
     filled = rows[1:][np.diff(rows) > 0] - 1
     last[filled] = True
+    # A window that reaches into the next row holds a row's last word, an end already.
+    key = np.where(last, np.uint64(0), hashes)
+    windows = len(key) - cut_every + 1
+    if windows > 0:
+        least, at = key[:windows].copy(), np.arange(windows)
+        for place in range(1, cut_every):
+            other = key[place : place + windows]
+            lower = other <= least
+            least[lower] = other[lower]
+            at[lower] = np.flatnonzero(lower) + place
+        last[at] = True
     return last
 
 

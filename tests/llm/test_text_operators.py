@@ -94,6 +94,30 @@ def test_spans_equal_brute_force(spark):
     assert {r.doc_id: r.n_removed for r in got.collect()} == brute_spans(rows, 3, 15, ends)
 
 
+@pytest.mark.parametrize("sentence", [0, 3, 14])
+def test_planted_passages_are_found_by_word_windows(spark, sentence):
+    rng = random.Random(51 + sentence)
+
+    def made(count):
+        found = [rng.choice("abcdefgh") + str(rng.randrange(4000)) for _ in range(count)]
+        return [w + ("." if sentence and rng.randrange(sentence) == 0 else "") for w in found]
+
+    rows = []
+    for i in range(300):
+        shared = made(rng.randrange(51, 61)) if i % 10 else ["same", "word", "again"][: i % 4 or 1] * 60
+        shared = shared[:60]
+        rows += [(2 * i + k, " ".join(made(rng.randrange(20, 40)) + shared + made(rng.randrange(20, 40)))) for k in (0, 1)]
+    got = {r.doc_id: r for r in without_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    seen = set()
+    for i, text in rows:
+        split = text.split()
+        windows = {tuple(split[a : a + 51]) for a in range(len(split) - 50)}
+        if windows & seen:
+            # At most a sentence at each end, and what is too short for another run, stays.
+            assert got[i].n_removed >= 51 - 3 * 8, text
+        seen |= windows
+
+
 def test_spans_of_odd_documents(odd_documents, no_documents):
     got = without_repeated_spans(odd_documents)
     assert got.columns == [c for c in odd_documents.columns if c != "n_words"] + ["n_words", "n_removed"]
