@@ -113,9 +113,9 @@ def _marked(batch: pa.RecordBatch, row: np.ndarray, a: np.ndarray, b: np.ndarray
     return pa.RecordBatch.from_arrays(
         [
             ids.take(pa.array(row[keep])), pa.array(text_hash[keep]), pa.array(run[keep]),
-            pa.array(a[keep].astype(np.int32)), pa.array(b[keep].astype(np.int32)), pa.array(repeated[keep]),
+            pa.array((a[keep] << 32) + b[keep]), pa.array(repeated[keep]),
         ],
-        names=["doc_id", "text_hash", "run", "first", "after", "repeated"],
+        names=["doc_id", "text_hash", "run", "words", "repeated"],
     )
 
 
@@ -132,8 +132,8 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 removed = 0
                 if spans[first + row]:
                     kept, at, reach = [], bounds[row], 0
-                    for a, b in sorted((s["first"], s["after"]) for s in spans[first + row]):
-                        a = max(a, reach)
+                    for span in sorted(spans[first + row]):
+                        a, b = max(span >> 32, reach), span & 0xFFFFFFFF
                         if b <= a:
                             continue
                         kept.append(data[at : max(at, starts[rows[row] + a])].tobytes())
@@ -167,23 +167,24 @@ def without_repeated_spans(
     keyed = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("others"),
         F.col("doc_id").cast("long").alias("_id"),
-        # Tells texts under one doc_id apart; four bytes, as every run carries it.
-        F.hash("text").alias("_hash"),
+        # Tells texts under one doc_id, or without any, apart.
+        F.xxhash64("text").alias("_hash"),
         F.col("text").cast("string").alias("_text"),
     )
     found = keyed.select("_id", "_hash", "_text").mapInArrow(
         partial(_runs, sentences, run_words, cut_every),
-        "doc_id long, text_hash int, run long, first int, after int, repeated boolean",
+        # words: the first in the upper four bytes, the one after the last in the lower.
+        "doc_id long, text_hash long, run long, words long, repeated boolean",
     )
     # What repeats is known already: it takes a number of its own, so that frequent runs are spread.
-    run = F.when(F.col("repeated"), F.xxhash64("doc_id", "text_hash", "first")).otherwise(F.col("run"))
-    place = Window.partitionBy("run", "repeated").orderBy(F.asc_nulls_last("doc_id"), "text_hash", "first")
+    run = F.when(F.col("repeated"), F.xxhash64("doc_id", "text_hash", "words")).otherwise(F.col("run"))
+    place = Window.partitionBy("run", "repeated").orderBy(F.asc_nulls_last("doc_id"), "text_hash", "words")
     spans = (
         found.withColumn("run", run)
         .withColumn("place", F.rank().over(place))
         .where("repeated or place > 1")
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set(F.struct("first", "after")).alias("spans"))
+        .agg(F.collect_set("words").alias("spans"))
     )
     same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash"))
     marked = keyed.join(spans, same, "left").select("others", "_text", "spans")

@@ -118,6 +118,15 @@ def test_planted_passages_are_found_by_word_windows(spark, sentence):
         seen |= windows
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_texts_with_equal_short_hashes_are_told_apart(spark, key):
+    shared, clean = passage("shared", 30) + " a7293", passage("other", 30) + " b41660"
+    docs = spark.createDataFrame([(1, passage("shared", 30)), (key, shared), (key, clean)], "doc_id long, text string")
+    assert len({r[0] for r in docs.where("text like '% %7293' or text like '%b41660'").select(F.hash("text")).collect()}) == 1
+    got = {r.text: r.n_removed for r in without_repeated_spans(docs).collect() if r.doc_id == key}
+    assert got[clean] == 0 and sum(got.values()) >= 28
+
+
 def test_spans_of_odd_documents(odd_documents, no_documents):
     got = without_repeated_spans(odd_documents)
     assert got.columns == [c for c in odd_documents.columns if c != "n_words"] + ["n_words", "n_removed"]
