@@ -1,7 +1,8 @@
 """Main text of web pages by a minimum cut between content and boilerplate.
 
 A page's text blocks are the nodes. What tags, class names, links and length say of a block is its
-cost for either side (terminal capacities); blocks that follow each other, and blocks that share an
+cost for either side (terminal capacities). A class name or id that speaks for boilerplate is not
+believed of an element that holds the page's article, see ``_wrappers``; blocks that follow each other, and blocks that share an
 element, are joined by edges whose weight falls with their distance in the tree. The minimum cut
 keeps the blocks on the content side. Every page is a graph of its own, in one task.
 """
@@ -27,7 +28,7 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 _NAME_PART = re.compile(r"[a-z0-9]+")
 
 # Elements by what they do to text.
-_NEVER_TEXT = frozenset("script style noscript template svg math iframe object canvas title textarea head".split())
+_NEVER_TEXT = frozenset("script style noscript template svg annotation annotation-xml iframe canvas title textarea".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer "
@@ -57,37 +58,49 @@ SHARED = 0.4  # weight between the next two blocks of one element with others in
 
 
 class _Block:
-    __slots__ = ("text", "path", "cue", "linked", "chars")
+    __slots__ = ("text", "path", "cue", "linked", "chars", "vetoes", "below")
 
-    def __init__(self, text: str, path: tuple[int, ...], cue: float, linked: int, chars: int):
+    def __init__(
+        self, text: str, path: tuple[int, ...], cue: float, linked: int, chars: int, vetoes: tuple[int, ...] = (), below: str = ""
+    ):
         self.text, self.path, self.cue, self.linked, self.chars = text, path, cue, linked, chars
+        # Elements around it that are boilerplate by name alone, and "main" or "article" if one lies below them.
+        self.vetoes, self.below = vetoes, below
 
 
-def _cue(tag: str, attributes: str, inside_content: bool) -> float | None:
-    """+1 for content, -1 for boilerplate, None if an element says nothing of its purpose."""
+def _cue(tag: str, attributes: str, inside_content: bool) -> tuple[float | None, bool, str]:
+    """+1 for content, -1 for boilerplate, None if an element says nothing of its purpose; whether
+    only its names say so; and "main" or "article" if it is one. What <html> and <body> are called says nothing."""
+    if tag in ("html", "body"):
+        return None, False, ""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
     if "hidden" in found or "display:none" in found.get("style", "").replace(" ", "").lower():
-        return -1.0
+        return -1.0, False, ""
     if found.get("aria-hidden", "").lower() == "true":
-        return -1.0
-    if tag in _BOILERPLATE_TAGS or found.get("role", "").lower() in _BOILERPLATE_ROLES:
-        return -1.0
+        return -1.0, False, ""
+    role = found.get("role", "").lower()
+    if tag in _BOILERPLATE_TAGS or role in _BOILERPLATE_ROLES:
+        return -1.0, False, ""
     if tag == "header":
-        return None if inside_content else -1.0
+        return None if inside_content else -1.0, False, ""
     names = set(_NAME_PART.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    content = tag in _CONTENT_TAGS or found.get("role", "").lower() in ("main", "article")
+    content = "main" if "main" in (tag, role) else "article" if "article" in (tag, role) else ""
     if names & _BOILERPLATE_NAMES and not (content and not names & {"comment", "comments", "reply"}):
         if not (inside_content and names & {"header"}):
-            return -1.0
+            return -1.0, True, ""
     if content or names & _CONTENT_NAMES:
-        return 1.0
-    return None
+        return 1.0, False, content
+    return None, False, ""
 
 
-def text_blocks(html: str) -> list[_Block]:
-    """The blocks of a page in order, with their elements and what those say of them."""
+def text_blocks(html: str, wrappers: frozenset[int] = frozenset()) -> list[_Block]:
+    """The blocks of a page in order, with their elements and what those say of them.
+
+    ``wrappers``: numbers of elements whose names are not read as boilerplate.
+    """
     blocks: list[_Block] = []
-    stack: list[tuple[str, float, int]] = []  # tag, cue in force, number of the element
+    # Tag, cue in force, number of the element, vetoes by name around, main or article below these.
+    stack: list[tuple[str, float, int, tuple[int, ...], str]] = []
     parts: list[str] = []
     state = {"linked": 0, "elements": 0}
 
@@ -95,8 +108,9 @@ def text_blocks(html: str) -> list[_Block]:
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            path = tuple(number for tag, _, number in stack if tag in _BLOCK)
-            blocks.append(_Block(text, path, stack[-1][1] if stack else 0.0, state["linked"], len(text)))
+            path = tuple(entry[2] for entry in stack if entry[0] in _BLOCK)
+            cue, _, vetoes, below = stack[-1][1:] if stack else (0.0, 0, (), "")
+            blocks.append(_Block(text, path, cue, state["linked"], len(text), vetoes, below))
         state["linked"] = 0
 
     def say(raw: str) -> None:
@@ -123,6 +137,8 @@ def text_blocks(html: str) -> list[_Block]:
                 end = re.compile(rf"</{re.escape(tag)}\s*[^>]*>|\Z", re.I).search(html, at)
                 at = end.end()
             continue
+        if tag == "head":  # its elements with text are none of the page's; the end tag may be left out
+            continue
         if tag == "br":
             parts.append(" ")
             continue
@@ -144,12 +160,25 @@ def text_blocks(html: str) -> list[_Block]:
                 break
             if open_tag in _BLOCK:
                 break
-        before = stack[-1][1] if stack else 0.0
-        own = _cue(tag, found[3] or found[6] or "", before > 0) if tag in _BLOCK or found[3] or found[6] else None
+        _, before, _, vetoes, below = stack[-1] if stack else ("", 0.0, 0, (), "")
+        own, by_name, named = (
+            _cue(tag, found[3] or found[6] or "", before > 0) if tag in _BLOCK or found[3] or found[6] else (None, False, "")
+        )
+        state["elements"] += 1
+        number = state["elements"]
+        if by_name and number in wrappers:
+            own = None
+        elif own is not None and own < 0:
+            # What an element says besides its names is final, also for what is below.
+            if not by_name:
+                vetoes, below = (), ""
+            elif before >= 0 or vetoes:
+                vetoes, below = (*vetoes, number), ""
+        elif vetoes and named and below != "main":
+            below = named
         # An advert, menu or comment inside an article is none of it, and nothing in a menu is content.
         cue = before if own is None or before < 0 else own
-        state["elements"] += 1
-        stack.append((tag, cue, state["elements"]))
+        stack.append((tag, cue, number, vetoes, below))
     flush()
     return blocks
 
@@ -240,10 +269,36 @@ def minimum_cut(leaning: list[float], edges: list[tuple[int, int, float]]) -> li
                     room[e ^ 1] += flow
 
 
+def _wrappers(blocks: list[_Block], named: bool, empty: bool) -> set[int]:
+    """Elements that are boilerplate by name alone but hold the page's article.
+
+    They hold its main element, or, where no other content is named, the articles in the fewest such
+    elements, or, where nothing would be left of the page, its longest block and most of its text that
+    is not links.
+    """
+    found = {v for b in blocks for v in b.vetoes if b.below == "main"}
+    if not found and not named:
+        chains = [b.vetoes for b in blocks if b.below == "article"]
+        found = {v for chain in chains if len(chain) == min(map(len, chains)) for v in chain}
+    if not found and empty:
+        plain = [b.chars - b.linked for b in blocks]
+        longest = max(range(len(blocks)), key=plain.__getitem__)
+        vetoes = blocks[longest].vetoes
+        if vetoes and 2 * sum(n for n, b in zip(plain, blocks) if vetoes[0] in b.vetoes) > sum(plain):
+            found.update(vetoes)
+    return found
+
+
 def main_text(html: str) -> str:
-    blocks = text_blocks(html)
-    named = any(b.cue > 0 for b in blocks)
-    content = minimum_cut([_leaning(b, named) for b in blocks], _edges(blocks))
+    wrappers: frozenset[int] = frozenset()
+    while True:
+        blocks = text_blocks(html, wrappers)
+        named = any(b.cue > 0 for b in blocks)
+        content = minimum_cut([_leaning(b, named) for b in blocks], _edges(blocks))
+        found = _wrappers(blocks, named, bool(blocks) and not any(content))
+        if not found:
+            break
+        wrappers |= found
     return "\n\n".join(b.text for b, keep in zip(blocks, content) if keep)
 
 

@@ -82,6 +82,33 @@ def test_article_without_what_surrounds_it():
     assert main_text(ARTICLE) == "Café & tea\n\nFirst boldpara\xadgraph goes on.\n\nOk.\n\nLast <one>."
 
 
+STORY = "<p>" + " ".join(f"word{i} of the story" for i in range(12)) + ".</p>"
+
+
+@pytest.mark.parametrize("page", [
+    '<body class="single has-sidebar"><article>{}</article>',
+    '<body class="no-sidebar comments-open"><p><a href="/">Home</a></p>{}</body>',
+    '<body><div class="page-with-share"><main>{}</main><div class="comments"><article>Nice one</article></div></div>',
+    '<div class="page-with-share"><div id="header-widget"><article>{}</article></div></div><p><a href="/">Home</a></p>',
+    '<div class="page-with-share">{}<div class="comments"><p>Nice one, thank you.</p></div></div>',
+    "<html><head><title>T</title><style>p{{}}</style><body><header>Top</header><article>{}</article>",
+    "<head><meta charset=utf-8><title>T</title><article>{}</article>",
+])
+def test_articles_in_odd_wrappers_are_kept(page):
+    assert extraction.main_text(page.format(STORY)) == STORY[3:-4]
+
+
+def test_what_names_alone_do_not_make_content():
+    page = f"<main>{STORY}</main><div class=related><article>{STORY.replace('story', 'other')}</article></div>"
+    assert extraction.main_text(page) == STORY[3:-4]
+    assert extraction.main_text("<nav class=x><main>Menu</main></nav><div hidden><article>Gone</article></div>") == ""
+
+
+def test_formulas_are_text():
+    page = "<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds, <object>as drawn</object>.</p></article>"
+    assert extraction.main_text(page) == "So x=2 holds, as drawn."
+
+
 def test_pages_that_name_nothing():
     prose = "This sentence has a number of words that make it look like prose. " * 5
     page = f"<div><a href=1>Home</a> <a href=2>News</a> <a href=3>Mail</a></div><div><p>{prose}</p><p>Short.</p><p>{prose}</p></div><div><a href=4>More of this</a></div>"
