@@ -117,8 +117,19 @@ def _leaves(trees: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
 
 
 def _squared(vectors: np.ndarray) -> np.ndarray:
+    """Squared distances in double precision, also between near copies, where norms would cancel out."""
+    vectors = vectors.astype(np.float64)
+    vectors -= vectors.mean(axis=0)
     norms = (vectors**2).sum(axis=1)
-    return np.maximum(norms[:, None] + norms[None, :] - 2 * vectors @ vectors.T, 0)
+    both = norms[:, None] + norms[None, :]
+    apart = both - 2 * vectors @ vectors.T
+    close = apart < 1e-9 * both
+    np.fill_diagonal(close, False)
+    for i in np.flatnonzero(close.any(axis=1)):
+        others = np.flatnonzero(close[i])
+        apart[i, others] = ((vectors[others] - vectors[i]) ** 2).sum(axis=1)
+    np.fill_diagonal(apart, 0)
+    return np.maximum(apart, 0)
 
 
 def _nearest_in_leaf(keep: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

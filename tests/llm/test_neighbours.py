@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.neighbours import nearest_neighbours
+from bazaarlens.llm.neighbours import _squared, nearest_neighbours
 
 SCHEMA = "vec_id long, embedding array<float>, label int, node long, query long, vector string"
 
@@ -38,6 +38,25 @@ def test_recall_against_brute_force(spark):
     assert got[7] == exact(vectors, 7, 10) and [i for i, _ in got[7]] == list(range(1500, 1510))
 
 
+def test_recall_among_near_copies(spark):
+    rng = np.random.default_rng(9)
+    spread = rng.normal(size=(1000, 64))
+    near = spread[0] / np.linalg.norm(spread[0]) + 3e-5 * rng.normal(size=(500, 64))
+    unit = np.concatenate([spread / np.linalg.norm(spread, axis=1, keepdims=True), near])[rng.permutation(1500)]
+    vectors = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(unit)]
+    got = results(nearest_neighbours(table(spark, vectors), F.col("vec_id") % 20 == 7))
+    copies = [q for q in got if exact(vectors, q, 1)[0][1] < 1e-2]
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in exact(vectors, q, 10)}) for q in copies)
+    assert len(copies) > 10 and hits >= 0.9 * 10 * len(copies), hits / len(copies)
+
+
+def test_distances_of_near_copies():
+    rng = np.random.default_rng(2)
+    vectors = (np.repeat(rng.normal(size=(2, 64)), 20, axis=0) + 1e-4 * rng.normal(size=(40, 64))).astype("<f4")
+    apart = ((vectors[:, None].astype(float) - vectors[None]) ** 2).sum(axis=2)
+    assert np.allclose(_squared(vectors), apart, rtol=1e-5, atol=0)
+
+
 def test_few_and_odd_vectors(spark):
     vectors = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [-1.0, -0.0]), (4, [-1.0, 0.0])]
     odd = [(10, None), (11, []), (12, [0.0, 0.0]), (13, [None, 1.0]), (14, [float("nan"), 1.0]), (15, [float("inf"), 0.0]),
