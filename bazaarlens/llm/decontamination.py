@@ -134,6 +134,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
     is clean; an item without words, or a null item id, contaminates nothing. A repeated row gives
     its result again. Further columns of the inputs are ignored. Empty tables: no rows, or all clean.
     """
+    return _judged(documents, benchmark, window, shingle).drop("text_hash")
+
+
+def _judged(documents: DataFrame, benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
+    """What `contamination` gives, with the hash of the text that was judged."""
     windows = materialize(item_windows(benchmark, window, shingle).where(F.col("item_id").isNotNull()))
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
     lengths = sorted(r[0] for r in windows.select(F.least(F.size("words"), F.lit(shingle))).distinct().collect())
@@ -194,6 +199,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     return base.join(per_document, same, "left").select(
         "doc_id",
+        "text_hash",
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -205,3 +211,11 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, window: int = 10)
     """The documents in which no window of the benchmark occurs; null ids are kept."""
     hit = contamination(documents, benchmark, window).where("contaminated").select("doc_id").distinct()
     return documents.join(hit, "doc_id", "left_anti")
+
+
+def clean_texts(documents: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 3) -> DataFrame:
+    """The rows whose own text holds no window of the benchmark, whatever their ids and other rows'."""
+    hit = _judged(documents, benchmark, window, shingle).where("contaminated").select("doc_id", "text_hash").distinct()
+    hit = hit.select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash"))
+    same = documents["doc_id"].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(documents["text"]) == F.col("_hit_hash"))
+    return documents.join(hit, same, "left_anti")

@@ -303,3 +303,24 @@ def deduplicated(documents: DataFrame, shingle_words: int = 5, percent: int = 80
     """One document of each group of near-duplicates, with all its columns; rows without id stay."""
     dropped = near_duplicates(documents, shingle_words, percent).where("not kept").select("doc_id").distinct()
     return documents.join(dropped, "doc_id", "left_anti")
+
+
+def one_row_of_each_group(documents: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of near-duplicate texts, with all its columns, whatever the ids.
+
+    Every row is judged by its own text, rows without doc_id and rows that repeat one too. Of a group the
+    row with the smallest doc_id stays, one without id only where none has any. Texts without words stay.
+    """
+    rows = materialize(
+        documents.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("others"),
+        )
+    )
+    texts = rows.select(F.col("row").alias("doc_id"), F.col("others.text").alias("text"))
+    groups = near_duplicates(texts, shingle_words, percent).select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select("row", "doc_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")).alias("first")
+    kept = groups.join(ids, "row").groupBy("component_id").agg(first).select(F.col("first.row").alias("row"))
+    return rows.join(kept, "row", "left_semi").select(*[F.col(f"others.`{c}`").alias(c) for c in documents.columns])

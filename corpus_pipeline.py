@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from bazaarlens import ship, tune
 from bazaarlens.llm import quality
-from bazaarlens.llm.decontamination import decontaminated
-from bazaarlens.llm.minhash import deduplicated
+from bazaarlens.llm.decontamination import clean_texts
+from bazaarlens.llm.minhash import one_row_of_each_group
 from bazaarlens.llm.packing import packed_documents
 from bazaarlens.llm.substrings import without_repeated_spans
 from bazaarlens.session import shared_folder
@@ -31,9 +31,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id."""
+    """One document of each group of near-duplicates, that with the smallest id; rows without id take part."""
     ship(tune(spark))
-    return deduplicated(docs)
+    return one_row_of_each_group(docs)
 
 
 def remove_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def remove_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of the benchmark."""
-    return decontaminated(docs, ship(tune(spark)).read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return clean_texts(docs, ship(tune(spark)).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from bazaarlens.llm import words
+from bazaarlens.llm.decontamination import clean_texts
+from bazaarlens.llm.minhash import one_row_of_each_group
 from bazaarlens.llm.substrings import sentence_ends
 from test_near_duplicates import brute_force
 from test_text_operators import brute_spans, found_items
@@ -88,6 +90,22 @@ def test_sequences_hold_all_that_is_left(steps):
     assert max(filled.values()) <= 4096
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    rng = np.random.default_rng(6)
+    one, two, three, four = (" ".join(f"w{x}" for x in rng.integers(0, 10**6, 40)) for _ in range(4))
+    items = spark.createDataFrame([(1, " ".join(two.split()[5:25]))], "item_id long, text string")
+    rows = [(None, one), (None, one), (5, one), (5, one), (9, two), (9, three), (None, two), (None, four), (None, four), (None, None), (3, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, `a.b` string").repartition(3)
+    kept = one_row_of_each_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(
+        map(str, [(5, one), (9, two), (9, three), (None, four), (None, None), (3, "")])
+    )
+    clean = clean_texts(docs, items)
+    assert clean.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in clean.collect()))) == sorted(map(str, (r for r in rows if r[1] != two)))
+
+
 def test_registered(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "minhash_near_dedup", "substring_dedup", "benchmark_decontamination", "best_fit_packing"
