@@ -70,20 +70,37 @@ def _address(url: Column) -> Column:
     return F.regexp_replace(url, r"(?s)#.*$", "")
 
 
+_VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
+# In the content of a refresh: seconds, then the target, mostly behind url=.
+_REFRESH_URL = r"""(?is)^\s*(?:[\d.]++[;,\s]++(?:url\s*=\s*)?|[;,\s]*url\s*=\s*)(?:"([^"]*)|'([^']*)|([^"'\s]\S*))"""
+
+
+def _attribute(name: str) -> str:
+    return rf"(?is)(?<![\w-]){name}\s*=\s*{_VALUE}"
+
+
+def _tags(pattern: str) -> Column:
+    return F.regexp_extract_all("html", F.lit(f"(?is){pattern}"), F.lit(0))
+
+
+def _first_group(texts: Column, pattern: str) -> Column:
+    """Of each text, what one of the pattern's three groups holds in its first match; else empty."""
+    return F.transform(texts, lambda t: F.concat(*[F.regexp_extract(t, pattern, group) for group in (1, 2, 3)]))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """(source, target) of canonical links and meta refreshes in ``html``, targets made absolute.
 
+    Every such tag of a page counts; values may stand in either quotes or in none.
     A target that is neither absolute nor begins with a slash is taken from the page's last slash on.
     """
-    html = F.col("html")
-    canonical = F.regexp_extract(html, r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""", 0)
-    canonical = F.regexp_extract(canonical, r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')""", 0)
-    canonical = F.regexp_extract(canonical, r"""(?s)["'](.*)["']$""", 1)
-    refresh = F.regexp_extract(html, r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>""", 0)
-    refresh = F.regexp_extract(refresh, r"""(?is)\burl\s*=\s*'?([^"'>\s]+)""", 1)
+    canonical = _first_group(_tags(r"""<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""), _attribute("href"))
+    content = _first_group(_tags(r"""<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""), _attribute("content"))
+    content = F.transform(content, lambda c: F.replace(F.replace(c, F.lit("&quot;"), F.lit('"')), F.lit("&#39;"), F.lit("'")))
+    refresh = _first_group(content, _REFRESH_URL)
     targets = (
         pages.where("url is not null and html is not null")
-        .select(F.col("url"), F.explode(F.array(canonical, refresh)).alias("target"))
+        .select(F.col("url"), F.explode(F.array_distinct(F.concat(canonical, refresh))).alias("target"))
         .withColumn("target", F.trim(F.replace("target", F.lit("&amp;"), F.lit("&"))))
         .where("target != ''")
     )

@@ -203,6 +203,22 @@ def test_aliases_share_a_block(spark):
     assert all(got[i][2] is None for i in range(6))
 
 
+def test_links_in_any_quotes_and_number(spark):
+    bad = "http://bad.net/z"
+    html = {
+        "http://a.com/": f"<link rel=canonical href={bad}>",
+        "http://b.com/": f"<link href={bad} rel=canonical />",
+        "http://c.com/": f"""<meta http-equiv=refresh content='0;url="{bad}"'>""",
+        "http://d.com/": f"<meta content=0;url={bad} http-equiv=refresh>",
+        "http://e.com/": f'<meta http-equiv="refresh" content="5"><meta http-equiv="refresh" content="0; {bad}">',
+        "http://f.com/": f'<link rel="canonical" href="/f"><link rel="canonical" href="{bad}">',
+        "http://g.com/": f'<meta http-equiv="refresh" content="0;url=&quot;{bad}&quot;">',
+        "http://h.com/": f'<link rel=canonical data-href={bad} href=/h><link rel=icon href={bad}><meta http-equiv=refresh content=5>',
+    }
+    verdicts = [v[3] for _, v in sorted(judged(spark, list(html), html).items())]
+    assert verdicts == ["block"] * 7 + ["allow"]
+
+
 def test_own_rule_comes_before_aliases(spark):
     html = {"http://x.example.net/en/": '<link rel="canonical" href="http://bad.net/">'}
     got = judged(spark, ["http://x.example.net/en/", "http://bad.net/"], html)
