@@ -114,3 +114,39 @@ with recursive rules(rule_host, rule_path, rule_verdict) as (
 select p.page_id, r.host, r.path, r.rule, coalesce(r.rule_verdict, a.verdict, 'allow') as verdict
 from pages p join ruled r on p.url is not distinct from r.url left join aliases a on a.node = r.node
 """
+
+COLLOCATIONS = rf"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(coalesce({_LOWER}, ''), '[.,;:!?\x0A-\x0D]')) as piece from documents
+), split as materialized (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces
+), sizes as (
+    select lang, cast(sum(len(words)) as bigint) as n from split group by lang
+), places as (
+    select lang, words, k, unnest(range(1, len(words) - k + 2)) as start from split, (values (1), (2), (3)) lengths(k)
+), f as materialized (
+    select lang, k, array_to_string(words[start:start + k - 1], ' ') as phrase, count(*) as f
+    from places group by all having count(*) >= 10
+), candidates as materialized (
+    select lang, k, phrase, f as a, string_split(phrase, ' ') as words from f where k > 1
+), cuts as (
+    select lang, phrase, k, a, cut, array_to_string(words[1:cut], ' ') as first, array_to_string(words[cut + 1:], ' ') as rest
+    from (select *, unnest(range(1, k)) as cut from candidates)
+), scored as (
+    select c.lang, c.phrase, c.a, c.cut, x.f as l, y.f as r,
+        cast((1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f) as bigint) as score
+    from cuts c join f x on x.lang = c.lang and x.phrase = c.first join f y on y.lang = c.lang and y.phrase = c.rest
+), weakest as (
+    select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), explained as (
+    select distinct s.lang, s.phrase
+    from candidates s join (
+        select lang, a, array_to_string(words[start:start + 1], ' ') as part from (select *, unnest([1, 2]) as start from candidates where k = 3)
+    ) t on t.lang = s.lang and t.part = s.phrase
+    where s.k = 2 and 100 * t.a >= 50 * s.a
+), ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+    from weakest anti join explained using (lang, phrase)
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join sizes using (lang) where rank <= 2000
+"""

@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from bazaarlens import ship, tune
 from bazaarlens.llm import language, oracle, quality
+from bazaarlens.llm.alignment import aligned_tokens
+from bazaarlens.llm.collocations import collocations
 from bazaarlens.llm.decontamination import contamination
 from bazaarlens.llm.extraction import extracted_texts
 from bazaarlens.llm.minhash import near_duplicates
 from bazaarlens.llm.neighbours import nearest_neighbours
 from bazaarlens.llm.packing import packed_documents
 from bazaarlens.llm.substrings import without_repeated_spans
+from bazaarlens.llm.token_counts import token_counts
 from bazaarlens.llm.url_filters import judged_pages
 from bazaarlens.llm.warc import read_archive, write_archive
 from bazaarlens.session import shared_folder
@@ -104,6 +107,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"), support=10, longest=3, top=2000, explained_percent=50)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cache = f"{shared_folder(spark)}/token-counts-{uuid.uuid4().hex}"
+    counted = token_counts(_table(spark, sf_dir, "documents"), cache, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return aligned_tokens(_table(spark, sf_dir, "documents"), a, b)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_warc_archive": op2_warc_archive,
@@ -115,6 +133,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_token_counts": op12_token_counts,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -122,4 +143,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_warc_archive": oracle.ARCHIVE,
     "op6_url_filters": oracle.URL_FILTERS,
     "op9_benchmark_decontamination": oracle.DECONTAMINATION,
+    "op11_phrase_collocations": oracle.COLLOCATIONS,
 }

@@ -38,4 +38,4 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
