@@ -1,4 +1,5 @@
 from bazaarlens.operators.dedup import dedup_keep_first
+from bazaarlens.operators.distinct import count_distinct_each
 from bazaarlens.operators.joins import spread_join
 from bazaarlens.operators.quality import (
     check_violations,
@@ -13,6 +14,7 @@ from bazaarlens.operators.shares import bucketize, period_change, running_share,
 __all__ = [
     "bucketize",
     "check_violations",
+    "count_distinct_each",
     "dedup_keep_first",
     "fk_orphans",
     "length_violations",

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.functions import cents, exact_ratio, from_cents, money_mean, money_sum
-from bazaarlens.operators import running_share, share_of_total
+from bazaarlens.operators import ntile_global, running_share, share_of_total
 from bazaarlens.plans.building_blocks import Tables, active_orders, order_reviews
 from bazaarlens.plans.reports import (
+    CLV_TILES,
     category_sales,
-    customer_lifetime_value_full,
+    customer_values,
     delivered_orders,
     delivery_measures,
     state_sales,
@@ -53,10 +54,14 @@ def state_share(tables: Tables) -> DataFrame:
 
 
 def clv_quartiles(tables: Tables) -> DataFrame:
-    """Persons and mean value per quartile, with the mean over all persons."""
+    """Persons and mean value per quartile, with the mean over all persons.
+
+    Persons are ranked, and so stored, with nothing but their value.
+    """
     value = F.col("lifetime_value")
+    persons = customer_values(tables).select("customer_unique_id", "lifetime_value")
     by_quartile = (
-        customer_lifetime_value_full(tables)
+        ntile_global(persons, CLV_TILES, "lifetime_value", ["customer_unique_id"], "clv_quartile")
         .groupBy("clv_quartile")
         .agg(
             F.count(F.lit(1)).alias("customers"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
 import zipfile
@@ -50,8 +49,9 @@ def build_session(app_name: str = "bazaarlens", master: str | None = None, **set
 
 def ship(spark: SparkSession) -> SparkSession:
     """Make a session fit for tasks in Python: give them this package, so that it need be on the driver's
-    path only, and whole texts in batches of few rows, as rows may be long."""
+    path only, and whole texts in batches of few rows and bytes, as rows may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     context = spark.sparkContext
     if context not in _SHIPPED:
         package = Path(__file__).parent
@@ -59,7 +59,7 @@ def ship(spark: SparkSession) -> SparkSession:
         with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
             for module in sorted(package.rglob("*.py")):
                 file.write(module, module.relative_to(package.parent))
-        # Executors fetch it from the driver, as they do with --py-files.
+        # Executors fetch it from the driver, as they do with --py-files; addPyFile keeps a copy.
         context.addPyFile(str(archive))
         _SHIPPED.add(context)
     return spark
@@ -72,12 +72,15 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: what spark.checkpoint.dir names, else one under the warehouse.
 
     The same on any master. The warehouse holds the tables that every executor reads and writes, so
-    whatever runs loads and reports can reach it.
+    whatever runs loads and reports can reach it. A warehouse on the driver's own disk is refused on a cluster.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_rows"
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_rows"
+    if _file_system(spark, folder).getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
+    return folder
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -85,17 +88,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
     The rows are written as Parquet: later uses read just their columns, a count just the file
     footers, and lost executors cost no recomputation. `release` removes them; what a lazy
-    result still reads goes when the session ends, or with the folder.
+    result still reads goes when the driver ends, also if its session was stopped before.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/rows-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     _STORED[stored] = path
-    if spark not in _CLEANED:
-        _CLEANED.add(spark)
-        atexit.register(_release_all, spark)
-    _PATHS.setdefault(spark, set()).add(path)
     return stored
 
 
@@ -104,29 +104,32 @@ def release(*stored: DataFrame) -> None:
     for df in stored:
         path = _STORED.pop(df, None)
         if path:
-            _PATHS[df.sparkSession].discard(path)
             remove_folder(df.sparkSession, path)
 
 
-# Where materialized rows lie, as long as somebody holds the DataFrame, and per session.
+# Where materialized rows lie, as long as somebody holds the DataFrame.
 _STORED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
-_PATHS: WeakKeyDictionary[SparkSession, set[str]] = WeakKeyDictionary()
-_CLEANED: WeakSet[SparkSession] = WeakSet()
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the driver's JVM ends, if it is still there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = _file_system(spark, path)
+    # Only what exists can be marked.
+    files.mkdirs(place.getParent())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    files.delete(place, True)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of any file system that Spark reaches, if it is there."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def _release_all(spark: SparkSession) -> None:
-    """At the end of the driver: whatever is left, if the session still runs."""
-    if spark.sparkContext._jsc is None:
-        return
-    for path in _PATHS.pop(spark, set()):
-        try:
-            remove_folder(spark, path)
-        except Exception:  # the cluster may be gone already
-            return
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = _file_system(spark, path)
+    files.delete(place, True)
+    files.cancelDeleteOnExit(place)

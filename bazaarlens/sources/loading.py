@@ -2,119 +2,125 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.operators import dedup_keep_first, fk_orphans, pk_violations, spread_join
 from bazaarlens.schemas import BY_NAME, TABLES, Table
-from bazaarlens.session import materialize, release, remove_folder
-from bazaarlens.sources.csv_files import CORRUPT, UnterminatedField, read_csv_positional
+from bazaarlens.session import materialize, release
+from bazaarlens.sources import versions
+from bazaarlens.sources.csv_files import CORRUPT, FILE, LINE, Unreadable, faulty_column, read_csv_positional, same_cuts
 
+# How many places of faults an error names.
+_PLACES = 10
+# So many broken keys, of at most some dozens of bytes each, are sent to the tasks that look for them.
+_FEW_KEYS = 100_000
 
-class LoadError(Exception):
-    """A table broke its rules; ``problems`` maps each broken rule to the number of cases."""
-
-    def __init__(self, table: str, problems: Mapping[str, int]):
-        super().__init__(f"{table}: " + ", ".join(f"{rule}: {n}" for rule, n in problems.items()))
-        self.table = table
-        self.problems = dict(problems)
 
+@dataclass(frozen=True)
+class Place:
+    """A fault: the line its record begins in, counted from 1, and the column, where one is to blame."""
 
-class open_tables(Mapping):  # noqa: N801 - used like a function
-    """The loaded tables of a database by name, opened when asked for."""
+    file: str
+    line: int
+    column: str | None
+    rule: str
 
-    def __init__(self, spark: SparkSession, database: str):
-        self._spark, self._database = spark, database
+    def __str__(self) -> str:
+        return f"{self.file}, line {self.line}" + (f", {self.column}" if self.column else "") + f": {self.rule}"
 
-    def __getitem__(self, name: str) -> DataFrame:
-        return self._spark.table(f"{self._database}.{BY_NAME[name].name}")
 
-    def __iter__(self) -> Iterator[str]:
-        return iter(BY_NAME)
+class LoadError(Exception):
+    """A table broke its rules; ``problems`` maps each broken rule to the number of cases, ``places`` are the
+    first of them in the files."""
 
-    def __len__(self) -> int:
-        return len(BY_NAME)
+    def __init__(self, table: str, problems: Mapping[str, int], places: Iterable[Place] = ()):
+        self.table, self.problems, self.places = table, dict(problems), list(places)
+        counted = ", ".join(f"{rule}: {n}" for rule, n in self.problems.items())
+        super().__init__("\n".join([f"{table}: {counted}", *map(str, self.places)]))
 
 
-def load_plan(spark: SparkSession, folder: str) -> list[tuple[Table, list[str]]]:
-    """Each table, parents first, with the files found for it; an empty list if there are none.
+def load_plan(spark: SparkSession, folder: str) -> list[tuple[Table, str | None]]:
+    """Each table, parents first, with the file found for it, or None.
 
     A table's file is ``<table>.csv``, with any prefix ending in ``_`` and an optional
     ``_dataset`` behind the name. It may also be a folder of part files, the better form for
-    large extracts.
+    large extracts. Two that fit one table are refused.
     """
-    return [(table, _files(spark, f"{folder}/{{,*_}}{table.name}{{,_dataset}}.csv")) for table in TABLES]
+    return [(table, _file(spark, folder, table)) for table in TABLES]
 
 
-def _files(spark: SparkSession, pattern: str) -> list[str]:
-    try:
-        return sorted(spark.read.text(pattern).inputFiles())
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
+def _file(spark: SparkSession, folder: str, table: Table) -> str | None:
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder}/{{,*_}}{table.name}{{,_dataset}}.csv")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [str(status.getPath()) for status in files.globStatus(pattern) or []]
+    if len(found) > 1:
+        raise LoadError(table.name, {"more than one extract": len(found)}, [])
+    return found[0] if found else None
 
 
 def load(
-    spark: SparkSession, folder: str, database: str, target: str, strict: bool = True, buckets: int | None = None
+    spark: SparkSession,
+    folder: str,
+    database: str,
+    target: str,
+    strict: bool = True,
+    buckets: int | None = None,
+    first: str = "earliest",
+    at_once: int = 6,
 ) -> DataFrame:
     """Replace all tables of ``database`` by the extracts in ``folder`` and return the row counts.
 
-    Tables are written as Parquet under ``target``. All of them exist, empty, before the first file
-    is read, and a table without a file is left so. With ``strict``, the first table that breaks a
-    rule is emptied and a LoadError raised; tables before it stay, those after it are empty.
-    Otherwise every row read is either in its table or in ``<table>_rejected``, with the reason.
+    Tables are written as Parquet under ``target``, each as a new version that readers see once it has
+    been checked (see `versions`). First all tables are empty, at once, and a table without a file stays so. With
+    ``strict``, the first table that breaks a rule stays empty and a LoadError is raised, which says where;
+    tables before it are there, those after it empty. Otherwise every row read is either in its
+    table or in ``<table>_rejected``, with the reason, the file, the line and the column.
 
     ``buckets`` writes orders, items and customers in that many buckets by their id, which saves
     the reports the largest shuffles. Choose it so that one bucket fits a task comfortably.
-    """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for table in reversed(TABLES):
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{table.name}")
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{table.name}_rejected")
 
-    tables = open_tables(spark, database)
-    for table in TABLES:
-        # Dropping a table leaves its files.
-        remove_folder(spark, f"{target}/{table.name}")
-        spark.catalog.createTable(f"{database}.{table.name}", f"{target}/{table.name}", "parquet", table.schema)
-    for table, files in load_plan(spark, folder):
-        if not files:
-            continue
-        place = f"{target}/{table.name}"
-        empty = spark.createDataFrame([], table.schema)
-        stored: list[DataFrame] = []
+    ``first`` says which of several rows of a key stays, where a table keeps one: the ``earliest`` by
+    its dates, or the first ``in_file`` (by path, then by line).
+
+    Up to ``at_once`` tables are loaded at the same time; a child waits for its parents before its references are
+    checked. They are published in their order, so what readers see does not depend on it.
+    """
+    if first not in ("earliest", "in_file"):
+        raise ValueError(f"first is earliest or in_file, not {first}")
+    plan = load_plan(spark, folder)
+    version = versions.new_version()
+    versions.begin(spark, database, target, version)
+    running: dict[str, Future] = {}
+    counts = dict.fromkeys(BY_NAME, 0)
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        for table, path in plan:
+            # Parents were submitted before, so whoever waits for one waits for a load that has begun.
+            parents = {name: running[name] for name in table.references.values()}
+            task = _TableLoad(spark, table, path, database, target, version, strict, buckets, first, parents)
+            running[table.name] = pool.submit(task.run)
         try:
-            rows = read_csv_positional(spark, files, table.schema, strict, stored)
-            if strict:
-                if table.keep_first:
-                    # Rows that will be dropped must keep the column rules, too.
-                    stored.append(rows := materialize(rows))
-                    _refuse(table, _count_broken(rows, _column_rules(table)))
-                    rows = dedup_keep_first(rows, table.key, table.keep_first)
-                _write(rows, database, table, place, buckets)
-                _refuse(table, broken_rules(tables[table.name], table, tables))
-            else:
-                judged = _judged(rows, table, tables, stored)
-                names = [c.name for c in table.columns]
-                _write(judged.filter("reason IS NULL").select(*names), database, table, place, buckets)
-                rejected = judged.filter("reason IS NOT NULL").select(*names, CORRUPT, "reason")
-                rejected.write.mode("overwrite").option("path", f"{place}_rejected").saveAsTable(
-                    f"{database}.{table.name}_rejected"
-                )
-        except (LoadError, UnterminatedField, PySparkException, Py4JJavaError) as error:
-            _write(empty, database, table, place, buckets)
-            if isinstance(error, UnterminatedField) or "MALFORMED_RECORD" in str(error):
-                raise LoadError(table.name, {"unreadable": 1}) from error
+            for table, path in plan:
+                counts[table.name] = running[table.name].result()
+                if path:
+                    versions.publish(spark, database, table.name, version, version)
+        except BaseException:
+            for future in running.values():
+                future.cancel()
+            spark.sparkContext.cancelJobsWithTag(version)
             raise
         finally:
-            release(*stored)
-    return load_audit(tables)
+            pool.shutdown()
+            _drop_unpublished(spark, database, version)
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count long")
 
 
 def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -126,19 +132,236 @@ def load_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, counts)
 
 
-def _refuse(table: Table, problems: Mapping[str, int]) -> None:
-    if problems:
-        raise LoadError(table.name, problems)
+def _drop_unpublished(spark: SparkSession, database: str, version: str) -> None:
+    seen = versions.published(spark, database)
+    for table in TABLES:
+        name = versions.stored_name(table.name, version)
+        for stored in (name, f"{name}{versions.REJECTED}"):
+            if seen.get(table.name) != version and spark.catalog.tableExists(f"{database}.{stored}"):
+                versions.drop(spark, database, stored)
+
+
+@dataclass
+class _TableLoad:
+    """The load of one table up to a checked version that is not published."""
+
+    spark: SparkSession
+    table: Table
+    path: str | None
+    database: str
+    target: str
+    version: str
+    strict: bool
+    buckets: int | None
+    first: str
+    parents: Mapping[str, Future]
+
+    def run(self) -> int:
+        """Write and check the version; the number of its rows."""
+        if not self.path:
+            return 0
+        # A session of its own: settings that hold while files are cut concern no other table's jobs.
+        spark, self.spark = self.spark, self.spark.newSession()
+        for name, value in spark.conf.getAll.items():
+            if spark.conf.isModifiable(name):
+                self.spark.conf.set(name, value)
+        self.spark.sparkContext.addJobTag(self.version)
+        self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", self.table.name)
+        stored: list[DataFrame] = []
+        try:
+            return (self._strict if self.strict else self._lenient)(stored)
+        except Unreadable as error:
+            place = Place(error.file, error.line, None, "unreadable")
+            raise LoadError(self.table.name, {"unreadable": 1}, [place]) from error
+        finally:
+            release(*stored)
+            self.spark.sparkContext.removeJobTag(self.version)
+
+    def _parents(self) -> dict[str, DataFrame]:
+        """The versions of this load, once they are checked; a table without a file has the empty one.
+
+        Until then a child has been read already, and its rows judged one by one.
+        """
+        found = {}
+        for parent, load in self.parents.items():
+            load.result()
+            name = f"{self.database}.{versions.stored_name(parent, self.version)}"
+            there = self.spark.catalog.tableExists(name)
+            found[parent] = self.spark.table(name if there else f"{self.database}.{versions.stored_name(parent, versions.EMPTY)}")
+        return found
+
+    def _write(self, rows: DataFrame, counted: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+        """The rows as this version, and the counts that were taken while they were written."""
+        table, buckets = self.table, self.buckets
+        name = versions.create(self.spark, self.database, self.target, table, self.version, buckets)
+        rows = rows.select(*[c.name for c in table.columns])
+        if buckets and table.cluster_by:
+            # One file per bucket: rows are brought together by the same hash the buckets use.
+            rows = rows.repartition(buckets, table.cluster_by)
+        counts = _Counts(counted)
+        counts.over(rows).write.insertInto(name)
+        return self.spark.table(name), counts.found()
+
+    # Strict loads
+
+    def _strict(self, stored: list[DataFrame]) -> int:
+        """Rules on single rows are counted while the rows are written, keys and references after that."""
+        table = self.table
+        try:
+            places = bool(table.keep_first) and self.first == "in_file"
+            rows = read_csv_positional(self.spark, self.path, table.schema, True, stored, places)
+            rules = _row_rules(table)
+            if table.keep_first:
+                # Rows that will be dropped must keep the column rules, too.
+                counts = _Counts(_column_rules(table))
+                with same_cuts(self.spark):
+                    stored.append(rows := materialize(counts.over(rows)))
+                self._refuse(counts.found())
+                rows = dedup_keep_first(rows, table.key, [FILE, LINE] if places else table.keep_first)
+            written, found = self._write(rows, {_ROWS: F.lit(True), **rules})
+            n_rows = found.pop(_ROWS, 0)
+            self._refuse(found | broken_sets(written, table, self._parents()))
+            return n_rows
+        except (PySparkException, Py4JJavaError) as error:
+            if "MALFORMED_RECORD" not in str(error):
+                raise
+            raise self._error({"unreadable": 1}) from error
+
+    def _refuse(self, problems: Mapping[str, int]) -> None:
+        if problems:
+            raise self._error(problems)
+
+    def _error(self, problems: Mapping[str, int]) -> LoadError:
+        """The file is read once more, as a lenient load would, to find where the faults are."""
+        stored: list[DataFrame] = []
+        try:
+            judged = self._judged(stored).filter(F.col("reason").isNotNull() & (F.col("reason") != _REPEATED))
+            if "unreadable" in problems:
+                problems = {"unreadable": judged.filter("reason = 'unreadable'").count()}
+            judged = judged.filter(F.col("reason").isin(*problems))
+            rows = judged.orderBy(FILE, LINE).select(FILE, LINE, _column(self.table).alias("column"), "reason").limit(_PLACES)
+            return LoadError(self.table.name, problems, [Place(*row) for row in rows.collect()])
+        finally:
+            release(*stored)
+
+    # Lenient loads
+
+    def _lenient(self, stored: list[DataFrame]) -> int:
+        table = self.table
+        judged = self._judged(stored)
+        _, found = self._write(judged.filter("reason IS NULL"), {_ROWS: F.lit(True)})
+        rejected = judged.filter("reason IS NOT NULL").select(
+            *[c.name for c in table.columns], CORRUPT, "reason",
+            F.col(FILE).alias("file"), F.col(LINE).alias("line"), _column(table).alias("column"),
+        )
+        name = f"{versions.stored_name(table.name, self.version)}{versions.REJECTED}"
+        place = f"{self.target}/{table.name}/{self.version}{versions.REJECTED}"
+        rejected.write.format("parquet").option("path", place).saveAsTable(f"{self.database}.{name}")
+        return found.get(_ROWS, 0)
+
+    def _judged(self, stored: list[DataFrame]) -> DataFrame:
+        """All rows with the ``reason`` to set them aside, NULL for those that keep all rules.
+
+        A row is set aside for the first rule it breaks: its columns, then its key, then its references.
+        All rows of a repeated key are, unless the table says which one to keep: then that choice comes
+        last, among the rows that keep all other rules, and the others are a ``repeated key``.
+
+        Rows are stored once. Repeated keys and references without a parent are found from their keys alone; if there
+        are none, which is usual, no row is joined to anything. ``stored`` gets what can be released after the load.
+        """
+        table, spark = self.table, self.spark
+        rows = read_csv_positional(spark, self.path, table.schema, False, stored, places=True)
+        reason = F.when(F.col(CORRUPT).isNotNull(), "unreadable")
+        for name, broken in _row_rules(table).items():
+            reason = reason.when(broken, name)
+        # File and line tell even equal rows apart.
+        with same_cuts(spark):
+            judged = materialize(rows.withColumn("reason", reason))
+        stored.append(judged)
+        good = judged.filter("reason IS NULL")
+
+        sets: dict[str, tuple[list[str], DataFrame]] = {}
+        if table.key and not table.keep_first:
+            sets["duplicate key"] = (list(table.key), pk_violations(good.select(*table.key), table.key))
+        parents = self._parents()
+        for column, parent in table.references.items():
+            orphans = fk_orphans(good, column, parents[parent], column).withColumnRenamed("reference", column)
+            sets[f"{column} not in {parent}"] = ([column], orphans)
+        base, joined = judged, False
+        for name, keys, found, n in _found(sets, stored):
+            marked = found.select(*keys, F.lit(name).alias("_broken"))
+            judged = _marked(judged, marked, keys, n, base)
+            judged = judged.withColumn("reason", F.coalesce("reason", "_broken")).drop("_broken")
+            joined = joined or n > _FEW_KEYS
+        if joined:
+            judged = materialize(judged)
+            stored.append(judged)
+        return self._keep_one(judged, base, stored) if table.keep_first else judged
+
+    def _keep_one(self, judged: DataFrame, base: DataFrame, stored: list[DataFrame]) -> DataFrame:
+        """Of the good rows of a key all but the first are a repeated key."""
+        key = list(self.table.key)
+        order = [] if self.first == "in_file" else self.table.keep_first
+        # NULLs last, as a value that orders after all others.
+        values = [F.struct(F.col(c).isNull().alias("none"), F.col(c).alias("value")).alias(f"_{c}") for c in order]
+        here = F.struct(FILE, LINE).alias("here")
+        good = judged.filter("reason IS NULL")
+        firsts = good.groupBy(*key).agg(F.min(F.struct(*values, here))["here"].alias("_first"), F.count(F.lit(1)).alias("_n"))
+        for _, _, found, n in _found({_REPEATED: (key, firsts.filter("_n > 1").select(*key, "_first"))}, stored):
+            judged = _marked(judged, found, key, n, base)
+            repeated = F.when(F.col("_first").isNotNull() & (F.struct(FILE, LINE) != F.col("_first")), _REPEATED)
+            judged = judged.withColumn("reason", F.coalesce("reason", repeated)).drop("_first")
+            if n > _FEW_KEYS:
+                judged = materialize(judged)
+                stored.append(judged)
+        return judged
 
 
-def _write(rows: DataFrame, database: str, table: Table, place: str, buckets: int | None) -> None:
-    if buckets and table.cluster_by:
-        # One file per bucket: rows are brought together by the same hash the buckets use.
-        writer = rows.repartition(buckets, table.cluster_by).write
-        writer = writer.bucketBy(buckets, table.cluster_by).sortBy(table.cluster_by)
-    else:
-        writer = rows.write
-    writer.mode("overwrite").format("parquet").option("path", place).saveAsTable(f"{database}.{table.name}")
+_ROWS = "rows"
+_REPEATED = "repeated key"
+
+
+class _Counts:
+    """Numbers of rows that are counted while something else is done with them.
+
+    The counts are of the last job's tasks, so put them behind the last shuffle: a task that is repeated there counts once.
+    """
+
+    def __init__(self, rules: Mapping[str, Column]):
+        self._rules = dict(rules)
+        self._seen = Observation()
+
+    def over(self, rows: DataFrame) -> DataFrame:
+        counts = [F.count_if(rule).alias(f"c{i}") for i, rule in enumerate(self._rules.values())]
+        return rows.observe(self._seen, *counts) if counts else rows
+
+    def found(self) -> dict[str, int]:
+        """What was counted, without zeros."""
+        if not self._rules:
+            return {}
+        counted = self._seen.get
+        return {rule: counted[f"c{i}"] for i, rule in enumerate(self._rules) if counted.get(f"c{i}")}
+
+
+def _found(sets: Mapping[str, tuple[list[str], DataFrame]], stored: list[DataFrame]):
+    """(name, keys, rows, number) of the sets that hold anything; they are computed in one job."""
+    if not sets:
+        return
+    named = [rows.select(F.lit(name).alias("_set"), F.struct(*[F.col(c) for c in rows.columns]).alias(f"_{i}"))
+             for i, (name, (_, rows)) in enumerate(sets.items())]
+    together = materialize(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named))
+    stored.append(together)
+    counts = {r["_set"]: r["count"] for r in together.groupBy("_set").count().collect()}
+    for i, (name, (keys, _)) in enumerate(sets.items()):
+        if counts.get(name):
+            yield name, keys, together.filter(F.col("_set") == name).select(f"_{i}.*"), counts[name]
+
+
+def _marked(rows: DataFrame, marked: DataFrame, keys: list[str], n: int, base: DataFrame) -> DataFrame:
+    """``rows`` with the columns of the ``n`` ``marked`` keys."""
+    if n <= _FEW_KEYS:
+        return rows.join(F.broadcast(marked), keys, "left")
+    return spread_join(rows, marked, keys, [FILE, LINE], "left", counted=base)
 
 
 def broken_rules(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> dict[str, int]:
@@ -147,21 +370,19 @@ def broken_rules(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame]
     One pass for the rules on single rows; the key and all references in one further job, with
     a shuffle of counted values for each.
     """
-    problems = _count_broken(rows, _row_rules(table))
+    counted = rows.agg(*[F.count_if(broken).alias(rule) for rule, broken in _row_rules(table).items()]).first().asDict()
+    return {rule: cases for rule, cases in counted.items() if cases} | broken_sets(rows, table, parents)
 
+
+def broken_sets(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> dict[str, int]:
+    """The rules on several rows that ``rows`` break: the key and all references, in one job."""
     sets = {}
     if table.key:
         sets["duplicate key"] = pk_violations(rows.select(*table.key), table.key)
     for column, parent in table.references.items():
         sets[f"{column} not in {parent}"] = fk_orphans(rows, column, parents[parent], column)
     sizes = [found.agg(F.count(F.lit(1)).alias("cases")).withColumn("rule", F.lit(rule)) for rule, found in sets.items()]
-    if sizes:
-        problems |= {r.rule: r.cases for r in reduce(DataFrame.union, sizes).collect()}
-    return {rule: cases for rule, cases in problems.items() if cases}
-
-
-def _count_broken(rows: DataFrame, rules: Mapping[str, Column]) -> dict[str, int]:
-    counted = rows.agg(*[F.count_if(broken).alias(rule) for rule, broken in rules.items()]).first().asDict()
+    counted = {r.rule: r.cases for r in reduce(DataFrame.union, sizes).collect()} if sizes else {}
     return {rule: cases for rule, cases in counted.items() if cases}
 
 
@@ -178,46 +399,12 @@ def _row_rules(table: Table) -> dict[str, Column]:
     return rules
 
 
-def _judged(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame], stored: list[DataFrame]) -> DataFrame:
-    """All rows with the ``reason`` to set them aside, NULL for those that keep all rules.
-
-    A row is set aside for the first rule it breaks: its columns, then its key, then its references.
-    All rows of a repeated key are, unless the table says which one to keep: then that choice comes
-    last, among the rows that keep all other rules, and the others are a ``repeated key``.
-
-    Repeated keys, references without a parent and first rows are found first, one row each, and then
-    joined to the rows; the row number tells even equal rows apart there, so that many copies of
-    one row do not meet in one task. ``stored`` gets what can be released after the load.
-    """
-    reason = F.when(F.col(CORRUPT).isNotNull(), "unreadable")
-    for name, broken in _row_rules(table).items():
-        reason = reason.when(broken, name)
-    judged = materialize(rows.withColumns({"reason": reason, "_row": F.monotonically_increasing_id()}))
-    stored.append(judged)
-    base, good = judged, judged.filter("reason IS NULL")
-
-    broken_sets = []
-    if table.key and not table.keep_first:
-        broken_sets.append((list(table.key), pk_violations(good.select(*table.key), table.key), "duplicate key"))
-    for column, parent in table.references.items():
-        orphans = fk_orphans(good, column, parents[parent], column).withColumnRenamed("reference", column)
-        broken_sets.append(([column], orphans, f"{column} not in {parent}"))
-    for keys, found, name in broken_sets:
-        marked = found.select(*keys, F.lit(name).alias("_broken"))
-        judged = spread_join(judged, marked, keys, ["_row"], "left", counted=base)
-        judged = judged.withColumn("reason", F.coalesce("reason", "_broken")).drop("_broken")
-    if broken_sets:
-        judged = materialize(judged)
-        stored.append(judged)
-    if not table.keep_first:
-        return judged
-
-    # NULLs last, as a value that orders after all others.
-    order = [F.struct(F.col(c).isNull().alias("none"), F.col(c).alias("value")).alias(f"_{c}") for c in table.keep_first]
-    place = F.struct(*order, "_row")
-    first = judged.filter("reason IS NULL").groupBy(*table.key).agg(F.min(place)["_row"].alias("_first_row"))
-    judged = spread_join(judged, first, list(table.key), ["_row"], "left", counted=base)
-    repeated = F.when(F.col("_row") != F.col("_first_row"), "repeated key")
-    judged = materialize(judged.withColumn("reason", F.coalesce("reason", repeated)).drop("_first_row"))
-    stored.append(judged)
-    return judged
+def _column(table: Table) -> Column:
+    """The column that a row's ``reason`` is about; NULL if it is about several, or the whole record."""
+    single = {rule: rule.split(" ")[0] for rule in _row_rules(table)}
+    single |= {f"{column} not in {parent}": column for column, parent in table.references.items()}
+    single |= {rule: table.key[0] for rule in ("duplicate key", _REPEATED) if len(table.key) == 1}
+    column = F.when(F.col("reason") == "unreadable", faulty_column(table.schema))
+    for rule, name in single.items():
+        column = column.when(F.col("reason") == rule, name)
+    return column

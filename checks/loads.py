@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.operators import dedup_keep_first
 from bazaarlens.schemas import BY_NAME, MONEY
-from bazaarlens.session import shared_folder
-from bazaarlens.sources import load, load_audit, read_csv_positional
+from bazaarlens.session import remove_at_exit, remove_folder, shared_folder
+from bazaarlens.sources import LoadError, load, load_audit, open_tables, read_csv_positional
 from checks.proxy_tables import ProxyTables, event_number, source
 
 
@@ -20,8 +21,29 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.csv(path, header=True, quote='"', escape='"', nullValue="", emptyValue='""', mode="overwrite")
 
 
+def write_extracts(extracts: Mapping[str, DataFrame], folder: str) -> None:
+    """Every table's extract below ``folder``, several at a time."""
+    with ThreadPoolExecutor(4) as pool:
+        written = [pool.submit(write_csv, rows, f"{folder}/market_{name}_dataset.csv") for name, rows in extracts.items()]
+    for one in written:
+        one.result()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A folder of one query; it goes with the driver, if the query does not remove it."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    remove_at_exit(spark, folder)
+    return folder
+
+
+def finished(result: DataFrame, database: str, *folders: str) -> DataFrame:
+    """A result of a few rows per table, and all it was taken from removed."""
+    spark = result.sparkSession
+    rows = spark.createDataFrame(result.collect(), result.schema)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    for folder in folders:
+        remove_folder(spark, folder)
+    return rows
 
 
 def extract(name: str, rows: DataFrame, **columns) -> DataFrame:
@@ -128,16 +150,15 @@ def load_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     extracts |= {name: extract(name, proxies[name]) for name in ("product_category_name_translation", "products", "orders")}
     first, second = new_folder(spark, "extracts"), new_folder(spark, "extracts")
-    for name, rows in extracts.items():
-        write_csv(rows, f"{first}/market_{name}_dataset.csv")
-        if name != "order_payments":
-            write_csv(rows, f"{second}/market_{name}_dataset.csv")
+    write_extracts(extracts, first)
+    write_extracts({name: rows for name, rows in extracts.items() if name != "order_payments"}, second)
     database, tables = f"load_{uuid.uuid4().hex}", new_folder(spark, "tables")
     # The second load replaces the tables that the first count would still read.
     before = {r.table_name: r.row_count for r in load(spark, first, database, tables).collect()}
     counted = load(spark, second, database, tables, buckets=4).withColumnRenamed("row_count", "second_load")
     first_load = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])[F.col("table_name")]
-    return counted.select("table_name", first_load.alias("first_load"), "second_load")
+    result = counted.select("table_name", first_load.alias("first_load"), "second_load")
+    return finished(result, database, first, second, tables)
 
 
 def load_lenient_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,8 +185,7 @@ def load_lenient_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_items": extract("order_items", proxies["order_items"]),
         "order_reviews": extract("order_reviews", reviews.withColumn("order_id", order_id)),
     }
-    for name, rows in extracts.items():
-        write_csv(rows, f"{folder}/market_{name}_dataset.csv")
+    write_extracts(extracts, folder)
     paid = _paid(events)
     fields = [F.col(c.name).cast("string") for c in BY_NAME["order_payments"].columns]
     line = (
@@ -201,14 +221,14 @@ def load_null_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _outcomes(spark: SparkSession, folder: str, names: Iterable[str]) -> DataFrame:
     """A lenient load: rows taken, and rows set aside for each reason, per table."""
-    database = f"load_{uuid.uuid4().hex}"
-    taken = load(spark, folder, database, new_folder(spark, "tables"), strict=False)
+    database, tables = f"load_{uuid.uuid4().hex}", new_folder(spark, "tables")
+    taken = load(spark, folder, database, tables, strict=False)
     outcome = taken.select("table_name", F.lit("accepted").alias("outcome"), "row_count")
     for name in names:
         set_aside = spark.table(f"{database}.{name}_rejected")
         reasons = set_aside.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("row_count"))
         outcome = outcome.union(reasons.select(F.lit(name).alias("table_name"), "outcome", "row_count"))
-    return outcome
+    return finished(outcome, database, folder, tables)
 
 
 def load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +253,109 @@ def load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     plain = ["product_category_name_translation", "products", "orders", "order_items", "order_payments"]
     extracts |= {name: extract(name, proxies[name]) for name in plain}
-    for name, rows in extracts.items():
-        write_csv(rows, f"{folder}/market_{name}_dataset.csv")
+    write_extracts(extracts, folder)
 
     return _outcomes(spark, folder, extracts)
+
+
+def load_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see after a strict load that was refused at the items, and why it was: keys repeat, and half the
+    sellers are missing.
+
+    The database was full before: tables up to the items are new, the items and all behind them empty.
+    """
+    proxies, events = ProxyTables(spark, sf_dir), source(spark, sf_dir, "events")
+    items = proxies["order_items"]
+    order = [c for c in items.columns if c not in ("order_id", "order_item_id")]
+    good, bad, tables = new_folder(spark, "extracts"), new_folder(spark, "extracts"), new_folder(spark, "tables")
+    names = ("product_category_name_translation", "products", "orders")
+    extracts = _people(proxies) | {name: extract(name, proxies[name]) for name in names}
+    extracts["order_payments"] = extract("order_payments", _paid(events))
+    for name, rows in extracts.items():
+        write_csv(rows, f"{good}/{name}.csv")
+        # Half as many sellers in the second load tell its tables from those of the first.
+        even = F.col("seller_id").cast("long") % 2 == 0 if name == "sellers" else F.lit(True)
+        write_csv(rows.filter(even), f"{bad}/{name}.csv")
+    unique = dedup_keep_first(items, ["order_id", "order_item_id"], order)
+    write_csv(extract("order_items", unique), f"{good}/order_items.csv")
+    write_csv(extract("order_items", items), f"{bad}/order_items.csv")
+
+    database = f"load_{uuid.uuid4().hex}"
+    load(spark, good, database, tables)
+    refused: dict[str, int] = {}
+    table = None
+    try:
+        load(spark, bad, database, tables)
+    except LoadError as error:
+        refused, table = error.problems, error.table
+    problems = ", ".join(f"{rule}: {cases}" for rule, cases in sorted(refused.items()))
+    seen = load_audit(open_tables(spark, database))
+    problem = F.when(F.col("table_name") == F.lit(table), F.lit(problems)).alias("problem")
+    return finished(seen.select("table_name", "row_count", problem), database, good, bad, tables)
+
+
+def _write_files(lines: DataFrame, header: str, parts: int, path: str) -> None:
+    """Rows of (part, place, line) as one file per part, in the order of their places below a header."""
+    headers = lines.sparkSession.range(parts).select(
+        F.col("id").cast("int").alias("part"), F.lit(-1).cast("long").alias("place"), F.lit(header).alias("line")
+    )
+    together = lines.unionByName(headers).repartition(parts, "part").sortWithinPartitions("part", "place")
+    together.select("part", "line").write.partitionBy("part").text(path)
+
+
+def load_fault_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File, line and column of every row that a lenient load sets aside, from whole documents as review messages.
+
+    Messages of many lines move all that stands below them. Some rows hold a score that is no number or out of
+    range, bytes that are no text, too few fields, or no order.
+    """
+    folder, tables, parts = new_folder(spark, "extracts"), new_folder(spark, "tables"), 8
+    documents = source(spark, sf_dir, "documents")
+    doc = F.col("doc_id").cast("string")
+    people = documents.select(
+        doc.alias("customer_id"), doc.alias("customer_unique_id"), F.lit("01037").alias("customer_zip_code_prefix"),
+        F.lit("sao paulo").alias("customer_city"), F.lit("SP").alias("customer_state"),
+    )
+    orders = documents.select(doc.alias("order_id"), doc.alias("customer_id"), F.lit("shipped").alias("order_status"))
+    write_csv(extract("customers", people), f"{folder}/customers.csv")
+    write_csv(extract("orders", orders), f"{folder}/orders.csv")
+
+    kind = F.col("doc_id") % 50
+    message = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    score = F.when(kind == 7, "x9").when(kind == 19, "9").otherwise("5")
+    order_id = F.when(kind == 17, "").otherwise(doc)
+    title = F.when(kind == 11, F.concat(F.lit(b"t"), F.lit(b"\xff\xfe")).cast("string")).otherwise(F.lit("t"))
+    whole = F.concat_ws(",", doc, order_id, score, title, message, F.lit(""), F.lit(""))
+    line = F.when(kind == 13, F.concat_ws(",", doc, order_id, score)).otherwise(whole)
+    header = ",".join(c.name for c in BY_NAME["order_reviews"].columns)
+    lines = documents.select((F.col("doc_id") % parts).cast("int").alias("part"), F.col("doc_id").alias("place"), line.alias("line"))
+    _write_files(lines, header, parts, f"{folder}/order_reviews.csv")
+
+    database = f"load_{uuid.uuid4().hex}"
+    load(spark, folder, database, tables, strict=False)
+    set_aside = spark.table(f"{database}.order_reviews_rejected")
+    part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("int").alias("part")
+    return set_aside.select(part, "line", "reason", F.col("column").alias("column_name"))
+
+
+def load_first_in_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of three reviews under each id a strict load keeps that goes by their place in the files."""
+    folder, tables, parts = new_folder(spark, "extracts"), new_folder(spark, "tables"), 4
+    proxies, events = ProxyTables(spark, sf_dir), source(spark, sf_dir, "events")
+    for name in ("customers", "orders"):
+        rows = _people(proxies)[name] if name == "customers" else extract(name, proxies[name])
+        write_csv(rows, f"{folder}/{name}.csv")
+    reviews = _repeated_reviews(events, event_number() % 5 + 1)
+    line = F.concat_ws(
+        ",", F.col("review_id"), F.col("order_id"), F.col("review_score"), F.col("event_id"), F.lit(""),
+        F.date_format("review_creation_date", "yyyy-MM-dd HH:mm:ss"), F.lit(""),
+    )
+    header = ",".join(c.name for c in BY_NAME["order_reviews"].columns)
+    part = (F.col("event_id") % parts).cast("int").alias("part")
+    # The files run backwards in time.
+    lines = reviews.select(part, (F.lit(1 << 40) - F.col("event_id")).alias("place"), line.alias("line"))
+    _write_files(lines, header, parts, f"{folder}/order_reviews.csv")
+    database = f"load_{uuid.uuid4().hex}"
+    load(spark, folder, database, tables, first="in_file")
+    kept = open_tables(spark, database)["order_reviews"]
+    return kept.select("review_id", "order_id", F.col("review_comment_title").alias("event_id"))

@@ -569,4 +569,38 @@ LOADS = {
         select table_name, outcome, count(*) as row_count from judged group by table_name, outcome
         union all select 'geolocation', 'accepted', 0""",
     ),
+    "load_stopped": statement(
+        "customers sales items sellers products translation",
+        """
+        , repeated as (
+            select count(*) as keys from (select order_id, order_item_id from items group by all having count(*) > 1)
+        ), missing as (
+            select count(distinct seller_id) as sellers from items where seller_id % 2 = 1
+        )
+        select 'product_category_name_translation' as table_name, count(*) as row_count, null::varchar as problem from translation
+        union all select 'geolocation', 0, null
+        union all select 'customers', count(*), null from customers
+        union all select 'sellers', count(*), null from sellers where seller_id % 2 = 0
+        union all select 'products', count(*), null from products
+        union all select 'orders', count(*), null from sales
+        union all select 'order_items', 0, 'duplicate key: ' || keys || ', seller_id not in sellers: ' || sellers from repeated, missing
+        union all select unnest(['order_payments', 'order_reviews']), 0, null""",
+    ),
+    "load_fault_places": """
+        with lines as (
+            select doc_id, doc_id % 8 as part,
+                case when doc_id % 50 = 13 then 1 else 1 + length(text) - length(replace(text, chr(10), '')) end as height
+            from documents
+        ), placed as (
+            select doc_id, part, 2 + coalesce(sum(height) over (
+                partition by part order by doc_id rows between unbounded preceding and 1 preceding), 0) as line
+            from lines
+        )
+        select cast(part as int) as part, cast(line as bigint) as line,
+            case doc_id % 50 when 17 then 'order_id missing' when 19 then 'review_score not in 1..5' else 'unreadable' end as reason,
+            case doc_id % 50 when 7 then 'review_score' when 17 then 'order_id' when 19 then 'review_score' end as column_name
+        from placed where doc_id % 50 in (7, 11, 13, 17, 19)""",
+    "load_first_in_file": """
+        select cast(event_id // 3 as varchar) as review_id, cast(event_id // 2 as varchar) as order_id, cast(event_id as varchar) as event_id
+        from events qualify row_number() over (partition by event_id // 3 order by event_id % 4, event_id desc) = 1""",
 }

@@ -115,9 +115,7 @@ def fanout_join(t):
 
 
 def two_distinct(t):
-    return t["order_items"].groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("orders"), F.count_distinct("product_id").alias("products")
-    )
+    return ops.count_distinct_each(t["order_items"], "seller_id", {"order_id": "orders", "product_id": "products"})
 
 
 def exact_avg(t):
@@ -285,6 +283,9 @@ QUERIES: dict[str, Query] = {
     "load_lenient_reasons": over_files(loads.load_lenient_reasons),
     "load_audit": over_files(loads.count_tables),
     "load_refresh": over_files(loads.load_refresh),
+    "load_stopped": over_files(loads.load_stopped),
+    "load_fault_places": over_files(loads.load_fault_places),
+    "load_first_in_file": over_files(loads.load_first_in_file),
 }
 
 ORACLE_SQL: dict[str, str] = {**oracle.REPORTS, **oracle.METRICS, **oracle.OPERATORS, **oracle.QUALITY, **oracle.LOADS}

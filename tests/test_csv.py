@@ -12,8 +12,8 @@ from pyspark.errors import PySparkException
 
 from bazaarlens.schemas import BY_NAME
 from bazaarlens.sources import read_csv_positional
-from bazaarlens.sources import corrupt_rows
-from bazaarlens.sources.csv_files import CORRUPT, _lines_are_records, _splits
+from bazaarlens.sources import corrupt_rows, csv_files
+from bazaarlens.sources.csv_files import CORRUPT, Unreadable, _lines_are_records, _splits
 
 REVIEWS = BY_NAME["order_reviews"].schema
 ITEMS = BY_NAME["order_items"].schema
@@ -178,3 +178,32 @@ def test_unterminated_field_is_refused(spark, tmp_path):
     path = write(tmp_path / "i.csv", 'a,b,c,d,e,f,g\no,1,"p,s,2018-02-20 00:00:00,1.00,1.00\n')
     with pytest.raises(ValueError, match="unterminated"):
         read_csv_positional(spark, path, ITEMS)
+
+
+@pytest.mark.parametrize("joined", [False, True])
+def test_marks_in_texts_stay(spark, tmp_path, joined):
+    """The sign that stands for a quoted empty field while reading may be a value itself."""
+    more = 'zz,o1,5,t,"two\nlines",,\n' if joined else ""
+    path = write(tmp_path / "r.csv", f'a,b,c,d,e,f,g\n{more}r1,o1,5,\x01,\x01\x01,,\nr2,o1,5,"",,,\n')
+    rows = {r.review_id: r for r in read_csv_positional(spark, path, REVIEWS).collect()}
+    assert (rows["r1"].review_comment_title, rows["r1"].review_comment_message) == ("\x01", "\x01\x01")
+    assert (rows["r2"].review_comment_title, rows["r2"].review_comment_message) == ("", None)
+
+
+def test_unterminated_field_says_where(spark, tmp_path):
+    path = write(tmp_path / "i.csv", 'a,b,c,d,e,f,g\no,1,"p\nq",s,2018-02-20 00:00:00,1.00,1.00\no,2,"p,s\nx,\n')
+    with pytest.raises(Unreadable) as raised:
+        read_csv_positional(spark, path, ITEMS)
+    assert raised.value.line == 4 and raised.value.file.endswith("i.csv")
+
+
+def test_stray_quotes_do_not_join_a_whole_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_files, "LONGEST_RECORD", 2000)
+    lines = "\n".join("o,1,p,s,2018-02-20 00:00:00,1.00,1.00" for _ in range(4000))
+    path = write(tmp_path / "i.csv", f'a,b,c,d,e,f,g\no,1,"p,s\n{lines}\no,2,p",s\n')
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        with pytest.raises(Exception, match="more than 2000 bytes begins in line 2"):
+            read_csv_positional(spark, path, ITEMS).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

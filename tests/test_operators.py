@@ -13,6 +13,7 @@ from bazaarlens.functions import elapsed_seconds, exact_mean, exact_ratio, mean_
 from bazaarlens.operators import (
     bucketize,
     check_violations,
+    count_distinct_each,
     dedup_keep_first,
     fk_orphans,
     length_violations,
@@ -258,3 +259,13 @@ def test_quality_rules(spark):
     assert rows_of(null_counts(df, ["k", "t", "n"])) == [("k", 1), ("n", 1), ("t", 0)]
     words = spark.createDataFrame([(1, "abc", "é"), (2, "abcd", None)], "id int, x string, y string")
     assert rows_of(length_violations(words, {"x": 3, "y": 1}, ["id"])) == [(2, "x", 4, 3)]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from([None, 1, 2]), st.sampled_from([None, 1, 2, 3]), st.sampled_from([None, "a", "b"])), max_size=25))
+def test_distinct_counts_of_several_columns(spark, rows):
+    df = spark.createDataFrame(rows, "g int, x int, y string")
+    expected = {g: (len({x for k, x, _ in rows if k == g and x is not None}), len({y for k, _, y in rows if k == g and y is not None})) for g, _, _ in rows}
+    got = count_distinct_each(df, "g", {"x": "xs", "y": "ys"})
+    assert got.columns == ["g", "xs", "ys"]
+    assert {r.g: (r.xs, r.ys) for r in got.collect()} == expected

@@ -17,8 +17,9 @@ STORED = {"q10_clv_full", "m05_clv_quartiles", "ntile_global", *LOADS}
 
 
 # Explicit broadcasts by what is in them: hash buckets found hot (fewer than 2^14), sort partitions
-# with their offsets (at most the number of shuffle partitions), file splits (as many as scan tasks).
-BOUNDED = ("_slices", "_before", "open")
+# with their offsets (at most the number of shuffle partitions), file splits (as many as scan tasks) and files, keys
+# that break a rule (counted to be at most 100,000).
+BOUNDED = ("_slices", "_before", "open", "first(path", "_set")
 
 
 @pytest.fixture
@@ -129,6 +130,21 @@ def test_items_are_summed_before_they_are_shuffled(no_broadcast):
     assert any("partial_sum" in "".join(subtree(lines, n)[1:3]) for n in shuffles)
 
 
+@pytest.mark.parametrize("name", ["q05_top_sellers", "m03_seller_state_concentration", "two_distinct"])
+def test_distinct_counts_copy_no_rows(no_broadcast, name):
+    plan = plan_of(QUERIES[name](no_broadcast, SF_DIR))
+    assert "Expand" not in plan
+    lines = plan.split("\n")
+    # Hot sellers are spread over their pairs with products, which are summed up before the shuffle.
+    pairs = [n for n, line in enumerate(lines) if re.search(r"Exchange hashpartitioning\((seller_id|_1), product_id", line)]
+    assert pairs and all("partial" in lines[n + 1] or "HashAggregate" in lines[n + 1] for n in pairs)
+
+
+def test_quartiles_store_two_columns(spark, stored_plans):
+    QUERIES["m05_clv_quartiles"](spark, SF_DIR)
+    assert "first_order_date" not in stored_plans[0] and "order_purchase_timestamp" not in stored_plans[0].split("Sort [")[1][:200]
+
+
 def test_top_reports_sort_no_whole_result(spark):
     for name in ("q02_top_categories", "q05_top_sellers"):
         assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, SF_DIR))
