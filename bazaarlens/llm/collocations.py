@@ -7,30 +7,33 @@ k - 1 words in it are frequent in the shard. The phrases frequent in any shard a
 a last pass counts them all over the whole corpus, as words and not as hashes.
 
 A shard is no task: its counts are shuffled like all others, so a corpus of any size has the same few
-shards. What is frequent reaches the tasks as a bit table of at most ``MOST_BITS`` bits. Where two
+shards. What is frequent reaches the tasks as a bit table of at most 128 MB (see `bits`). Where two
 phrases share a bit, one is looked at in vain; none is ever missed.
+
+Not all that is frequent in some shard is counted again: its numbers there, and the most it can have in the
+other shards without being frequent in them, must reach ``support`` together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import words as W
+from bazaarlens.llm.bits import bit_table
 from bazaarlens.session import materialize, release
 
 UNKNOWN = "und"
 # Occurrences that a task counts at a time, about; a phrase is sent once for so many.
 AT_ONCE = 1 << 21
-# A bit table has 16 bits for each phrase, but never more than 128 MB.
-MOST_BITS = 1 << 30
+# The first rows of a language are found in so many parts before they meet.
+TOP_PARTS = 8
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09]] = True
@@ -43,39 +46,13 @@ _OTHER_BYTES = np.random.default_rng(11).permutation(256).astype(np.uint8)
 _SHARD_FACTOR = 0x5BD1E995
 
 
-@dataclass
-class _Bits:
-    """A set of phrases by the low bits of their keys; with ``sharded``, one for each shard."""
-
-    table: np.ndarray
-    sharded: bool
+def _in_shard(keys: np.ndarray, shards: np.ndarray) -> np.ndarray:
+    """Keys that differ from shard to shard."""
+    return keys ^ (shards.astype(np.uint64) * np.uint64(_SHARD_FACTOR))
 
-    def has(self, keys: np.ndarray, shards: np.ndarray | None) -> np.ndarray:
-        mask = len(self.table) * 8 - 1
-        bits = keys.astype(np.int64) & mask
-        if self.sharded:
-            bits ^= (shards.astype(np.int64) * _SHARD_FACTOR) & mask
-        return (self.table[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 > 0
 
-
-def _bits(frequent: DataFrame, sharded: bool) -> Broadcast:
-    """The stored rows (shard, key) as a bit table in every task."""
-    spark = frequent.sparkSession
-    count = 1 << max(20, min((16 * frequent.count()).bit_length(), MOST_BITS.bit_length() - 1))
-    bit = F.col("key").bitwiseAND(F.lit(count - 1))
-    if sharded:
-        bit = bit.bitwiseXOR((F.col("shard").cast("long") * F.lit(_SHARD_FACTOR)).bitwiseAND(F.lit(count - 1)))
-    numbered = frequent.select((bit + 1).alias("bit"))
-    blocks = numbered.groupBy(F.bitmap_bucket_number("bit").alias("block")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
-    )
-    table = np.zeros(count // 8, dtype=np.uint8)
-    for batch in blocks.toArrow().to_batches():
-        for block, bits in zip(batch.column(0).to_pylist(), batch.column(1)):
-            part = np.frombuffer(bits.as_buffer(), dtype=np.uint8)
-            at = (block - 1) * 4096
-            table[at : at + len(part)] = part[: count // 8 - at]
-    return spark.sparkContext.broadcast(_Bits(table, sharded))
+def _in_shard_column() -> Column:
+    return F.col("key").bitwiseXOR(F.col("shard").cast("long") * F.lit(_SHARD_FACTOR))
 
 
 class _Piece:
@@ -157,10 +134,9 @@ def _local_counts(length: int, frequent: Broadcast | None, batches: Iterator[pa.
         first = piece.phrases(length)
         shards = piece.shards(first)
         if frequent is not None:
-            known = frequent.value.has
-            shorter = piece.keys(length - 1)
-            good = known(shorter[first], shards)
-            good[good] = known(shorter[first[good] + 1], shards[good])
+            known, shorter = frequent.value.has, piece.keys(length - 1)
+            good = known(_in_shard(shorter[first], shards))
+            good[good] = known(_in_shard(shorter[first[good] + 1], shards[good]))
             first, shards = first[good], shards[good]
         held.append((shards, piece.keys(length)[first]))
         if sum(len(keys) for _, keys in held) >= AT_ONCE:
@@ -169,14 +145,14 @@ def _local_counts(length: int, frequent: Broadcast | None, batches: Iterator[pa.
         yield from counted()
 
 
-def _distinct(keys: np.ndarray, others: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(place of the first, number) of equal phrases: those that agree in both hashes."""
+def _distinct(keys: np.ndarray, others: np.ndarray, times: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(place of the first, sum of their ``times``) of equal phrases: those that agree in both hashes."""
     places = np.arange(len(keys))
     while len(places):
-        _, first, of, n = np.unique(keys[places], return_index=True, return_inverse=True, return_counts=True)
-        strange = others[places] != others[places[first]][of]
-        yield places[first], n - np.bincount(of[strange], minlength=len(n))
-        places = places[strange]
+        _, first, of = np.unique(keys[places], return_index=True, return_inverse=True)
+        same = others[places] == others[places[first]][of]
+        yield places[first], np.bincount(of[same], weights=times[places[same]], minlength=len(first)).astype(np.int64)
+        places = places[~same]
 
 
 def _exact_counts(longest: int, candidates: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,15 +164,35 @@ def _exact_counts(longest: int, candidates: Broadcast, batches: Iterator[pa.Reco
             names=["lang", "words", "phrase", "n"],
         )
 
+    # Per length: key, second hash, number, language and text of the phrases of some pieces.
+    held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.Array]]] = {}
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for length, parts in held.items():
+            keys, others, times = (np.concatenate(column) for column in list(zip(*parts))[:3])
+            langs, texts = (pa.concat_arrays(column) for column in list(zip(*parts))[3:])
+            for at, n in _distinct(keys, others, times):
+                place = pa.array(at)
+                yield rows(langs.take(place), length, texts.take(place), n)
+        held.clear()
+
+    waiting = 0
     for piece, langs in _pieces(batches):
         yield rows(langs, 0, pa.nulls(len(langs), pa.string()), piece.words_of_row)
         for length in range(1, longest + 1):
             first = piece.phrases(length)
             keys = piece.keys(length)[first]
-            good = candidates.value.has(keys, None)
+            good = candidates.value.has(keys)
             first, keys = first[good], keys[good]
-            for at, n in _distinct(keys, piece.other_keys(first, length)):
-                yield rows(langs.take(pa.array(piece.row[first[at]])), length, piece.texts(first[at], length), n)
+            others = piece.other_keys(first, length)
+            for at, n in _distinct(keys, others, np.ones(len(keys), dtype=np.int64)):
+                of_rows = langs.take(pa.array(piece.row[first[at]]))
+                held.setdefault(length, []).append((keys[at], others[at], n, of_rows, piece.texts(first[at], length)))
+                waiting += len(at)
+        if waiting >= AT_ONCE // 4:
+            yield from counted()
+            waiting = 0
+    yield from counted()
 
 
 def phrase_counts(documents: DataFrame, support: int = 10, longest: int = 3, shards: int = 4) -> DataFrame:
@@ -215,13 +211,16 @@ def phrase_counts(documents: DataFrame, support: int = 10, longest: int = 3, sha
     for length in range(1, longest + 1):
         found = source.mapInArrow(partial(_local_counts, length, bits), "shard int, key long, n long")
         counted = found.groupBy("shard", "key").agg(F.sum("n").alias("n"))
-        levels.append(materialize(counted.where(F.col("n") * shards >= support).select("shard", "key")))
+        levels.append(materialize(counted.where(F.col("n") * shards >= support)))
         if bits is not None:
             bits.destroy()
-        bits = _bits(levels[-1], sharded=True) if length < longest else None
+        bits = bit_table(levels[-1].select(_in_shard_column().alias("key"))) if length < longest else None
 
-    union = materialize(reduce(DataFrame.unionByName, levels).select("key").distinct())
-    bits = _bits(union, sharded=False)
+    # In a shard where it is not frequent, a phrase has fewer than support / shards.
+    most_elsewhere = (F.lit(shards) - F.count(F.lit(1))) * ((support - 1) // shards)
+    known = reduce(DataFrame.unionByName, levels).groupBy("key").agg((F.sum("n") + most_elsewhere).alias("most"))
+    union = materialize(known.where(F.col("most") >= support).select("key"))
+    bits = bit_table(union)
     found = source.mapInArrow(partial(_exact_counts, longest, bits), "lang string, words int, phrase string, n long")
     exact = found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
     stored = materialize(exact.where((F.col("words") == 0) | (F.col("n") >= support)))
@@ -292,7 +291,13 @@ def collocations(
     """
     counts = phrase_counts(documents, support, longest, shards)
     kept = scored_phrases(counts).join(_explained(counts, explained_percent), ["lang", "phrase"], "left_anti")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # First in parts, so that the task that ranks a language sees no more rows than TOP_PARTS * top, however many tasks
+    # found some.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS))
+    in_part = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    leading = kept.withColumn("part", part).withColumn("place", in_part).where(F.col("place") <= top)
+    ranked = leading.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
+    ranked = ranked.where(F.col("rank") <= top)
     sizes = counts.where("words = 0").select("lang", "n")
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

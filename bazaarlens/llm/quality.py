@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from bazaarlens.llm import words as W
 
@@ -163,7 +164,8 @@ def train(
     documents: DataFrame, labels: DataFrame, sample_rows: int = 6000, buckets: int = 1 << 14, rank: int = 6,
     rounds: int = 12, seed: int = 11,
 ) -> FactorisationMachine:
-    """Fit on at most ``sample_rows`` labelled rows, those with the smallest hashes of their doc_id.
+    """Fit on at most ``sample_rows`` labelled rows, those with the smallest hashes of their doc_id; of rows that repeat
+    one, that with the smallest hash of its text.
 
     ``labels`` has doc_id and label (0 or 1; other values and nulls are left out). Without rows of
     both labels every document scores alike: the smoothed share of label 1.
@@ -177,10 +179,13 @@ def train(
         .drop("_order")
     )
     texts = documents.select("doc_id", F.col("text").cast("string").alias("text"), _with_n_chars(documents).alias("n_chars"))
+    row = F.struct("text", "n_chars")
     sample = (
-        # At most sample_rows ids.
+        # At most sample_rows ids, and one row for each.
         texts.join(F.broadcast(chosen), "doc_id")
-        .select("text", "n_chars", "label")
+        .groupBy("doc_id", "label")
+        .agg(F.min_by(row, F.xxhash64("text", "n_chars")).alias("row"))
+        .select("row.text", "row.n_chars", "label")
         .mapInArrow(partial(_sampled, buckets), "buckets array<int>, shares array<float>, structure array<double>, label int")
         .toArrow()
     )
@@ -244,7 +249,6 @@ def scored(documents: DataFrame, model: FactorisationMachine) -> DataFrame:
         F.struct(*[F.col("text").cast("string").alias("text") if c == "text" else F.col(f"`{c}`") for c in names]).alias("others"),
         _with_n_chars(documents).alias("_n_chars"),
     )
-    others = packed.schema["others"].dataType.simpleString()
     broadcast = documents.sparkSession.sparkContext.broadcast(model)
-    result = packed.mapInArrow(partial(_scored, broadcast), f"others {others}, score double")
+    result = packed.mapInArrow(partial(_scored, broadcast), StructType([packed.schema["others"], StructField("score", DoubleType())]))
     return result.select(*[F.col(f"others.`{c}`") for c in names], "score")

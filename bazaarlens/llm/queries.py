@@ -22,7 +22,7 @@ from bazaarlens.llm.substrings import without_repeated_spans
 from bazaarlens.llm.token_counts import token_counts
 from bazaarlens.llm.url_filters import judged_pages
 from bazaarlens.llm.warc import read_archive, write_archive
-from bazaarlens.session import shared_folder
+from bazaarlens.session import remove_at_exit, shared_folder
 
 # Host, path, verdict.
 URL_RULES = [
@@ -44,6 +44,7 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     folder = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}"
+    remove_at_exit(spark, folder)
     write_archive(pages, folder)
     return read_archive(spark, folder).select(
         F.expr("try_cast(page_id as bigint)").alias("page_id"),
@@ -113,6 +114,7 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = f"{shared_folder(spark)}/token-counts-{uuid.uuid4().hex}"
+    remove_at_exit(spark, cache)
     counted = token_counts(_table(spark, sf_dir, "documents"), cache, public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 

@@ -4,12 +4,16 @@ Sentences end behind a word that ends in . ! or ?, at a line break, and, where `
 a row have no such end, behind the one of least hash among them (winnowing; of equal words the last). So no
 sentence is longer than ``cut_every`` words, and a passage that was put into the middle of a sentence
 has the same ends inside as everywhere else, from within its first ``cut_every`` words to within its
-last: with three sentences of at most 8 words, any passage of over 50 words holds an equal run. From every sentence on, the shortest run of at least ``sentences`` sentences and
-``run_words`` words is hashed, and the shortest that ends with the text. Of equal runs in the whole corpus, the first by (doc_id, text hash,
+last: with sentences of at most 8 words and runs of 28 to 35, any passage of over 50 words holds an equal run. From every
+sentence on, the shortest run of at least ``sentences`` sentences and ``run_words`` words is hashed, and the
+shortest that ends with the text. Of equal runs in the whole corpus, the first by (doc_id, text hash,
 place) stays; the words of all others go.
 
-Runs that repeat within some megabytes of text are found there, so at most one row for these and a run is
-shuffled, however frequent a passage is; the rest takes one sort by hash.
+Most runs occur once. So a first pass counts them by 64-bit hashes, eight bytes and a number each, and what occurs more often
+reaches the tasks as a bit table of bounded size (see `bits`). A second pass hands on only those runs, with their
+places and 128 bits of hash. Runs that repeat within some megabytes of text are found there, so at most one row for
+these and a run is shuffled, however frequent a passage is; the first of the others is a minimum, joined back
+from a stored table.
 """
 
 from __future__ import annotations
@@ -19,14 +23,20 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from bazaarlens.llm import words as W
+from bazaarlens.llm.bits import bit_table
+from bazaarlens.session import materialize, release
 
 # Bytes of text whose runs a task holds at a time, about.
 TEXT_AT_ONCE = 8 << 20
 
+# Any other order of the byte values gives words a second hash.
+_OTHER_BYTES = np.random.default_rng(4).permutation(256).astype(np.uint8)
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[ord(c) for c in ".!?"]] = True
 
@@ -54,68 +64,102 @@ def sentence_ends(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows:
     return last
 
 
-def _row_runs(data, bounds, sentences: int, run_words: int, cut_every: int):
-    """(row, first word, word after the last, hash) of every run of a piece, as arrays."""
-    data = W.LOWER[data]
-    starts, ends, rows = W.find_words(data, bounds, W.NOT_BLANK)
-    hashes = W.hash_words(data, starts, ends)
-    after = np.flatnonzero(sentence_ends(data, starts, ends, rows, hashes, cut_every)) + 1
-    begin = np.concatenate([[0], after[:-1]]) if len(after) else after
-    count = len(after)
-    at = np.arange(count)
-    # The run that begins with sentence i ends with the first sentence that makes it long enough.
-    final = np.maximum(np.searchsorted(after, begin + run_words), at + sentences - 1)
-    row = np.searchsorted(rows, begin, side="right") - 1
-    inside = final < count
-    at, final = at[inside], final[inside]
-    same = after[final] <= rows[row[at] + 1]
-    at, final = at[same], final[same]
-    a, b, of_row = begin[at], after[final], row[at]
-    # And the shortest run that ends with a row's last sentence, so that no rest of a copy stays.
-    if count:
-        filled = np.flatnonzero(np.diff(rows))
-        ending = np.searchsorted(after, rows[filled + 1])
-        opening = np.minimum(np.searchsorted(begin, after[ending] - run_words, side="right") - 1, ending - sentences + 1)
-        fits = (opening >= 0) & (begin[opening] >= rows[filled])
-        a = np.concatenate([a, begin[opening[fits]]])
-        b = np.concatenate([b, after[ending[fits]]])
-        of_row = np.concatenate([of_row, filled[fits]])
-    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(hashes * W._power_table(len(hashes) + 1, False)[: len(hashes)], out=sums[1:])
-    run = W.mixed((sums[b] - sums[a]) * W._power_table(len(hashes) + 1, True)[a] + (b - a).astype(np.uint64))
-    return of_row, a - rows[of_row], b - rows[of_row], W.as_longs(run)
-
-
-def _runs(sentences: int, run_words: int, cut_every: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class _Runs:
+    """Every run of a piece: row, first word and word after the last, as arrays."""
+
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, sentences: int, run_words: int, cut_every: int):
+        self._data = data = W.LOWER[data]
+        self._starts, self._ends, rows = W.find_words(data, bounds, W.NOT_BLANK)
+        self._hashes = W.hash_words(data, self._starts, self._ends)
+        after = np.flatnonzero(sentence_ends(data, self._starts, self._ends, rows, self._hashes, cut_every)) + 1
+        begin = np.concatenate([[0], after[:-1]]) if len(after) else after
+        count = len(after)
+        at = np.arange(count)
+        # The run that begins with sentence i ends with the first sentence that makes it long enough.
+        final = np.maximum(np.searchsorted(after, begin + run_words), at + sentences - 1)
+        row = np.searchsorted(rows, begin, side="right") - 1
+        good = final < count
+        good[good] = after[final[good]] <= rows[row[good] + 1]
+        a, b, of_row = begin[good], after[final[good]], row[good]
+        # And the shortest run that ends with a row's last sentence, so that no rest of a copy stays.
+        if count:
+            filled = np.flatnonzero(np.diff(rows))
+            ending = np.searchsorted(after, rows[filled + 1])
+            opening = np.minimum(np.searchsorted(begin, after[ending] - run_words, side="right") - 1, ending - sentences + 1)
+            fits = (opening >= 0) & (begin[opening] >= rows[filled])
+            fits &= ~(good[opening] & (final[opening] == ending))  # there already
+            a = np.concatenate([a, begin[opening[fits]]])
+            b = np.concatenate([b, after[ending[fits]]])
+            of_row = np.concatenate([of_row, filled[fits]])
+        self.row, self._a, self._b, self._rows = of_row, a, b, rows
+
+    def hashed(self) -> np.ndarray:
+        return self._sums(self._hashes)
+
+    def hashed_again(self) -> np.ndarray:
+        """A second hash that owes nothing to the first."""
+        return self._sums(W.hash_words(_OTHER_BYTES[self._data], self._starts, self._ends))
+
+    def _sums(self, hashes: np.ndarray) -> np.ndarray:
+        a, b = self._a, self._b
+        sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+        np.cumsum(hashes * W._power_table(len(hashes) + 1, False)[: len(hashes)], out=sums[1:])
+        return W.mixed((sums[b] - sums[a]) * W._power_table(len(hashes) + 1, True)[a] + (b - a).astype(np.uint64))
+
+    def words(self) -> np.ndarray:
+        """First word in the upper four bytes, the one after the last in the lower, counted in the row."""
+        return ((self._a - self._rows[self.row]) << 32) + self._b - self._rows[self.row]
+
+
+def _counted(sentences: int, run_words: int, cut_every: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(run, n) of the runs of some megabytes of text."""
+    for batch in batches:
+        held, size = [], 0
+        for _, last, data, bounds in W.text_pieces(batch.column(0)):
+            held.append(_Runs(data, bounds, sentences, run_words, cut_every).hashed())
+            size += len(data)
+            if size >= TEXT_AT_ONCE or last == batch.num_rows:
+                run, n = np.unique(np.concatenate(held), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(W.as_longs(run)), pa.array(n)], names=["run", "n"])
+                held, size = [], 0
+
+
+def _placed(
+    repeated: Broadcast, sentences: int, run_words: int, cut_every: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """The places of the runs that the table holds."""
     for batch in batches:
         found, size = [], 0
         for first, last, data, bounds in W.text_pieces(batch.column(2)):
-            row, a, b, run = _row_runs(data, bounds, sentences, run_words, cut_every)
-            found.append((row + first, a, b, run))
+            runs = _Runs(data, bounds, sentences, run_words, cut_every)
+            run = runs.hashed()
+            known = repeated.value.has(run)
+            if known.any():
+                found.append((runs.row[known] + first, runs.words()[known], run[known], runs.hashed_again()[known]))
             size += len(data)
-            if size >= TEXT_AT_ONCE or last == batch.num_rows:
+            if found and (size >= TEXT_AT_ONCE or last == batch.num_rows):
                 yield _marked(batch, *(np.concatenate(parts) for parts in zip(*found)))
                 found, size = [], 0
 
 
-def _marked(batch: pa.RecordBatch, row: np.ndarray, a: np.ndarray, b: np.ndarray, run: np.ndarray) -> pa.RecordBatch:
+def _marked(batch: pa.RecordBatch, row: np.ndarray, words: np.ndarray, run: np.ndarray, again: np.ndarray) -> pa.RecordBatch:
     """The first row of each run, and all that repeat one, marked so; equal places are one."""
     ids = batch.column(0)
     order_of_id = ids.fill_null(2**63 - 1).to_numpy(zero_copy_only=False)[row]
     text_hash = batch.column(1).to_numpy()[row]
-    order = np.lexsort((a, text_hash, order_of_id, run))
-    row, a, b, run, order_of_id, text_hash = (x[order] for x in (row, a, b, run, order_of_id, text_hash))
+    order = np.lexsort((words, text_hash, order_of_id, again, run))
+    row, words, run, again, order_of_id, text_hash = (x[order] for x in (row, words, run, again, order_of_id, text_hash))
     new = np.ones(len(run), dtype=bool)
-    new[1:] = run[1:] != run[:-1]
+    new[1:] = (run[1:] != run[:-1]) | (again[1:] != again[:-1])
     lead = np.maximum.accumulate(np.where(new, np.arange(len(run)), 0))
-    repeated = (order_of_id != order_of_id[lead]) | (text_hash != text_hash[lead]) | (a != a[lead])
+    repeated = (order_of_id != order_of_id[lead]) | (text_hash != text_hash[lead]) | (words != words[lead])
     keep = repeated | new
     return pa.RecordBatch.from_arrays(
         [
-            ids.take(pa.array(row[keep])), pa.array(text_hash[keep]), pa.array(run[keep]),
-            pa.array((a[keep] << 32) + b[keep]), pa.array(repeated[keep]),
+            ids.take(pa.array(row[keep])), pa.array(text_hash[keep]), pa.array(W.as_longs(run[keep])),
+            pa.array(W.as_longs(again[keep])), pa.array(words[keep]), pa.array(repeated[keep]),
         ],
-        names=["doc_id", "text_hash", "run", "words", "repeated"],
+        names=["doc_id", "text_hash", "run", "again", "words", "repeated"],
     )
 
 
@@ -153,15 +197,15 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_repeated_spans(
-    documents: DataFrame, sentences: int = 3, run_words: int = 15, cut_every: int = 8
+    documents: DataFrame, sentences: int = 3, run_words: int = 28, cut_every: int = 8
 ) -> DataFrame:
     """The documents with all their columns; ``text`` without repeated runs, n_words and n_removed added.
 
     Words are compared with A-Z lower-cased. Rows that repeat both doc_id and text are one document
     and keep the same words. A document without doc_id comes after all others. Null texts stay
     null, and a text without repeats stays as it is, byte for byte; else white space at its ends
-    goes. A text that has fewer words than a run keeps them. An empty table gives no rows.
-    Columns named n_words or n_removed are replaced, all others are handed through.
+    goes. A text that has fewer words than a run keeps them. Very long texts are held whole, one at a time. An
+    empty table gives no rows. Columns named n_words or n_removed are replaced, all others are handed through.
     """
     names = [c for c in documents.columns if c not in ("n_words", "n_removed")]
     keyed = documents.select(
@@ -171,25 +215,40 @@ def without_repeated_spans(
         F.xxhash64("text").alias("_hash"),
         F.col("text").cast("string").alias("_text"),
     )
-    found = keyed.select("_id", "_hash", "_text").mapInArrow(
-        partial(_runs, sentences, run_words, cut_every),
-        # words: the first in the upper four bytes, the one after the last in the lower.
-        "doc_id long, text_hash long, run long, words long, repeated boolean",
-    )
-    # What repeats is known already: it takes a number of its own, so that frequent runs are spread.
-    run = F.when(F.col("repeated"), F.xxhash64("doc_id", "text_hash", "words")).otherwise(F.col("run"))
-    place = Window.partitionBy("run", "repeated").orderBy(F.asc_nulls_last("doc_id"), "text_hash", "words")
-    spans = (
-        found.withColumn("run", run)
-        .withColumn("place", F.rank().over(place))
-        .where("repeated or place > 1")
-        .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set("words").alias("spans"))
-    )
+    spans = _spans(keyed.select("_id", "_hash", "_text"), sentences, run_words, cut_every)
     same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash"))
     marked = keyed.join(spans, same, "left").select("others", "_text", "spans")
-    others_type = keyed.schema["others"].dataType.simpleString()
-    cleaned = marked.mapInArrow(_without, f"others {others_type}, text string, n_words long, n_removed long")
+    result = StructType([
+        keyed.schema["others"], StructField("text", StringType()), StructField("n_words", LongType()), StructField("n_removed", LongType())
+    ])
+    cleaned = marked.mapInArrow(_without, result)
     return cleaned.select(
         *[F.col("text") if c == "text" else F.col(f"others.`{c}`") for c in names], "n_words", "n_removed"
     )
+
+
+def _spans(texts: DataFrame, sentences: int, run_words: int, cut_every: int) -> DataFrame:
+    """(doc_id, text_hash, spans): the runs of each text (_id, _hash, _text) that are not the first of their kind; stored."""
+    how = (sentences, run_words, cut_every)
+    counted = texts.select("_text").mapInArrow(partial(_counted, *how), "run long, n long")
+    repeated = materialize(counted.groupBy("run").agg(F.sum("n").alias("n")).where("n > 1").select("run"))
+    bits = bit_table(repeated)
+    found = materialize(
+        texts.mapInArrow(
+            partial(_placed, bits, *how), "doc_id long, text_hash long, run long, again long, words long, repeated boolean"
+        )
+    )
+    bits.destroy()
+    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash", "words")
+    # One row per run and some megabytes of text. The minimum is formed before the shuffle and stored, so that the join
+    # back is split where a run is frequent.
+    candidates = found.where("not repeated").select("run", "again", place.alias("place"))
+    firsts = candidates.groupBy("run", "again").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = materialize(firsts.drop("n"))
+    later = candidates.join(firsts, ["run", "again"]).where(F.col("place") != F.col("first"))
+    gone = found.where("repeated").select("doc_id", "text_hash", "words").unionByName(
+        later.select("place.doc_id", "place.text_hash", "place.words")
+    )
+    spans = materialize(gone.groupBy("doc_id", "text_hash").agg(F.collect_set("words").alias("spans")))
+    release(repeated, found, firsts)
+    return spans

@@ -97,10 +97,10 @@ def test_counts_do_not_trust_one_hash():
     keys = np.array([5, 7, 5, 5, 7, 5], dtype=np.uint64)
     others = np.array([1, 2, 1, 3, 2, 4], dtype=np.uint64)
     counts = Counter()
-    for at, n in C._distinct(keys, others):
+    for at, n in C._distinct(keys, others, np.array([1, 2, 3, 4, 5, 6])):
         for place, times in zip(at.tolist(), n.tolist()):
             counts[int(keys[place]), int(others[place])] += times
-    assert counts == {(5, 1): 2, (5, 3): 1, (5, 4): 1, (7, 2): 2}
+    assert counts == {(5, 1): 4, (5, 3): 4, (5, 4): 6, (7, 2): 7}
 
 
 def test_texts_of_phrases():

@@ -1,9 +1,12 @@
 """Every stage of the pipeline on whole small tables, against brute force over what it was given."""
 
+import sys
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -59,7 +62,7 @@ def test_repeated_spans_go(steps):
         return text.encode().split()  # at ASCII white space, as the operator does
 
     before = {r.doc_id: r.text for r in steps[2]}
-    removed = brute_spans([(i, t) for i, t in before.items() if split(t)], 3, 15, ends)
+    removed = brute_spans([(i, t) for i, t in before.items() if split(t)], 3, 28, ends)
     after = {r.doc_id: r for r in steps[3]}
     for i, text in before.items():
         left = len(split(text)) - removed.get(i, 0)
@@ -112,3 +115,71 @@ def test_registered(spark):
     ]
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert "pipeline" not in entry.oracle_sql()
+
+
+@pytest.fixture
+def odd_folder(spark, tmp_path):
+    """Benchmark and labels for stages that are given odd documents."""
+    spark.read.parquet(f"{SF_DIR}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (6, 0), (10, 0)], "doc_id long, quality int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows_and_names(spark, odd_documents, no_documents, odd_folder, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = odd_documents.withColumns({"n_removed": F.lit(5), "a.b": F.lit(1), "_hash": F.lit("h"), "n_words": F.lit(77)})
+    result = stage(spark, docs, odd_folder)
+    assert stage(spark, docs.limit(0), odd_folder).count() == 0
+    if name == "best_fit_packing":
+        assert result.where("doc_id = 9").count() == 2 and result.where("doc_id is null").count() == 2
+        return
+    assert result.columns == docs.columns
+    rows = result.collect()
+    assert rows
+    # What was there under the operators' own names is there still.
+    given = {(r.doc_id, r.score, r.n_removed, r.n_words, r["a.b"], r._hash, r.spans) for r in docs.collect()}
+    kept = {(r.doc_id, r.score, r.n_removed, r.n_words, r["a.b"], r._hash, r.spans) for r in rows}
+    assert kept <= given
+
+
+def test_stages_without_labels_or_benchmark(spark, odd_documents, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for stage in (corpus_pipeline.keep_good, corpus_pipeline.remove_benchmark_leaks):
+        assert stage(spark, odd_documents, str(tmp_path)).count() == odd_documents.count()
+
+
+def test_run_leaves_its_last_stage_only(spark):
+    import os
+
+    from bazaarlens.session import shared_folder
+
+    before = set(os.listdir(shared_folder(spark)))
+    assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+    (folder,) = [f for f in set(os.listdir(shared_folder(spark))) - before if f.startswith("corpus-")]
+    assert os.listdir(f"{shared_folder(spark)}/{folder}") == ["best_fit_packing"]
+
+
+def test_other_queries_stay_without_the_subpackage(monkeypatch):
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    for name in [n for n in sys.modules if n.startswith("bazaarlens.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    names = set(entry.queries())
+    assert "q01_monthly_revenue" in names and not any(n.startswith("op") for n in names)
+    assert set(entry.oracle_sql()) <= names
+
+
+def test_training_rows_are_bounded_whatever_repeats(spark):
+    from bazaarlens.llm import quality
+
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(300)] + [(2, "x y z"), (3, "q r s")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, label int")
+    collected = []
+    frame = type(docs)
+    to_arrow = frame.toArrow
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(frame, "toArrow", lambda self: collected.append(to_arrow(self)) or collected[-1])
+        quality.train(docs, labels)
+    assert [table.num_rows for table in collected] == [3]
