@@ -10,7 +10,7 @@ keeps the blocks on the content side. Every page is a graph of its own, in one t
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.S,
@@ -35,6 +35,11 @@ _BLOCK = frozenset(
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary "
     "table tbody td tfoot th thead tr ul".split()
 )
+# Of these, those that may hold one another.
+_NESTED = frozenset("svg template".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements below so many others count as their parents, as in browsers.
+DEEPEST = 512
 # What speaks for boilerplate and for content.
 _BOILERPLATE_TAGS = frozenset("nav footer aside form menu button select dialog search".split())
 _CONTENT_TAGS = frozenset("article main".split())
@@ -45,6 +50,7 @@ _BOILERPLATE_NAMES = frozenset(
     "pagination popup promo promoted promotion related recommended replies reply respond search share sharing sidebar "
     "signup skip social sponsor sponsored subscribe tags toolbar widget".split()
 )
+_ADVERT_NAMES = frozenset("ad ads adv advert adverts advertisement advertising promo promoted promotion sponsor sponsored".split())
 _CONTENT_NAMES = frozenset("article articlebody content entry post story maintext".split())
 
 REGION = 6.0  # cost of going against the nearest element that names its purpose
@@ -57,13 +63,24 @@ BORDER = 0.25  # what is left of that where one has a named purpose and the othe
 SHARED = 0.4  # weight between the next two blocks of one element with others in between
 
 
+class _Element:
+    """A block element of the page, with its parent and depth among block elements, and what is said of it: the cue in
+    force, vetoes by name around it, and "main" or "article" if one lies below these."""
+
+    __slots__ = ("parent", "depth", "cue", "vetoes", "below")
+
+    def __init__(self, parent: _Element | None, cue: float, vetoes: tuple[int, ...], below: str):
+        self.parent, self.cue, self.vetoes, self.below = parent, cue, vetoes, below
+        self.depth = parent.depth + 1 if parent else 1
+
+
 class _Block:
-    __slots__ = ("text", "path", "cue", "linked", "chars", "vetoes", "below")
+    __slots__ = ("text", "element", "cue", "linked", "chars", "vetoes", "below")
 
     def __init__(
-        self, text: str, path: tuple[int, ...], cue: float, linked: int, chars: int, vetoes: tuple[int, ...] = (), below: str = ""
+        self, text: str, element: _Element | None, cue: float, linked: int, chars: int, vetoes: tuple[int, ...] = (), below: str = ""
     ):
-        self.text, self.path, self.cue, self.linked, self.chars = text, path, cue, linked, chars
+        self.text, self.element, self.cue, self.linked, self.chars = text, element, cue, linked, chars
         # Elements around it that are boilerplate by name alone, and "main" or "article" if one lies below them.
         self.vetoes, self.below = vetoes, below
 
@@ -79,11 +96,17 @@ def _cue(tag: str, attributes: str, inside_content: bool) -> tuple[float | None,
     if found.get("aria-hidden", "").lower() == "true":
         return -1.0, False, ""
     role = found.get("role", "").lower()
+    if tag == "form" and role not in _BOILERPLATE_ROLES:
+        return -1.0, True, ""  # whole pages may stand in one
     if tag in _BOILERPLATE_TAGS or role in _BOILERPLATE_ROLES:
         return -1.0, False, ""
     if tag == "header":
         return None if inside_content else -1.0, False, ""
     names = set(_NAME_PART.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
+    if names & _CONTENT_NAMES:
+        names -= {"header"}  # an article's own
+    if tag in _HEADINGS:
+        names -= _BOILERPLATE_NAMES  # what a heading is called says what it is about
     content = "main" if "main" in (tag, role) else "article" if "article" in (tag, role) else ""
     if names & _BOILERPLATE_NAMES and not (content and not names & {"comment", "comments", "reply"}):
         if not (inside_content and names & {"header"}):
@@ -99,26 +122,36 @@ def text_blocks(html: str, wrappers: frozenset[int] = frozenset()) -> list[_Bloc
     ``wrappers``: numbers of elements whose names are not read as boilerplate.
     """
     blocks: list[_Block] = []
-    # Tag, cue in force, number of the element, vetoes by name around, main or article below these.
-    stack: list[tuple[str, float, int, tuple[int, ...], str]] = []
+    # Tag, cue in force, number of the element, vetoes by name around, main or article below these, block
+    # element, whether its text is shown.
+    stack: list[tuple[str, float, int, tuple[int, ...], str, _Element | None, bool]] = []
+    open_tags: Counter[str] = Counter()
+    too_deep: Counter[str] = Counter()
     parts: list[str] = []
-    state = {"linked": 0, "elements": 0}
+    linked = elements = 0
 
     def flush() -> None:
+        nonlocal linked
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            path = tuple(entry[2] for entry in stack if entry[0] in _BLOCK)
-            cue, _, vetoes, below = stack[-1][1:] if stack else (0.0, 0, (), "")
-            blocks.append(_Block(text, path, cue, state["linked"], len(text), vetoes, below))
-        state["linked"] = 0
+            element = stack[-1][5] if stack else None
+            said = (element.cue, element.vetoes, element.below) if element else (0.0, (), "")
+            blocks.append(_Block(text, element, said[0], linked, len(text), *said[1:]))
+        linked = 0
 
     def say(raw: str) -> None:
-        if raw:
+        nonlocal linked
+        if raw and (not stack or stack[-1][6]):
             text = unescape(raw)
             parts.append(text)
-            if any(entry[0] == "a" for entry in stack):
-                state["linked"] += len(text.strip())
+            if open_tags["a"]:
+                linked += len(text.strip())
+
+    def close(back: int) -> None:
+        for entry in stack[back:]:
+            open_tags[entry[0]] -= 1
+        del stack[back:]
 
     at = 0
     while True:
@@ -134,8 +167,7 @@ def text_blocks(html: str, wrappers: frozenset[int] = frozenset()) -> list[_Bloc
         closing = found[1] or found[4]
         if tag in _NEVER_TEXT and not closing:
             if not (found[3] or found[6] or "").endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*[^>]*>|\Z", re.I).search(html, at)
-                at = end.end()
+                at = _end_of(tag, html, at)
             continue
         if tag == "head":  # its elements with text are none of the page's; the end tag may be left out
             continue
@@ -145,44 +177,68 @@ def text_blocks(html: str, wrappers: frozenset[int] = frozenset()) -> list[_Bloc
         if tag in _BLOCK:
             flush()
         if closing:
-            for back in range(len(stack) - 1, -1, -1):
-                if stack[back][0] == tag:
-                    del stack[back:]
-                    break
+            if too_deep[tag]:
+                too_deep[tag] -= 1
+            elif open_tags[tag]:
+                close(next(back for back in range(len(stack) - 1, -1, -1) if stack[back][0] == tag))
             continue
         if tag in _VOID or (found[3] or found[6] or "").endswith("/") and tag not in _BLOCK:
             continue
+        if len(stack) >= DEEPEST:
+            too_deep[tag] += 1
+            continue
         # A new block ends an open paragraph; an item ends the item before it.
-        for back in range(len(stack) - 1, -1, -1):
-            open_tag = stack[back][0]
-            if tag in _BLOCK and open_tag == "p" or open_tag == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-                del stack[back:]
-                break
-            if open_tag in _BLOCK:
-                break
-        _, before, _, vetoes, below = stack[-1] if stack else ("", 0.0, 0, (), "")
-        own, by_name, named = (
-            _cue(tag, found[3] or found[6] or "", before > 0) if tag in _BLOCK or found[3] or found[6] else (None, False, "")
-        )
-        state["elements"] += 1
-        number = state["elements"]
-        if by_name and number in wrappers:
+        if tag in _BLOCK or tag == "option":
+            for back in range(len(stack) - 1, -1, -1):
+                open_tag = stack[back][0]
+                if open_tag == "p" or open_tag == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
+                    close(back)
+                    break
+                if open_tag in _BLOCK:
+                    break
+        _, before, _, vetoes, below, element, shown = stack[-1] if stack else _PAGE
+        attributes = found[3] or found[6] or ""
+        own, by_name, named = _cue(tag, attributes, before > 0) if tag in _BLOCK or attributes else (None, False, "")
+        elements += 1
+        if tag not in _BLOCK and own is not None and own < 0:
+            # Inside a line of text: not shown, or an advert; other names speak of blocks below it, if there are any.
+            if not by_name or set(_NAME_PART.findall(attributes.lower())) & _ADVERT_NAMES:
+                shown = False
+        if by_name and elements in wrappers:
             own = None
         elif own is not None and own < 0:
             # What an element says besides its names is final, also for what is below.
             if not by_name:
                 vetoes, below = (), ""
             elif before >= 0 or vetoes:
-                vetoes, below = (*vetoes, number), ""
+                vetoes, below = (*vetoes, elements), ""
         elif vetoes and named and below != "main":
             below = named
         # An advert, menu or comment inside an article is none of it, and nothing in a menu is content.
         cue = before if own is None or before < 0 else own
-        stack.append((tag, cue, number, vetoes, below))
+        if tag in _BLOCK:
+            element = _Element(element, cue, vetoes, below)
+        stack.append((tag, cue, elements, vetoes, below, element, shown))
+        open_tags[tag] += 1
     flush()
     return blocks
 
 
+_PAGE = ("", 0.0, 0, (), "", None, True)
+
+
+def _end_of(tag: str, html: str, at: int) -> int:
+    """Where an element without text ends whose content begins at ``at``."""
+    if tag not in _NESTED:
+        return re.compile(rf"</{re.escape(tag)}\s*[^>]*>|\Z", re.I).search(html, at).end()
+    depth = 1
+    for found in re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*?(/?)>", re.I).finditer(html, at):
+        depth += -1 if found[1] else 0 if found[2] else 1
+        if depth == 0:
+            return found.end()
+    return len(html)
+
+
 def _leaning(block: _Block, named: bool) -> float:
     """Above 0 for content, below for boilerplate: the difference of the two terminal capacities.
 
@@ -194,19 +250,26 @@ def _leaning(block: _Block, named: bool) -> float:
     return REGION * cue - LINKS * density + (1 - density) * (PLAIN + PROSE * min(1.0, words / 30))
 
 
+def _apart(a: _Element | None, b: _Element | None) -> int:
+    """Steps from one block element to another by the nearest that holds both."""
+    steps = 0
+    while a is not b:
+        if b is None or a is not None and a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
+
+
 def _edges(blocks: list[_Block]) -> list[tuple[int, int, float]]:
     edges = []
-    latest: dict[int, int] = {}
+    latest: dict[_Element | None, int] = {}
     for i, block in enumerate(blocks):
         if i:
-            a, b = blocks[i - 1].path, block.path
-            common = 0
-            while common < min(len(a), len(b)) and a[common] == b[common]:
-                common += 1
-            apart = len(a) + len(b) - 2 * common
-            weight = NEIGHBOUR / (1 + max(0, apart - 2))
+            weight = NEIGHBOUR / (1 + max(0, _apart(blocks[i - 1].element, block.element) - 2))
             edges.append((i - 1, i, weight if block.cue == blocks[i - 1].cue else weight * BORDER))
-        parent = block.path[-2] if len(block.path) > 1 else -1
+        parent = block.element.parent if block.element else None
         if parent in latest and latest[parent] != i - 1:
             edges.append((latest[parent], i, SHARED))
         latest[parent] = i
