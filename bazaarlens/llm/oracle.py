@@ -78,19 +78,41 @@ select page_id, cast(size as bigint) as payload_bytes, digest as payload_digest,
 from firsts
 """
 
-# Targets of links are absolute here; the tables hold no others.
-URL_FILTERS = r"""
+_VALUE = r"""(?:"([^"]*)"|''([^'']*)''|([^\s"''>][^\s>]*))"""
+_CANONICAL = r"""(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|''(?:[^''>]*\s)?canonical(?:\s[^''>]*)?''|canonical(?:\s|/|>))"""
+_REFRESH = r"""(?:"\s*refresh\s*"|''\s*refresh\s*''|refresh(?:\s|/|>))"""
+_GO_TO = r"""(?is)^\s*(?:[\d.]+[;,\s]+(?:url\s*=\s*)?|[;,\s]*url\s*=\s*)(?:"([^"]*)|''([^'']*)|([^"''\s;,]\S*))"""
+
+
+def _values(texts: str, pattern: str) -> str:
+    """What one of the pattern's three groups holds in each text."""
+    groups = " || ".join(f"regexp_extract(t, '{pattern}', {group})" for group in (1, 2, 3))
+    return f"list_transform({texts}, lambda t: {groups})"
+
+
+def _tags(tag: str, attribute: str, value: str) -> str:
+    return rf"regexp_extract_all(shown, '(?is)<{tag}\b[^>]*\b{attribute}\s*=\s*{value}[^>]*>?')"
+
+
+_HREFS = _values(_tags("link", "rel", _CANONICAL), rf"(?is)(?:^|[^\w-])href\s*=\s*{_VALUE}")
+_CONTENTS = _values(_tags("meta", "http-equiv", _REFRESH), rf"(?is)(?:^|[^\w-])content\s*=\s*{_VALUE}")
+_DECODED = f"""list_transform({_CONTENTS}, lambda t: replace(replace(t, '&quot;', '"'), '&#39;', chr(39)))"""
+
+URL_FILTERS = rf"""
 with recursive rules(rule_host, rule_path, rule_verdict) as (
     values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), shown as (
+    select url, regexp_replace(html, '(?s)<!--.*?(?:-->|\z)', '', 'g') as shown from pages where url is not null and html is not null
 ), tags as (
-    select url, unnest([
-        regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']([^"'']*)', 1),
-        regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*''?([^"''>\s]+)', 1)
-    ]) as target
-    from pages where url is not null and html is not null
-), links as (
-    select regexp_replace(url, '(?s)#.*$', '') as a, regexp_replace(trim(replace(target, '&amp;', '&')), '(?s)#.*$', '') as b
+    select url, trim(replace(unnest(list_concat({_HREFS}, {_values(_DECODED, _GO_TO)})), '&amp;', '&')) as target from shown
+), absolute as (
+    select url, case when contains(target, '://') then target
+        when starts_with(target, '//') then regexp_extract(url, '(?s)^(.*?:)//', 1) || target
+        when starts_with(target, '/') then regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || target
+        else regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:[^?#]*/)?)', 1) || target end as target
     from tags where target <> ''
+), links as (
+    select regexp_replace(url, '(?s)#.*$', '') as a, regexp_replace(target, '(?s)#.*$', '') as b from absolute
 ), both_ways as (
     select a, b from links where a <> b union select b, a from links where a <> b
 ), reached(node, other) as (

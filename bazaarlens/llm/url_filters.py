@@ -72,15 +72,22 @@ def _address(url: Column) -> Column:
 
 _VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))"""
 # In the content of a refresh: seconds, then the target, mostly behind url=.
-_REFRESH_URL = r"""(?is)^\s*(?:[\d.]++[;,\s]++(?:url\s*=\s*)?|[;,\s]*url\s*=\s*)(?:"([^"]*)|'([^']*)|([^"'\s]\S*))"""
+_REFRESH_URL = r"""(?is)^\s*(?:[\d.]+[;,\s]+(?:url\s*=\s*)?|[;,\s]*url\s*=\s*)(?:"([^"]*)|'([^']*)|([^"'\s;,]\S*))"""
+# One of the names of a link's relation, in any quotes or none.
+_CANONICAL = r"""(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|canonical(?:\s|/|>))"""
+_REFRESH = r"""(?:"\s*refresh\s*"|'\s*refresh\s*'|refresh(?:\s|/|>))"""
 
 
 def _attribute(name: str) -> str:
-    return rf"(?is)(?<![\w-]){name}\s*=\s*{_VALUE}"
+    return rf"(?is)(?:^|[^\w-]){name}\s*=\s*{_VALUE}"
 
 
-def _tags(pattern: str) -> Column:
-    return F.regexp_extract_all("html", F.lit(f"(?is){pattern}"), F.lit(0))
+def _tags(tag: str, attribute: str, value: str) -> Column:
+    """The tags, outside of comments, whose attribute has the value."""
+    commented = F.contains(F.col("html"), F.lit("<!--"))
+    shown = F.when(commented, F.regexp_replace("html", r"(?s)<!--.*?(?:-->|\z)", "")).otherwise(F.col("html"))
+    # A value without quotes may end with the tag itself.
+    return F.regexp_extract_all(shown, F.lit(rf"(?is)<{tag}\b[^>]*\b{attribute}\s*=\s*{value}[^>]*>?"), F.lit(0))
 
 
 def _first_group(texts: Column, pattern: str) -> Column:
@@ -91,11 +98,12 @@ def _first_group(texts: Column, pattern: str) -> Column:
 def page_links(pages: DataFrame) -> DataFrame:
     """(source, target) of canonical links and meta refreshes in ``html``, targets made absolute.
 
-    Every such tag of a page counts; values may stand in either quotes or in none.
+    Every such tag of a page counts, but for those in comments; values may stand in either quotes or in none, and
+    canonical may be one of several relations.
     A target that is neither absolute nor begins with a slash is taken from the page's last slash on.
     """
-    canonical = _first_group(_tags(r"""<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""), _attribute("href"))
-    content = _first_group(_tags(r"""<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""), _attribute("content"))
+    canonical = _first_group(_tags("link", "rel", _CANONICAL), _attribute("href"))
+    content = _first_group(_tags("meta", "http-equiv", _REFRESH), _attribute("content"))
     content = F.transform(content, lambda c: F.replace(F.replace(c, F.lit("&quot;"), F.lit('"')), F.lit("&#39;"), F.lit("'")))
     refresh = _first_group(content, _REFRESH_URL)
     targets = (

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 
 import pytest
 
@@ -123,6 +124,47 @@ def test_odd_markup(page, text):
     assert main_text(page) == text
 
 
+REAL_SHAPES = {
+    # A page in one form, as server frameworks write it, with and without a named article.
+    "form around an article": (
+        f"<body><form id=aspnetForm action=/x><div class=nav><a href=/>Home</a></div><article>{STORY}</article><input></form>", STORY[3:-4]),
+    "form around all": (f"<body><form method=post><ul class=menu><li><a href=/a>A</a></ul><div>{STORY}</div></form>", STORY[3:-4]),
+    "a form inside an article": (f"<article>{STORY}<form><label>Your name</label><button>Send</button></form></article>", STORY[3:-4]),
+    "empty comments": (f"<!--><article>{STORY}<!---></article><!-- end -->", STORY[3:-4]),
+    "hidden and adverts in a line": (
+        f"<article><p>One <span hidden>secret</span>two <span style='display: none'>gone</span>three "
+        f"<span class=ad>Buy!</span>four <b class=x>five</b>.</p>{STORY}</article>", "One two three four five.\n\n" + STORY[3:-4]),
+    "an advert that is not closed": (f"<article><p>Before <span class=advert>Buy</p>{STORY}</article>", "Before\n\n" + STORY[3:-4]),
+    "a title in a header of its own": (
+        f"<body><header class=site-header>Site</header><article><div class=post-header><h1>The title of it</h1></div>"
+        f"<div class=post-body>{STORY}</div></article>", "The title of it\n\n" + STORY[3:-4]),
+    "a heading with a telling name": (f"<main><h2 class=related-work>Related work</h2>{STORY}</main>", "Related work\n\n" + STORY[3:-4]),
+    "drawings in drawings": (f"<main><svg><svg><text>in</text></svg><text>out</text></svg>{STORY}</main>", STORY[3:-4]),
+    "comments in a custom element": (f"<main>{STORY}</main><x-list class=comments><div><p>{STORY[3:40]}</p></div></x-list>", STORY[3:-4]),
+}
+
+
+@pytest.mark.parametrize("shape", REAL_SHAPES)
+def test_pages_of_real_shapes(shape):
+    page, text = REAL_SHAPES[shape]
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("unit", ["<ul><li>x ", "<b>x ", "<div>x", "<b>x <p>y", "<div class=ad>x", "</i>x<b>", "<a href=x>y<p>"])
+def test_time_grows_with_the_page_alone(unit):
+    """A megabyte of elements that are never closed."""
+    page = unit * (1_000_000 // len(unit))
+    start = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - start < 5
+
+
+def test_elements_below_the_deepest_are_closed_too():
+    deep = "<div>" * 2000 + "in" + "</div>" * 2000
+    assert [b.text for b in extraction.text_blocks(f"<main>{deep}<p>after</p></main>")] == ["in", "after"]
+    assert extraction.text_blocks(f"<main>{deep}<p>after</p></main>")[-1].element.depth == 2
+
+
 def test_minimum_cut_equals_brute_force():
     rng = random.Random(5)
     for _ in range(150):
@@ -219,6 +261,59 @@ def test_links_in_any_quotes_and_number(spark):
     assert verdicts == ["block"] * 7 + ["allow"]
 
 
+def test_relations_and_comments(spark):
+    bad = "http://bad.net/z"
+    html = {
+        "http://a.com/": f'<link rel="alternate canonical" href="{bad}">',
+        "http://b.com/": f"<link rel='canonical nofollow' href={bad}>",
+        "http://c.com/": f'<!-- <link rel="canonical" href="{bad}"> --><link rel="canonicals" href="{bad}">',
+        "http://d.com/": f'<!-- never closed <link rel="canonical" href="{bad}">',
+        "http://e.com/": f'<link href="{bad}" rel=canonical>',
+        "http://f.com/": f'<meta http-equiv=" refresh " content="1;url={bad}"><!-- x -->',
+    }
+    verdicts = [v[3] for _, v in sorted(judged(spark, list(html), html).items())]
+    assert verdicts == ["block", "block", "allow", "allow", "block", "block"]
+
+
+def test_links_in_sql_and_here_agree(spark):
+    """Chains, hubs and stars of planted links, written in every way there is."""
+    import duckdb
+    import pyarrow as pa
+
+    from bazaarlens.llm import oracle
+
+    rng = random.Random(12)
+    hosts = ["a.com", "b.org", "net", "x.net", "example.net", "q.example.com", "c.io"]
+    paths = ["/", "/fr/1", "/en/2", "/de/3", "/z?q=1", ""]
+    urls = [f"http://{rng.choice(hosts)}{rng.choice(paths)}" + rng.choice(["", f"{i}", f"#{i}"]) for i in range(150)]
+    urls += [f"http://chain.com/{i}" for i in range(30)] + [f"http://spoke.com/{i}" for i in range(30)] + [None, "no scheme"]
+    ways = [
+        '<link rel="canonical" href="{}">', "<link rel=canonical href={}>", "<LINK href='{}' REL='canonical'/>",
+        '<link rel="alternate canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">',
+        "<meta http-equiv=refresh content='3;URL=\"{}\"'>", '<meta http-equiv="refresh" content="0;url=&quot;{}&quot;">',
+        '<meta content="0, {}" http-equiv=refresh>', '<!-- <link rel="canonical" href="{}"> -->', '<link rel="icon" href="{}">',
+        '<link rel="canonical" data-href="/no" href=" {} ">', '<meta http-equiv="refresh" content="5">{}',
+    ]
+    rows = []
+    for i, url in enumerate(urls):
+        target = rng.choice([rng.choice(urls) or "http://a.com/", "/fr/1", "//x.net/en/", "more/", "/z?a=1&amp;b=2"])
+        html = rng.choice(ways).format(target) if rng.random() < 0.4 else rng.choice([None, "", "<p>plain</p>"])
+        if url and "chain" in url and i % 30 < 29:
+            html = ways[i % 3].format(f"http://chain.com/{i % 30}")
+        if url and "spoke" in url:
+            html = ways[i % 2].format("http://hub.net/")
+        rows.append((i, url, html))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    got = sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in judged_pages(pages, rules).collect()), key=str)
+    connection = duckdb.connect()
+    connection.register("pages", pa.Table.from_pylist([dict(zip(("page_id", "url", "html"), row)) for row in rows]))
+    expected = connection.execute(oracle.URL_FILTERS).fetchall()
+    assert got == sorted(expected, key=str)
+    by_alias = [r for r in got if r[3] is None and r[4] == "block"]
+    assert len(by_alias) > 30
+
+
 def test_own_rule_comes_before_aliases(spark):
     html = {"http://x.example.net/en/": '<link rel="canonical" href="http://bad.net/">'}
     got = judged(spark, ["http://x.example.net/en/", "http://bad.net/"], html)
