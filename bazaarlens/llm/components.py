@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from bazaarlens.session import materialize, release
 
 
-# So many edges take a task 16 MB; below that, one task is done before two shuffles are planned.
-EDGES_OF_A_TASK = 1_000_000
+# So many edges are contracted at a time (about 100 MB of a task).
+EDGES_AT_ONCE = 1_000_000
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60, edges_of_a_task: int = 0) -> DataFrame:
+def connected_components(edges: DataFrame, most_rounds: int = 60, in_tasks: bool = False) -> DataFrame:
     """(node, component) of every node of an edge (a, b); the component is its smallest node.
 
     Large-star and small-star steps in turn until nothing changes: each node hangs its larger
@@ -26,14 +26,18 @@ def connected_components(edges: DataFrame, most_rounds: int = 60, edges_of_a_tas
     out has one row for a hub on that side, so adaptive splitting spreads the other. Only a count
     and a checksum reach the driver. Nulls and loops are left out; no edges give no rows.
 
-    With ``edges_of_a_task``, a graph counted to have no more edges (a, b of type long) is left to a
-    single task, which gives the same.
+    With ``in_tasks`` (a, b of type long), every task contracts the edges that lie in it before they are stored: what
+    they connect hangs below its smallest node. That takes steps off the way, whatever the graph's size, and changes
+    nothing else.
     """
+
+    def contracted(rows: DataFrame) -> DataFrame:
+        return rows.mapInArrow(_contracted, "low long, high long") if in_tasks else rows
+
     edges = edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low < high")
-    edges = materialize(edges)
-    if edges_of_a_task and edges.count() <= edges_of_a_task:
-        return materialize(edges.coalesce(1).mapInArrow(_in_one_task, "node long, component long"))
-    raw, edges = edges, materialize(edges.distinct())
+    edges = contracted(edges)
+    raw = materialize(edges)
+    edges = materialize(contracted(raw.distinct()))
     release(raw)
     mark = _mark(edges)
     for _ in range(most_rounds):
@@ -43,7 +47,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60, edges_of_a_tas
         done = [edges]
         stars = materialize(_large_star(edges, done))
         done.append(stars)
-        edges = materialize(_small_star(stars, done))
+        edges = materialize(contracted(_small_star(stars, done)))
         release(*done)
         mark = _mark(edges)
         if mark == before:
@@ -55,11 +59,26 @@ def connected_components(edges: DataFrame, most_rounds: int = 60, edges_of_a_tas
     return below.unionByName(roots)
 
 
-def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pairs = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches]
-    if not pairs:
-        return
-    nodes, place = np.unique(np.concatenate(pairs, axis=1), return_inverse=True)
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (low, high) between each node and the smallest that some of the task's edges connect it to."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]))
+        size += batch.num_rows
+        if size >= EDGES_AT_ONCE:
+            # What is left of them stays in hand: a forest has fewer edges than nodes.
+            held = [_forest(np.concatenate(held, axis=1))]
+            if held[0].shape[1] >= EDGES_AT_ONCE // 2:
+                yield pa.RecordBatch.from_pydict({"low": held[0][0], "high": held[0][1]})
+                held = []
+            size = sum(part.shape[1] for part in held)
+    if held:
+        low, high = _forest(np.concatenate(held, axis=1))
+        yield pa.RecordBatch.from_pydict({"low": low, "high": high})
+
+
+def _forest(pairs: np.ndarray) -> np.ndarray:
+    nodes, place = np.unique(pairs, return_inverse=True)
     low, high = place.reshape(2, -1)
     label = np.arange(len(nodes))
     while True:
@@ -74,7 +93,8 @@ def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if np.array_equal(moved, label):
             break
         label = moved
-    yield pa.RecordBatch.from_pydict({"node": nodes, "component": nodes[label]})
+    below = np.flatnonzero(label != np.arange(len(nodes)))
+    return np.stack([nodes[label[below]], nodes[below]])
 
 
 def _mark(edges: DataFrame) -> dict:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import words as W
-from bazaarlens.llm.components import EDGES_OF_A_TASK, connected_components
+from bazaarlens.llm.components import connected_components
 from bazaarlens.llm.groups import fixed_width, grouped, runs
 from bazaarlens.session import materialize
 
@@ -225,7 +225,7 @@ def _families(classes: DataFrame, coordinates: int, least: int) -> DataFrame:
         .select("token", "pair.first", "pair.second", "block", "rep", "signature")
     )
     matches = grouped(rows, "token", "first", "second").mapInArrow(partial(_matches, least), "a long, b long")
-    return connected_components(matches, edges_of_a_task=EDGES_OF_A_TASK)
+    return connected_components(matches, in_tasks=True)
 
 
 def near_duplicates(
@@ -287,7 +287,7 @@ def near_duplicates(
         .join(classes.select("digest", "rep"), "digest")
         .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     )
-    components = connected_components(links.unionByName(tied), edges_of_a_task=EDGES_OF_A_TASK)
+    components = connected_components(links.unionByName(tied), in_tasks=True)
     of_class = classes.select("digest", "rep").join(components, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component")
     )

@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from bazaarlens.llm import minhash
+from bazaarlens.llm import components, minhash
 from bazaarlens.llm.components import connected_components
 from bazaarlens.llm.minhash import deduplicated, least_matches, near_duplicates
 
@@ -100,13 +102,14 @@ def test_least_matches_miss_one_in_a_million():
         assert sum(comb(n, i) * 0.8**i * 0.2 ** (n - i) for i in range(least + 1)) >= 1e-6
 
 
-def test_components_in_one_task_and_by_stars_agree(spark):
+def test_components_with_and_without_contraction_agree(spark):
     rng = random.Random(1)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)]
     pairs += [(i, i + 1) for i in range(1000, 1060)] + [(2000, i) for i in range(2001, 2060)] + [(7, None), (8, 8)]
     edges = spark.createDataFrame(pairs, "a long, b long")
     stars = sorted(map(tuple, connected_components(edges).collect()))
-    assert stars == sorted(map(tuple, connected_components(edges, edges_of_a_task=10**6).collect()))
+    for parts in (1, 7):
+        assert stars == sorted(map(tuple, connected_components(edges.repartition(parts), in_tasks=True).collect()))
     parent = {}
 
     def find(x):
@@ -120,3 +123,18 @@ def test_components_in_one_task_and_by_stars_agree(spark):
             parent[high] = low
     assert stars == sorted((x, find(x)) for x in list(parent))
     assert connected_components(edges.limit(0)).count() == 0
+    assert connected_components(edges.limit(0), in_tasks=True).count() == 0
+
+
+def test_contraction_holds_so_many_edges_at_a_time(monkeypatch):
+    monkeypatch.setattr(components, "EDGES_AT_ONCE", 50)
+    rng = np.random.default_rng(5)
+    low, high = np.sort(rng.integers(0, 400, (2, 600)), axis=0)
+    batches = [pa.RecordBatch.from_pydict({"low": low[i : i + 20], "high": high[i : i + 20]}) for i in range(0, 600, 20)]
+    left = [(a, b) for batch in components._contracted(iter(batches)) for a, b in zip(*(c.to_pylist() for c in batch.columns))]
+
+    def classes(pairs):
+        return components._forest(np.array(pairs, dtype=np.int64).T.reshape(2, -1))
+
+    assert np.array_equal(classes(left), classes(list(zip(low.tolist(), high.tolist()))))
+    assert all(a < b for a, b in left)
