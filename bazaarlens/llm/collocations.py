@@ -2,8 +2,8 @@
 
 Documents are dealt to ``shards`` by a hash. A phrase with at least ``support`` occurrences has at
 least ``support / shards`` of them in one shard, whatever their sizes. So each shard is mined completely
-at that lower support, level by level: a phrase of k words is looked at only where both phrases of
-k - 1 words in it are frequent in the shard. The phrases frequent in any shard are the candidates, and
+at that lower support: words and pairs of them first, then level by level; a phrase of k words is looked at only where
+both phrases of k - 1 words in it are frequent in the shard. The phrases frequent in any shard are the candidates, and
 a last pass counts them all over the whole corpus, as words and not as hashes.
 
 A shard is no task: its counts are shuffled like all others, so a corpus of any size has the same few
@@ -52,7 +52,7 @@ def _in_shard(keys: np.ndarray, shards: np.ndarray) -> np.ndarray:
 
 
 def _in_shard_column() -> Column:
-    return F.col("key").bitwiseXOR(F.col("shard").cast("long") * F.lit(_SHARD_FACTOR))
+    return F.col("key").bitwiseXOR(F.col("part").bitwiseAND(F.lit(0xFFFF)).cast("long") * F.lit(_SHARD_FACTOR))
 
 
 class _Piece:
@@ -66,6 +66,7 @@ class _Piece:
         self.hashes = W.hash_words(self.data, self.starts, self.ends)
         self._lang, self._shard = lang.view(np.uint64), shard
         self._keys: dict[int, np.ndarray] = {}
+        self._other: np.ndarray | None = None
         breaks = np.cumsum(_BREAK[self.data], dtype=np.int32)
         self._joined = np.zeros(len(self.starts), dtype=bool)
         if len(self.starts):
@@ -91,8 +92,9 @@ class _Piece:
         return self._shard[self.row[first]]
 
     def other_keys(self, first: np.ndarray, length: int) -> np.ndarray:
-        other = W.hash_words(_OTHER_BYTES[self.data], self.starts, self.ends)
-        return W.hash_runs(other, length)[first]
+        if self._other is None:
+            self._other = W.hash_words(_OTHER_BYTES[self.data], self.starts, self.ends)
+        return W.hash_runs(self._other, length)[first]
 
     def texts(self, first: np.ndarray, length: int) -> pa.Array:
         """The phrases' words with one space between them."""
@@ -117,42 +119,50 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Piece, pa.Arra
             yield _Piece(data, bounds, lang[first:last], shard[first:last]), batch.column(0).slice(first, last - first)
 
 
-def _local_counts(length: int, frequent: Broadcast | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shard, key, n) of the phrases whose shorter phrases are frequent in the shard."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def _part(words: int, shard: int) -> int:
+    """One number for a length and a shard."""
+    return (words << 16) + shard
+
+
+def _local_counts(lengths: list[int], frequent: Broadcast | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, key, n) of the phrases of these lengths whose shorter phrases are frequent in the shard; see `_part`."""
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
     def counted() -> Iterator[pa.RecordBatch]:
-        shards, keys = (np.concatenate(parts) for parts in zip(*held))
+        for length, parts in held.items():
+            shards, keys = (np.concatenate(column) for column in zip(*parts))
+            for shard in np.unique(shards):
+                key, n = np.unique(keys[shards == shard], return_counts=True)
+                part = pa.array(np.full(len(key), _part(length, int(shard)), dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([part, pa.array(W.as_longs(key)), pa.array(n)], names=["part", "key", "n"])
         held.clear()
-        for shard in np.unique(shards):
-            key, n = np.unique(keys[shards == shard], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), shard, dtype=np.int32)), pa.array(W.as_longs(key)), pa.array(n)], names=["shard", "key", "n"]
-            )
 
+    waiting = 0
     for piece, _ in _pieces(batches):
-        first = piece.phrases(length)
-        shards = piece.shards(first)
-        if frequent is not None:
-            known, shorter = frequent.value.has, piece.keys(length - 1)
-            good = known(_in_shard(shorter[first], shards))
-            good[good] = known(_in_shard(shorter[first[good] + 1], shards[good]))
-            first, shards = first[good], shards[good]
-        held.append((shards, piece.keys(length)[first]))
-        if sum(len(keys) for _, keys in held) >= AT_ONCE:
+        for length in lengths:
+            first = piece.phrases(length)
+            shards = piece.shards(first)
+            if frequent is not None:
+                known, shorter = frequent.value.has, piece.keys(length - 1)
+                good = known(_in_shard(shorter[first], shards))
+                good[good] = known(_in_shard(shorter[first[good] + 1], shards[good]))
+                first, shards = first[good], shards[good]
+            held.setdefault(length, []).append((shards, piece.keys(length)[first]))
+            waiting += len(first)
+        if waiting >= AT_ONCE:
             yield from counted()
-    if held:
-        yield from counted()
+            waiting = 0
+    yield from counted()
 
 
-def _distinct(keys: np.ndarray, others: np.ndarray, times: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(place of the first, sum of their ``times``) of equal phrases: those that agree in both hashes."""
+def _distinct(keys: np.ndarray, others: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(place of the first, number) of equal phrases: those that agree in both hashes."""
     places = np.arange(len(keys))
     while len(places):
-        _, first, of = np.unique(keys[places], return_index=True, return_inverse=True)
-        same = others[places] == others[places[first]][of]
-        yield places[first], np.bincount(of[same], weights=times[places[same]], minlength=len(first)).astype(np.int64)
-        places = places[~same]
+        _, first, of, n = np.unique(keys[places], return_index=True, return_inverse=True, return_counts=True)
+        strange = others[places] != others[places[first]][of]
+        yield places[first], n - np.bincount(of[strange], minlength=len(n))
+        places = places[strange]
 
 
 def _exact_counts(longest: int, candidates: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,19 +174,6 @@ def _exact_counts(longest: int, candidates: Broadcast, batches: Iterator[pa.Reco
             names=["lang", "words", "phrase", "n"],
         )
 
-    # Per length: key, second hash, number, language and text of the phrases of some pieces.
-    held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.Array]]] = {}
-
-    def counted() -> Iterator[pa.RecordBatch]:
-        for length, parts in held.items():
-            keys, others, times = (np.concatenate(column) for column in list(zip(*parts))[:3])
-            langs, texts = (pa.concat_arrays(column) for column in list(zip(*parts))[3:])
-            for at, n in _distinct(keys, others, times):
-                place = pa.array(at)
-                yield rows(langs.take(place), length, texts.take(place), n)
-        held.clear()
-
-    waiting = 0
     for piece, langs in _pieces(batches):
         yield rows(langs, 0, pa.nulls(len(langs), pa.string()), piece.words_of_row)
         for length in range(1, longest + 1):
@@ -184,15 +181,8 @@ def _exact_counts(longest: int, candidates: Broadcast, batches: Iterator[pa.Reco
             keys = piece.keys(length)[first]
             good = candidates.value.has(keys)
             first, keys = first[good], keys[good]
-            others = piece.other_keys(first, length)
-            for at, n in _distinct(keys, others, np.ones(len(keys), dtype=np.int64)):
-                of_rows = langs.take(pa.array(piece.row[first[at]]))
-                held.setdefault(length, []).append((keys[at], others[at], n, of_rows, piece.texts(first[at], length)))
-                waiting += len(at)
-        if waiting >= AT_ONCE // 4:
-            yield from counted()
-            waiting = 0
-    yield from counted()
+            for at, n in _distinct(keys, piece.other_keys(first, length)):
+                yield rows(langs.take(pa.array(piece.row[first[at]])), length, piece.texts(first[at], length), n)
 
 
 def phrase_counts(documents: DataFrame, support: int = 10, longest: int = 3, shards: int = 4) -> DataFrame:
@@ -206,15 +196,18 @@ def phrase_counts(documents: DataFrame, support: int = 10, longest: int = 3, sha
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))
     source = documents.select(lang.alias("lang"), F.xxhash64(lang).alias("lang_hash"), shard.alias("shard"), text.alias("text"))
 
+    # Words and pairs of them are counted in one pass: few pairs hold a rare word.
     levels: list[DataFrame] = []
     bits: Broadcast | None = None
-    for length in range(1, longest + 1):
-        found = source.mapInArrow(partial(_local_counts, length, bits), "shard int, key long, n long")
-        counted = found.groupBy("shard", "key").agg(F.sum("n").alias("n"))
+    for lengths in [list(range(1, min(longest, 2) + 1)), *([length] for length in range(3, longest + 1))]:
+        found = source.mapInArrow(partial(_local_counts, lengths, bits), "part int, key long, n long")
+        counted = found.groupBy("part", "key").agg(F.sum("n").alias("n"))
         levels.append(materialize(counted.where(F.col("n") * shards >= support)))
         if bits is not None:
             bits.destroy()
-        bits = bit_table(levels[-1].select(_in_shard_column().alias("key"))) if length < longest else None
+        last = materialize(levels[-1].where(F.col("part") >= _part(lengths[-1], 0)).select(_in_shard_column().alias("key")))
+        bits = bit_table(last) if lengths[-1] < longest else None
+        release(last)
 
     # In a shard where it is not frequent, a phrase has fewer than support / shards.
     most_elsewhere = (F.lit(shards) - F.count(F.lit(1))) * ((support - 1) // shards)
