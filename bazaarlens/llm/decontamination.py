@@ -132,7 +132,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = 10,
     Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. ``n_hit``
     counts the words inside any occurrence of any window. A null or empty text has no words and
     is clean; an item without words, or a null item id, contaminates nothing. A repeated row gives
-    its result again. Further columns of the inputs are ignored. Empty tables: no rows, or all clean.
+    its result again. Very long texts are searched whole. Further columns of the inputs are ignored. Empty tables: no rows, or all clean.
     """
     return _judged(documents, benchmark, window, shingle).drop("text_hash")
 

@@ -381,7 +381,7 @@ def extracted_texts(pages: DataFrame) -> DataFrame:
 
     Character references are decoded, white space in a block becomes one space, and blocks are
     joined in page order by an empty line. Null or empty html, and pages without content, give an empty
-    text. Markup that is cut off ends with the page. Repeated rows give repeated results, null ids and
+    text. Markup that is cut off ends with the page. Very long pages are read whole, one at a time. Repeated rows give repeated results, null ids and
     urls stay null, further columns are ignored, and an empty table gives no rows.
     """
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))

@@ -221,7 +221,7 @@ def identified(documents: DataFrame, model: LanguageModel, switch: float = 12.0)
     A word is a run of letters a-z (A-Z lower-cased) and characters beyond ASCII. The score is the
     share of the text's letters, in bytes, in spans of the predicted language. A text that is null
     or has no letter is ``und`` with score 0 and no spans, as all are without learned languages.
-    Equal weights go to the language that sorts first. Repeated rows give repeated results, other
+    Equal weights go to the language that sorts first. Very long texts are read whole. Repeated rows give repeated results, other
     columns are ignored, and an empty table gives no rows.
     """
     rows = documents.select(

@@ -235,7 +235,7 @@ def near_duplicates(
 
     Documents are linked where 100 * shared >= percent * all of their distinct shingles. Words
     are separated by ASCII white space, A-Z lower-cased. A text with fewer words than a shingle is
-    one shingle; without words (null, empty, blank) it is linked with nothing. Rows without doc_id
+    one shingle; without words (null, empty, blank) it is linked with nothing. Very long texts are compared whole. Rows without doc_id
     take no part: component_id null, kept. Rows that repeat a doc_id are one node of the graph:
     each row appears in the result, with what any of their texts is linked to. Further columns are
     ignored; an empty table gives no rows. Ids must be integers.

@@ -129,7 +129,7 @@ def judged_pages(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None
 
     ``pages`` has page_id, url and html, ``rules`` host, path and verdict, and ``redirects``, if
     given, source and target URLs that a crawl has seen. A page without rule and without aliases is
-    allowed, so is one with a null url. Repeated rows give repeated results; null html has no links;
+    allowed, so is one with a null url. Repeated rows give repeated results; null html has no links, very long html is searched whole;
     further columns are ignored. Empty pages give no rows, empty rules allow all.
     """
     links = page_links(pages)
