@@ -19,6 +19,8 @@ from bazaarlens.session import remove_folder
 
 EMPTY = "empty"
 REJECTED = "_rejected"
+# Rows under judgement, as long as a load runs.
+JUDGED = "_judged"
 
 _VERSIONS = "bazaarlens.versions"
 _LOAD = "bazaarlens.load"
@@ -78,7 +80,7 @@ def begin(spark: SparkSession, database: str, target: str, load: str) -> None:
         spark.sql(f"DROP VIEW IF EXISTS {database}.{table.name}{REJECTED}")
     known = "|".join(BY_NAME)
     for row in spark.sql(f"SHOW TABLES IN {database}").collect():
-        found = re.fullmatch(rf"({known})_v([0-9a-f]{{12}})({REJECTED})?", row.tableName)
+        found = re.fullmatch(rf"({known})_v([0-9a-f]{{12}})({REJECTED}|{JUDGED})?", row.tableName)
         if found and seen.get(found[1]) != found[2]:
             drop(spark, database, row.tableName)
 

@@ -413,3 +413,45 @@ def test_few_and_many_broken_keys_are_joined_alike(spark, places, monkeypatch):
         load(spark, extracts(source, changed), database, target + str(limit), strict=False)
         found.append({name: sorted((r.reason, r.line) for r in spark.table(f"{database}.{name}_rejected").collect()) for name in NAMES})
     assert found[0] == found[1] and ("repeated key", 4) in [(r, n) for r, n in found[0]["order_reviews"]] + [("repeated key", 4)]
+
+
+@pytest.fixture
+def stored_columns(monkeypatch):
+    """The columns of what loads compute and store on their way."""
+    columns = []
+    store = loading.materialize
+    monkeypatch.setattr(loading, "materialize", lambda rows: columns.append(set(rows.columns)) or store(rows))
+    return columns
+
+
+def test_many_broken_keys_move_no_whole_rows(spark, places, monkeypatch, stored_columns):
+    source, target = places
+    monkeypatch.setattr(loading, "_FEW_KEYS", 0)
+    plans = []
+    write = loading._TableLoad._write
+
+    def planned(self, rows, counted):
+        plans.append((self.table.name, rows._jdf.queryExecution().executedPlan().toString()))
+        return write(self, rows, counted)
+
+    monkeypatch.setattr(loading._TableLoad, "_write", planned)
+    changed = {table: GOOD[table] + rows for table, rows, _ in BROKEN.values()}
+    changed["order_items"] = changed["order_items"] + ["o1,2,p9,s1,,1.00,1.00", "o1,3,p1,s1,,1.00,1.00", "o1,3,p1,s1,,2.00,1.00"]
+    load(spark, extracts(source, changed), "many_broken", target, strict=False)
+    found = {r.line: r.reason for r in spark.table("many_broken.order_items_rejected").collect()}
+    assert found == {4: "order_id not in orders", 5: "product_id not in products", 6: "duplicate key", 7: "duplicate key"}
+    assert stored_columns and not any(columns & {"price", "payment_value", "order_status"} for columns in stored_columns)
+    plan = dict(plans)["order_items"]
+    assert not any("price" in line for line in plan.splitlines() if "Exchange" in line)
+    assert plan.count("Exchange hashpartitioning(_task") + plan.count("BroadcastExchange") == 1
+
+
+def test_places_of_a_refused_load_store_no_rows(spark, places, stored_columns):
+    source, target = places
+    payments = GOOD["order_payments"] + ["o2,2,boleto,1,1.00", "o2,2,boleto,1,2.00", "o9,1,boleto,1,2.00"]
+    with pytest.raises(LoadError) as raised:
+        load(spark, extracts(source, {"order_payments": payments}), "places_only", target)
+    assert raised.value.problems == {"duplicate key": 1, "order_id not in orders": 1}
+    rules = [(4, None, "duplicate key"), (5, None, "duplicate key"), (6, "order_id", "order_id not in orders")]
+    assert [(p.line, p.column, p.rule) for p in raised.value.places] == rules
+    assert not any("payment_value" in columns for columns in stored_columns)
