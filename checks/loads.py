@@ -267,31 +267,28 @@ def load_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
     proxies, events = ProxyTables(spark, sf_dir), source(spark, sf_dir, "events")
     items = proxies["order_items"]
     order = [c for c in items.columns if c not in ("order_id", "order_item_id")]
-    good, bad, tables = new_folder(spark, "extracts"), new_folder(spark, "extracts"), new_folder(spark, "tables")
+    folder, tables = new_folder(spark, "extracts"), new_folder(spark, "tables")
     names = ("product_category_name_translation", "products", "orders")
     extracts = _people(proxies) | {name: extract(name, proxies[name]) for name in names}
     extracts["order_payments"] = extract("order_payments", _paid(events))
-    for name, rows in extracts.items():
-        write_csv(rows, f"{good}/{name}.csv")
-        # Half as many sellers in the second load tell its tables from those of the first.
-        even = F.col("seller_id").cast("long") % 2 == 0 if name == "sellers" else F.lit(True)
-        write_csv(rows.filter(even), f"{bad}/{name}.csv")
     unique = dedup_keep_first(items, ["order_id", "order_item_id"], order)
-    write_csv(extract("order_items", unique), f"{good}/order_items.csv")
-    write_csv(extract("order_items", items), f"{bad}/order_items.csv")
+    write_extracts(extracts | {"order_items": extract("order_items", unique)}, folder)
 
     database = f"load_{uuid.uuid4().hex}"
-    load(spark, good, database, tables)
+    load(spark, folder, database, tables)
+    # Half as many sellers in the second load tell its tables from those of the first.
+    even = extracts["sellers"].filter(F.col("seller_id").cast("long") % 2 == 0)
+    write_extracts({"sellers": even, "order_items": extract("order_items", items)}, folder)
     refused: dict[str, int] = {}
     table = None
     try:
-        load(spark, bad, database, tables)
+        load(spark, folder, database, tables)
     except LoadError as error:
         refused, table = error.problems, error.table
     problems = ", ".join(f"{rule}: {cases}" for rule, cases in sorted(refused.items()))
     seen = load_audit(open_tables(spark, database))
     problem = F.when(F.col("table_name") == F.lit(table), F.lit(problems)).alias("problem")
-    return finished(seen.select("table_name", "row_count", problem), database, good, bad, tables)
+    return finished(seen.select("table_name", "row_count", problem), database, folder, tables)
 
 
 def _write_files(lines: DataFrame, header: str, parts: int, path: str) -> None:
