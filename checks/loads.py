@@ -291,12 +291,18 @@ def load_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished(seen.select("table_name", "row_count", problem), database, folder, tables)
 
 
-def _write_files(lines: DataFrame, header: str, parts: int, path: str) -> None:
-    """Rows of (part, place, line) as one file per part, in the order of their places below a header."""
+def _dealt(lines: DataFrame, header: str, parts: int) -> DataFrame:
+    """Rows of (part, place, line) and a header for each part, every part in a task of its own: a file has one writer, which
+    gets the rows of this file and no others."""
     headers = lines.sparkSession.range(parts).select(
         F.col("id").cast("int").alias("part"), F.lit(-1).cast("long").alias("place"), F.lit(header).alias("line")
     )
-    together = lines.unionByName(headers).repartition(parts, "part").sortWithinPartitions("part", "place")
+    return lines.unionByName(headers).repartitionById(parts, F.col("part"))
+
+
+def _write_files(lines: DataFrame, header: str, parts: int, path: str) -> None:
+    """Rows of (part, place, line) as one file per part, in the order of their places below a header."""
+    together = _dealt(lines, header, parts).sortWithinPartitions("part", "place")
     together.select("part", "line").write.partitionBy("part").text(path)
 
 

@@ -1,10 +1,12 @@
 """Loads of small hand-made extracts."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from bazaarlens.plans import monthly_revenue, review_by_category, seller_revenue_true, top_categories, top_sellers
 from bazaarlens.schemas import TABLES
 from bazaarlens.sources import LoadError, load, load_plan, loading, open_tables, versions
+from checks import loads
 from test_plans import subtree
 
 GOOD = {
@@ -455,3 +457,9 @@ def test_places_of_a_refused_load_store_no_rows(spark, places, stored_columns):
     rules = [(4, None, "duplicate key"), (5, None, "duplicate key"), (6, "order_id", "order_id not in orders")]
     assert [(p.line, p.column, p.rule) for p in raised.value.places] == rules
     assert not any("payment_value" in columns for columns in stored_columns)
+
+
+def test_a_file_has_a_task_of_its_own(spark):
+    lines = spark.range(80).selectExpr("cast(id % 8 as int) as part", "id as place", "'x' as line")
+    tasks = loads._dealt(lines, "header", 8).groupBy(F.spark_partition_id().alias("task")).agg(F.collect_set("part").alias("parts"))
+    assert sorted(r.parts for r in tasks.collect()) == [[part] for part in range(8)]
