@@ -21,10 +21,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.csv(path, header=True, quote='"', escape='"', nullValue="", emptyValue='""', mode="overwrite")
 
 
+def extract_path(folder: str, name: str) -> str:
+    return f"{folder}/market_{name}_dataset.csv"
+
+
 def write_extracts(extracts: Mapping[str, DataFrame], folder: str) -> None:
     """Every table's extract below ``folder``, several at a time."""
     with ThreadPoolExecutor(4) as pool:
-        written = [pool.submit(write_csv, rows, f"{folder}/market_{name}_dataset.csv") for name, rows in extracts.items()]
+        written = [pool.submit(write_csv, rows, extract_path(folder, name)) for name, rows in extracts.items()]
     for one in written:
         one.result()
 
@@ -149,16 +153,16 @@ def load_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_reviews": extract("order_reviews", reviews),
     }
     extracts |= {name: extract(name, proxies[name]) for name in ("product_category_name_translation", "products", "orders")}
-    first, second = new_folder(spark, "extracts"), new_folder(spark, "extracts")
-    write_extracts(extracts, first)
-    write_extracts({name: rows for name, rows in extracts.items() if name != "order_payments"}, second)
-    database, tables = f"load_{uuid.uuid4().hex}", new_folder(spark, "tables")
+    folder, tables = new_folder(spark, "extracts"), new_folder(spark, "tables")
+    write_extracts(extracts, folder)
+    database = f"load_{uuid.uuid4().hex}"
     # The second load replaces the tables that the first count would still read.
-    before = {r.table_name: r.row_count for r in load(spark, first, database, tables).collect()}
-    counted = load(spark, second, database, tables, buckets=4).withColumnRenamed("row_count", "second_load")
+    before = {r.table_name: r.row_count for r in load(spark, folder, database, tables).collect()}
+    remove_folder(spark, extract_path(folder, "order_payments"))
+    counted = load(spark, folder, database, tables, buckets=4).withColumnRenamed("row_count", "second_load")
     first_load = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])[F.col("table_name")]
     result = counted.select("table_name", first_load.alias("first_load"), "second_load")
-    return finished(result, database, first, second, tables)
+    return finished(result, database, folder, tables)
 
 
 def load_lenient_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:

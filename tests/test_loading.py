@@ -463,3 +463,11 @@ def test_a_file_has_a_task_of_its_own(spark):
     lines = spark.range(80).selectExpr("cast(id % 8 as int) as part", "id as place", "'x' as line")
     tasks = loads._dealt(lines, "header", 8).groupBy(F.spark_partition_id().alias("task")).agg(F.collect_set("part").alias("parts"))
     assert sorted(r.parts for r in tasks.collect()) == [[part] for part in range(8)]
+
+
+def test_extracts_of_two_loads_are_written_once(spark, monkeypatch):
+    written = []
+    write = loads.write_csv
+    monkeypatch.setattr(loads, "write_csv", lambda rows, path: written.append(path) or write(rows, path))
+    loads.load_strict(spark, "/root/testdata/sf0.001").collect()
+    assert len(written) == len(NAMES) - 1
