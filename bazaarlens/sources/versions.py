@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from bazaarlens.schemas import BY_NAME, TABLES, Table
 from bazaarlens.session import remove_folder
@@ -21,6 +22,8 @@ EMPTY = "empty"
 REJECTED = "_rejected"
 # Rows under judgement, as long as a load runs.
 JUDGED = "_judged"
+# Rows taken and rows set aside, where they are written in one pass: two folders of one version, by this column.
+TAKEN = "taken"
 
 _VERSIONS = "bazaarlens.versions"
 _LOAD = "bazaarlens.load"
@@ -87,11 +90,30 @@ def begin(spark: SparkSession, database: str, target: str, load: str) -> None:
 
 def create(spark: SparkSession, database: str, target: str, table: Table, version: str, buckets: int | None = None) -> str:
     """A new, empty version of a table, and its name in the catalog; no reader sees it yet."""
-    name = f"{database}.{stored_name(table.name, version)}"
-    columns = ", ".join(f"{c.name} {c.type.simpleString()}" for c in table.columns)
     kept = table.cluster_by
     dealt = f"CLUSTERED BY ({kept}) SORTED BY ({kept}) INTO {buckets} BUCKETS" if buckets and kept else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {dealt} LOCATION '{target}/{table.name}/{version}'")
+    name = f"{database}.{stored_name(table.name, version)}"
+    return _create(spark, name, table.schema, f"{target}/{table.name}/{version}", dealt)
+
+
+def create_rejected(spark: SparkSession, database: str, target: str, table: Table, version: str, schema: StructType) -> str:
+    """The table of the rows that are set aside from a version, and its name in the catalog."""
+    name = f"{database}.{stored_name(table.name, version)}{REJECTED}"
+    return _create(spark, name, schema, f"{target}/{table.name}/{version}{REJECTED}")
+
+
+def create_apart(spark: SparkSession, database: str, target: str, table: Table, version: str, schema: StructType) -> str:
+    """A version and the table of its rejected rows in one folder, which is returned: rows written there, parted by
+    `TAKEN`, are in the one or the other. They go together."""
+    name, place = f"{database}.{stored_name(table.name, version)}", f"{target}/{table.name}/{version}"
+    _create(spark, name, table.schema, f"{place}/{TAKEN}=true")
+    _create(spark, f"{name}{REJECTED}", schema, f"{place}/{TAKEN}=false")
+    return place
+
+
+def _create(spark: SparkSession, name: str, schema: StructType, place: str, dealt: str = "") -> str:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {dealt} LOCATION '{place}'")
     return name
 
 
@@ -101,7 +123,7 @@ def drop(spark: SparkSession, database: str, name: str) -> None:
     place = next((r.data_type for r in described if r.col_name == "Location"), None)
     spark.sql(f"DROP TABLE {database}.{name}")
     if place:
-        remove_folder(spark, place)
+        remove_folder(spark, re.sub(rf"/{TAKEN}=(true|false)/?$", "", place))
 
 
 def publish(spark: SparkSession, database: str, table: str, version: str, load: str) -> None:

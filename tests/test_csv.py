@@ -207,3 +207,18 @@ def test_stray_quotes_do_not_join_a_whole_file(spark, tmp_path, monkeypatch):
             read_csv_positional(spark, path, ITEMS).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_lines_are_counted_without_a_sort(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    plans = []
+    store = csv_files.materialize
+    monkeypatch.setattr(csv_files, "materialize", lambda rows: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or store(rows))
+    csv_files._splits(spark, str(tmp_path / "a.csv"))
+    assert len(plans) == 1 and "HashAggregate" in plans[0] and "Sort" not in plans[0]
+
+
+@pytest.mark.parametrize("line, kept", [("a\r", "a"), ("a\r\r", "a"), ("a\rb", "a\rb"), (" \x00\t", None), ("\u00a0", "\u00a0"), ("", None), (" b", " b")])
+def test_returns_and_blank_lines(spark, line, kept):
+    rows = spark.createDataFrame([(line,)], "value string").select(csv_files._record("value").alias("record"))
+    assert [r.record for r in rows.filter(csv_files._is_record()).collect()] == ([] if kept is None else [kept])

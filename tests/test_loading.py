@@ -471,3 +471,44 @@ def test_extracts_of_two_loads_are_written_once(spark, monkeypatch):
     monkeypatch.setattr(loads, "write_csv", lambda rows, path: written.append(path) or write(rows, path))
     loads.load_strict(spark, "/root/testdata/sf0.001").collect()
     assert len(written) == len(NAMES) - 1
+
+
+def test_rows_taken_and_set_aside_are_written_in_one_pass(spark, places, monkeypatch):
+    source, target = places
+    given = []
+    write = loading._TableLoad._write
+    monkeypatch.setattr(loading._TableLoad, "_write", lambda self, rows, n: given.append((self.table.name, rows.count())) or write(self, rows, n))
+    payments = GOOD["order_payments"] + ["o9,1,boleto,1,1.00", "o2,x,boleto,1,1.00"]
+    folder = extracts(source, {"order_payments": payments, "sellers": ["s1,01037,,SP"]})
+    for _ in range(2):
+        found = counts(load(spark, folder, "one_write", target, strict=False))
+        assert (found["order_payments"], found["sellers"], found["customers"]) == (2, 0, 2)
+    assert dict(given)["order_payments"] == 4
+    tables = open_tables(spark, "one_write")
+    assert sorted(r.order_id for r in tables["order_payments"].collect()) == ["o1", "o2"]
+    assert {t.name: tables[t.name].schema for t in TABLES} == {t.name: t.schema for t in TABLES}
+    assert (tables["sellers"].count(), spark.table("one_write.sellers_rejected").count()) == (0, 1)
+    assert spark.table("one_write.customers_rejected").count() == 0
+    rejected = spark.table("one_write.order_payments_rejected").orderBy("line").collect()
+    assert [(r.line, r.reason, r["column"]) for r in rejected] == [(4, "order_id not in orders", "order_id"), (5, "unreadable", "payment_sequential")]
+    # A version goes whole: that of this load and the one seen before are left.
+    load(spark, folder, "one_write", target, strict=False)
+    assert len([f for f in folders(target) if f.startswith("order_payments/")]) == 2
+
+
+def test_reviews_without_repeated_ids_are_not_compared(spark, places, monkeypatch):
+    source, target = places
+    plans = []
+    store = loading.materialize
+    monkeypatch.setattr(loading, "materialize", lambda rows: plans.append(rows._jdf.queryExecution().optimizedPlan().toString()) or store(rows))
+    load(spark, extracts(source), "compared", target, strict=False)
+    assert plans and not any("review_comment_message" in line for plan in plans for line in plan.splitlines() if "Aggregate" in line)
+
+
+def test_a_lenient_load_into_buckets(spark, places):
+    source, target = places
+    folder = extracts(source, {"orders": GOOD["orders"] + ["o3,c9,shipped,,,,,"]})
+    assert counts(load(spark, folder, "lenient_buckets", target, strict=False, buckets=4))["orders"] == 2
+    assert sorted(r.order_id for r in open_tables(spark, "lenient_buckets")["orders"].collect()) == ["o1", "o2"]
+    rejected = spark.table("lenient_buckets.orders_rejected").collect()
+    assert [(r.line, r.reason, r["column"]) for r in rejected] == [(4, "customer_id not in customers", "customer_id")]
