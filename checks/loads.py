@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.operators import dedup_keep_first
 from bazaarlens.schemas import BY_NAME, MONEY
-from bazaarlens.session import remove_at_exit, remove_folder, shared_folder
+from bazaarlens.session import dropped_shuffles, remove_at_exit, remove_folder, shared_folder
 from bazaarlens.sources import LoadError, load, load_audit, open_tables, read_csv_positional
 from checks.proxy_tables import ProxyTables, event_number, source
 
@@ -26,11 +26,12 @@ def extract_path(folder: str, name: str) -> str:
 
 
 def write_extracts(extracts: Mapping[str, DataFrame], folder: str) -> None:
-    """Every table's extract below ``folder``, several at a time."""
-    with ThreadPoolExecutor(4) as pool:
-        written = [pool.submit(write_csv, rows, extract_path(folder, name)) for name, rows in extracts.items()]
-    for one in written:
-        one.result()
+    """Every table's extract below ``folder``, several at a time, in the order given."""
+    with dropped_shuffles(next(iter(extracts.values())).sparkSession):
+        with ThreadPoolExecutor(4) as pool:
+            written = [pool.submit(write_csv, rows, extract_path(folder, name)) for name, rows in extracts.items()]
+        for one in written:
+            one.result()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -226,7 +227,7 @@ def load_null_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _outcomes(spark: SparkSession, folder: str, names: Iterable[str]) -> DataFrame:
     """A lenient load: rows taken, and rows set aside for each reason, per table."""
     database, tables = f"load_{uuid.uuid4().hex}", new_folder(spark, "tables")
-    taken = load(spark, folder, database, tables, strict=False)
+    taken = load(spark, folder, database, tables, strict=False, remove_read=True)
     outcome = taken.select("table_name", F.lit("accepted").alias("outcome"), "row_count")
     for name in names:
         set_aside = spark.table(f"{database}.{name}_rejected")
@@ -257,7 +258,10 @@ def load_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     plain = ["product_category_name_translation", "products", "orders", "order_items", "order_payments"]
     extracts |= {name: extract(name, proxies[name]) for name in plain}
-    write_extracts(extracts, folder)
+    # First those whose making shuffles much: that is gone before the others are on disk.
+    joined = ("order_reviews", "orders", "customers")
+    write_extracts({name: extracts[name] for name in joined}, folder)
+    write_extracts({name: rows for name, rows in extracts.items() if name not in joined}, folder)
 
     return _outcomes(spark, folder, extracts)
 

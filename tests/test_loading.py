@@ -1,10 +1,14 @@
 """Loads of small hand-made extracts."""
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens.plans import monthly_revenue, review_by_category, seller_revenue_true, top_categories, top_sellers
 from bazaarlens.schemas import TABLES
+from bazaarlens.session import shared_folder
 from bazaarlens.sources import LoadError, load, load_plan, loading, open_tables, versions
 from checks import loads
 from test_plans import subtree
@@ -512,3 +516,61 @@ def test_a_lenient_load_into_buckets(spark, places):
     assert sorted(r.order_id for r in open_tables(spark, "lenient_buckets")["orders"].collect()) == ["o1", "o2"]
     rejected = spark.table("lenient_buckets.orders_rejected").collect()
     assert [(r.line, r.reason, r["column"]) for r in rejected] == [(4, "customer_id not in customers", "customer_id")]
+
+
+@pytest.mark.parametrize("remove_read", [False, True])
+def test_rows_judged_lie_on_disk_once(spark, places, monkeypatch, remove_read):
+    source, target = places
+    folder, before, there = extracts(source), set(os.listdir(shared_folder(spark))), {}
+    sets = loading._sets
+
+    def seen(rows, table, *args, **named):
+        stored = set(os.listdir(shared_folder(spark))) - before
+        there[table.name] = len(stored), (source / f"shop_{table.name}_dataset.csv").exists()
+        return sets(rows, table, *args, **named)
+
+    monkeypatch.setattr(loading, "_sets", seen)
+    found = counts(load(spark, folder, "stored_once", target, strict=False, at_once=1, remove_read=remove_read))
+    assert found == {name: len(rows) for name, rows in GOOD.items()}
+    assert there == dict.fromkeys(GOOD, (1, not remove_read))
+    assert len(list(source.iterdir())) == (0 if remove_read else len(TABLES))
+
+
+def test_a_refused_extract_is_not_removed(spark, places):
+    source, target = places
+    folder = extracts(source, {"orders": GOOD["orders"] + ["o3,c9,shipped,,,,,"]})
+    with pytest.raises(LoadError) as raised:
+        load(spark, folder, "refused_stays", target, at_once=1, remove_read=True)
+    assert raised.value.problems == {"customer_id not in customers": 1}
+    left = {file.name for file in source.iterdir()}
+    assert "shop_orders_dataset.csv" in left and "shop_customers_dataset.csv" not in left
+    assert counts(open_tables(spark, "refused_stays")["customers"].selectExpr("'customers' table_name", "count(*) row_count")) == {"customers": 2}
+
+
+def shuffled(spark):
+    """The files in which shuffled rows lie."""
+    places = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for place in places for _, _, files in os.walk(str(place)) for f in files if f.startswith("shuffle_")}
+
+
+def test_what_jobs_shuffled_goes_with_them(spark, places):
+    source, target = places
+    repeated = GOOD["order_items"] + GOOD["order_items"][:1]
+    folder, before = extracts(source, {"order_items": repeated}), shuffled(spark)
+    load(spark, folder, "no_shuffles", target, strict=False)
+    rows = spark.range(100).selectExpr("id % 7 as id").distinct()
+    loads.write_extracts({"orders": rows}, str(source / "written"))
+    assert len(spark.read.csv(loads.extract_path(str(source / "written"), "orders"), header=True).collect()) == 7
+    # Removed in the background.
+    until = time.monotonic() + 20
+    while shuffled(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_a_query_reads_its_extracts_once(spark, monkeypatch):
+    left, finished = [], loads.finished
+    monkeypatch.setattr(loads, "finished", lambda rows, database, *folders: left.extend(map(os.listdir, folders[:1])) or finished(rows, database, *folders))
+    assert loads.load_refresh(spark, "/root/testdata/sf0.001").count()
+    assert left == [[]]
